@@ -1,6 +1,7 @@
 """Operators on DataFrames: normalisation, rules, union, date partitions."""
 
 from tablekit.operators.combine import combine_frames
+from tablekit.operators.joins import is_broadcastable, left_join
 from tablekit.operators.normalize import (
     drop_null_columns,
     normalize,
@@ -19,6 +20,8 @@ __all__ = [
     "combine_frames",
     "date_partition",
     "drop_null_columns",
+    "is_broadcastable",
+    "left_join",
     "normalize",
     "null_tokens",
     "strip_headers",

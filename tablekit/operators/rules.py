@@ -64,6 +64,8 @@ def apply_rules(
 
 def _judge(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """The input, one typed column per rule, and the number of the first broken rule."""
+    if len({rule.column for rule in rules}) < len(rules):
+        raise ValueError("a column may have one rule only")
     reserved = {_RULE, *(_TYPED.format(i) for i in range(len(rules)))}
     clashes = reserved.intersection(df.columns)
     if clashes:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablekit.functions.casts import tolerant_cast
 from tablekit.functions.columns import quoted
+from tablekit.operators.joins import is_broadcastable, left_join
 from tablekit.plans.specs import CUSTOMER, FILM, INVENTORY, RENTAL, RENTAL_STORE_SPECS, STORE
 from tablekit.sinks.tables import TableSink
 from tablekit.sources.catalog import load_table
@@ -55,13 +56,24 @@ def rental_model(
 ) -> DataFrame:
     """Rentals with their customer, inventory item and that item's film.
 
-    The film key belongs to the inventory, so films are joined to the inventory
-    first: the result is the same as joining them to the rentals last, but the
-    rentals, by far the largest table, are shuffled once less.
+    The film key belongs to the inventory, so a film may be joined to the inventory
+    before or after the rentals, and the other two joins may swap, with the same
+    result. The rentals are by far the largest table, and the order keeps what they
+    carry through a shuffle small: sides to be broadcast come last, since they need
+    none; a film table too large for that joins the smaller inventory.
     """
-    items = left_join(with_columns(inventory, INVENTORY.columns), _films(film), "film_id")
-    rentals = left_join(with_columns(rental, RENTAL.columns), _customers(customer), "customer_id")
-    return left_join(rentals, items, "inventory_id").select(*RENTAL_MODEL_COLUMNS)
+    rentals = with_columns(rental, RENTAL.columns)
+    items = with_columns(inventory, INVENTORY.columns)
+    customers, films = _customers(customer), _films(film)
+    if is_broadcastable(films):
+        wide = left_join(rentals, items, "inventory_id")
+        wide = left_join(left_join(wide, customers, "customer_id"), films, "film_id")
+    else:
+        sides = [(customers, "customer_id"), (left_join(items, films, "film_id"), "inventory_id")]
+        if is_broadcastable(customers):
+            sides.reverse()
+        wide = reduce(lambda left, side: left_join(left, *side), sides, rentals)
+    return wide.select(*RENTAL_MODEL_COLUMNS)
 
 
 def _films(film: DataFrame) -> DataFrame:
@@ -92,25 +104,6 @@ def with_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     )
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left outer join on one key, keeping the left side's key column.
-
-    No broadcast hint: Spark broadcasts a side whose size it has measured to be
-    small, and otherwise sort-merges, where AQE splits partitions of hot keys.
-    """
-    left_type, right_type = left.schema[key].dataType, right.schema[key].dataType
-    right = right.withColumnRenamed(key, "__key")
-    on = _as_key(left[key], left_type, right_type) == _as_key(right["__key"], right_type, left_type)
-    return left.join(right, on, "left").drop("__key")
-
-
-def _as_key(column: Column, own: T.DataType, other: T.DataType) -> Column:
-    """A text key meets a number as a number; text that is none matches nothing."""
-    if isinstance(own, T.StringType) and isinstance(other, T.NumericType):
-        return tolerant_cast(column, own, other)
-    return column
-
-
 def build_models(
     spark: SparkSession, database: str, base_path: str, mode: str = "append"
 ) -> dict[str, DataFrame]:

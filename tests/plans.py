@@ -1,0 +1,10 @@
+"""What a test reads off a physical plan."""
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,69 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tablekit.operators import drop_null_columns, normalize, null_tokens, strip_headers, trim_strings
+from tablekit.operators.normalize import PROBE_ROWS
+
+
+def test_headers_lose_all_outer_whitespace(spark):
+    df = spark.createDataFrame([(1, 2, 3)], [" a ", "b\t", "c d"])
+    assert strip_headers(df).columns == ["a", "b", "c d"]
+
+
+@pytest.mark.parametrize("names", [["a", "a "], ["A", " a"]])
+def test_colliding_headers_are_refused(spark, names):
+    with pytest.raises(ValueError, match="not unique"):
+        strip_headers(spark.createDataFrame([(1, 2)], names))
+
+
+def test_case_alone_tells_headers_apart_in_a_case_sensitive_session(spark, conf):
+    conf("spark.sql.caseSensitive", "true")
+    assert strip_headers(spark.createDataFrame([(1, 2)], ["A", " a"])).columns == ["A", "a"]
+
+
+def test_only_spaces_are_trimmed_and_only_from_text(spark):
+    df = spark.createDataFrame([("  x y ", "\tx\n", 1)], ["a", "b.c", "n"])
+    assert trim_strings(df).collect() == [("x y", "\tx\n", 1)]
+    assert trim_strings(df).dtypes == df.dtypes
+
+
+def test_only_the_exact_null_text_becomes_null(spark):
+    texts = [" NULL ", "NULL", "null", "", "NULLS", None]
+    df = spark.createDataFrame([(t,) for t in texts], "`odd.name` string")
+    cleaned = [row[0] for row in null_tokens(trim_strings(df)).collect()]
+    assert cleaned == [None, None, "null", "", "NULLS", None]
+
+
+def test_columns_without_any_value_are_dropped(spark):
+    df = spark.createDataFrame(
+        [(1, None, None, "NULL"), (None, None, None, " NULL")], "a int, b double, `c.d` array<int>, e string"
+    )
+    assert normalize(df).columns == ["a"]
+
+
+def test_one_value_behind_the_probe_keeps_a_column(spark):
+    rows = PROBE_ROWS * 20
+    df = spark.range(0, rows, 1, 4).select(
+        "id",
+        F.when(F.col("id") == rows - 1, F.lit("x")).alias("rare"),
+        F.lit(None).cast("string").alias("never"),
+    )
+    assert drop_null_columns(df).columns == ["id", "rare"]
+
+
+def test_an_empty_frame_loses_every_column(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    assert drop_null_columns(df).columns == []
+
+
+def test_only_open_columns_are_scanned_in_full(spark, tmp_path):
+    spark.range(100).select("id", F.lit("v").alias("full"), F.lit(None).cast("int").alias("none")).write.parquet(
+        str(tmp_path / "t")
+    )
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("prune-none", "")
+    drop_null_columns(spark.read.parquet(str(tmp_path / "t")).drop("none"))
+    spark.sparkContext.setJobGroup("prune-one", "")
+    assert drop_null_columns(spark.read.parquet(str(tmp_path / "t"))).columns == ["id", "full"]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("prune-none")) < len(tracker.getJobIdsForGroup("prune-one"))

@@ -1,0 +1,177 @@
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F, types as T
+
+from conftest import SF_DIR
+from plans import plan_of
+from tablekit.fixtures import raw_table
+from tablekit.operators import Rule, apply_rules, combine_frames, date_partition, normalize
+from tablekit.plans import RENTAL_STORE_SPECS, clean
+from tablekit.plans.specs import typed_rule
+
+YEAR = Rule("year", T.IntegerType(), "bad year")
+RATE = Rule("rate", T.DoubleType(), "bad rate")
+
+
+def split(spark, rows, schema, rules):
+    return apply_rules(spark.createDataFrame(rows, schema), rules)
+
+
+def test_first_broken_rule_wins_and_raw_text_stays(spark):
+    rows = [("a", "2006.0", "1.50"), ("b", "x", "y"), ("c", "2007.9", "y"), ("d", None, "2"), ("e", "1", None)]
+    valid, rejected, skipped = split(spark, rows, "id string, year string, rate string", [YEAR, RATE])
+    assert valid.collect() == [("a", 2006, 1.5)]
+    assert sorted(rejected.collect()) == [
+        ("b", "x", "y", "bad year"),
+        ("c", "2007", "y", "bad rate"),
+        ("d", None, "2", "bad year"),
+        ("e", "1", None, "bad rate"),
+    ]
+    assert valid.dtypes == [("id", "string"), ("year", "int"), ("rate", "double")]
+    assert rejected.dtypes == [(c, "string") for c in ("id", "year", "rate", "data_quality_error")]
+    assert skipped == ()
+
+
+def test_rule_of_an_absent_column_is_skipped_by_exact_name(spark):
+    valid, rejected, skipped = split(spark, [(1, "2")], "Year int, rate string", [YEAR, RATE])
+    assert skipped == ("year",)
+    assert valid.collect() == [(1, 2.0)] and rejected.count() == 0
+
+
+def test_without_any_applicable_rule_nothing_is_rejected(spark):
+    result = split(spark, [(1,)], "other int", [YEAR])
+    assert result.rejected is None and result.valid.collect() == [(1,)]
+
+
+def test_column_of_nulls_is_pruned_before_its_rule(spark):
+    df = spark.createDataFrame([(1, "NULL"), (2, " NULL")], "id int, year string")
+    result = apply_rules(normalize(df), [YEAR])
+    assert result.skipped == ("year",) and result.rejected is None and result.valid.count() == 2
+
+
+def test_column_of_bad_text_rejects_every_row(spark):
+    valid, rejected, _ = split(spark, [("x",), ("y",)], "year string", [YEAR])
+    assert valid.dtypes == [("year", "int")] and valid.count() == 0 and rejected.count() == 2
+
+
+def test_undefined_cast_rejects_every_row(spark):
+    rule = Rule("flag", T.TimestampType(), "no time")
+    valid, rejected, _ = split(spark, [(True,), (False,)], "flag boolean", [rule])
+    assert valid.count() == 0
+    assert sorted(rejected.collect()) == [("false", "no time"), ("true", "no time")]
+
+
+def test_nested_value_is_rejected_as_json(spark):
+    rule = Rule("parts", T.IntegerType(), "nested")
+    _, rejected, _ = split(spark, [([1, 2],)], "parts array<int>", [rule])
+    assert rejected.first()["data_quality_error"] == "nested"
+
+
+def test_nullable_rule_lets_nulls_through_but_not_bad_text(spark):
+    rule = Rule("year", T.IntegerType(), "bad year", nullable=True)
+    valid, rejected, _ = split(spark, [("1",), (None,), ("x",)], "year string", [rule])
+    assert sorted(valid.collect(), key=str) == [(1,), (None,)]
+    assert rejected.collect() == [("x", "bad year")]
+
+
+def test_names_with_dots_and_reserved_names(spark):
+    dotted = Rule("y.z", T.IntegerType(), "bad")
+    valid, _, _ = split(spark, [("1", 2)], "`y.z` string, `a b` int", [dotted])
+    assert valid.collect() == [(1, 2)] and valid.columns == ["y.z", "a b"]
+    with pytest.raises(ValueError, match="reserved"):
+        split(spark, [("1", 2)], "year string, __failed_rule int", [YEAR])
+
+
+def test_two_rules_on_one_column_are_refused(spark):
+    with pytest.raises(ValueError, match="one rule"):
+        split(spark, [("1",)], "year string", [YEAR, YEAR])
+
+
+def test_zoneless_timestamps_pass_a_timestamp_rule(spark):
+    rule = typed_rule("at", T.TimestampType())
+    valid, _, _ = split(spark, [(datetime(2020, 1, 2, 3),)], "at timestamp_ntz", [rule])
+    assert valid.dtypes == [("at", "timestamp")] and valid.count() == 1
+
+
+VALUES = st.sampled_from(["1", "2.5", "x", "", "NULL", " 3 ", "1e2", None])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(VALUES, VALUES), min_size=1, max_size=30))
+def test_agrees_with_rule_by_rule_python(spark, rows):
+    def as_int(text):
+        try:
+            return int(text.split(".")[0]) if "e" not in text else None
+        except ValueError:
+            return None
+
+    def as_float(text):
+        try:
+            return float(text)
+        except ValueError:
+            return None
+
+    numbered = [(i, *row) for i, row in enumerate(rows)]
+    cleaned = [
+        (i, *[None if v is None or v.strip(" ") == "NULL" else v.strip(" ") for v in row])
+        for i, *row in numbered
+    ]
+    expected = {"valid": set(), "bad year": set(), "bad rate": set()}
+    applicable = [any(r[k] is not None for r in cleaned) for k in (1, 2)]
+    for i, year, rate in cleaned:
+        if applicable[0] and (year is None or as_int(year) is None):
+            expected["bad year"].add(i)
+        elif applicable[1] and (rate is None or as_float(rate) is None):
+            expected["bad rate"].add(i)
+        else:
+            expected["valid"].add(i)
+
+    df = spark.createDataFrame(numbered, "id int, year string, rate string")
+    result = apply_rules(normalize(df), [YEAR, RATE])
+    found = {"valid": {r["id"] for r in result.valid.collect()}, "bad year": set(), "bad rate": set()}
+    for row in result.rejected.collect() if result.rejected is not None else []:
+        found[row["data_quality_error"]].add(row["id"])
+    assert found == expected
+
+
+@pytest.mark.parametrize("name", list(RENTAL_STORE_SPECS))
+def test_every_row_lands_on_one_side(spark, name):
+    raw = raw_table(spark, SF_DIR, name)
+    result = clean(raw, RENTAL_STORE_SPECS[name])
+    assert result.valid.count() + result.rejected.count() == raw.count()
+    messages = {row[0] for row in result.rejected.select("data_quality_error").distinct().collect()}
+    assert messages <= {rule.message for rule in RENTAL_STORE_SPECS[name].rules}
+
+
+def test_rules_need_no_shuffle_and_read_few_columns(spark):
+    result = clean(raw_table(spark, SF_DIR, "rental"), RENTAL_STORE_SPECS["rental"])
+    for side in (result.valid, result.rejected):
+        plan = plan_of(side)
+        assert "Exchange" not in plan and "Python" not in plan
+        assert "l_comment" not in plan and "l_extendedprice" not in plan.split("ReadSchema")[1]
+
+
+def test_combine_skips_missing_frames_and_matches_names(spark):
+    a = spark.createDataFrame([(1, "x")], "n int, t string")
+    b = spark.createDataFrame([("x", 1), ("y", 2)], "t string, n int")
+    assert sorted(combine_frames([None, a, None, b]).collect()) == [(1, "x"), (1, "x"), (2, "y")]
+    assert combine_frames([None, None]) is None
+
+
+def test_date_partition_keeps_the_field_and_passes_other_names(spark):
+    df = spark.createDataFrame(
+        [(datetime(2020, 1, 2, 23, 30), datetime(2020, 1, 2, 23, 30), "k")], "z timestamp, n timestamp_ntz, k string"
+    )
+    dated, keys = date_partition(df, ["z", "n", "k", "absent"])
+    assert keys == ["z_partition", "n_partition", "k", "absent"]
+    assert dated.dtypes[3:] == [("z_partition", "date"), ("n_partition", "date")]
+    assert dated.columns[:3] == df.columns
+
+
+def test_date_of_a_zoned_timestamp_follows_the_session(spark, conf):
+    df = spark.sql("SELECT timestamp '2020-01-02 23:30:00Z' AS z, timestamp_ntz '2020-01-02 23:30:00' AS n")
+    conf("spark.sql.session.timeZone", "Asia/Tokyo")
+    row = date_partition(df, ["z", "n"])[0].first()
+    assert (row["z_partition"].day, row["n_partition"].day) == (3, 2)

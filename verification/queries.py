@@ -19,6 +19,7 @@ from tablekit.operators import (
     combine_frames,
     date_partition,
     drop_null_columns,
+    left_join,
     normalize,
     null_tokens,
     strip_headers,
@@ -32,7 +33,7 @@ from tablekit.plans import (
     rental_model,
     run_pipeline,
 )
-from tablekit.plans.models import full_name, left_join
+from tablekit.plans.models import full_name
 from tablekit.plans.specs import DOUBLE, INTEGER, STORE, TIMESTAMP, typed_rule
 from tablekit.session import fresh_path
 from tablekit.sinks import TableSink
