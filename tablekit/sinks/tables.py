@@ -85,9 +85,10 @@ class TableSink:
         """Register files an earlier session left at the table's path, if any."""
         if not path_exists(self.spark, self.path(table)):
             return False
-        self.spark.catalog.createTable(
-            self.name(table), path=self.path(table), source="parquet", mergeSchema="true"
-        )
+        catalog = self.spark.catalog
+        catalog.createTable(self.name(table), path=self.path(table), source="parquet", mergeSchema="true")
+        if any(column.isPartition for column in catalog.listColumns(self.name(table))):
+            catalog.recoverPartitions(self.name(table))
         return True
 
     def _create(self, writer: DataFrameWriter, table: str, partition_by: Sequence[str], mode: str) -> None:

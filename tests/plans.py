@@ -7,4 +7,8 @@ def plan_of(df) -> str:
 
 def final_plan(df) -> str:
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def estimated_bytes(df) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -1,0 +1,156 @@
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from plans import plan_of
+from tablekit.operators import date_partition
+from tablekit.sinks import SchemaConflict, TableSink
+from tablekit.sources import load_table, run_query
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def stored(sink, table="t"):
+    return sink.spark.table(sink.name(table))
+
+
+def test_append_is_the_default_and_doubles_on_a_rerun(spark, sink):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, t string")
+    assert [sink.save(df, "t"), sink.save(df, "t")] == [2, 2]
+    assert rows(stored(sink)) == rows(df.unionAll(df))
+    assert Path(sink.path("t")).is_dir()
+
+
+def test_overwrite_does_not_double(spark, sink):
+    df = spark.createDataFrame([(1, "a")], "n int, t string")
+    for _ in range(2):
+        sink.save(df, "t", mode="overwrite")
+    assert rows(stored(sink)) == rows(df)
+
+
+def test_overwrite_replaces_schema_and_partitioning(spark, sink):
+    sink.save(spark.createDataFrame([(1, "a")], "n int, t string"), "t")
+    sink.save(spark.createDataFrame([(2.5, "k")], "x double, k string"), "t", ["k"], mode="overwrite")
+    assert rows(stored(sink)) == [(2.5, "k")]
+
+
+def test_overwrite_partitions_touches_only_those_written(spark, sink, conf):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    sink.save(spark.createDataFrame([(1, "a"), (2, "b")], "n int, k string"), "t", ["k"])
+    sink.save(spark.createDataFrame([(9, "b"), (8, "c")], "n int, k string"), "t", ["k"], mode="overwrite_partitions")
+    assert rows(stored(sink)) == [(1, "a"), (8, "c"), (9, "b")]
+    assert spark.conf.get(mode) == before
+
+
+def test_new_and_missing_columns(spark, sink):
+    sink.save(spark.createDataFrame([(1, "a")], "n int, t string"), "t")
+    sink.save(spark.createDataFrame([("b", 2.5)], "t string, `odd name` double"), "t")
+    sink.save(spark.createDataFrame([(3,)], "N int"), "t")
+    assert stored(sink).columns == ["n", "t", "odd name"]
+    assert rows(stored(sink)) == rows(
+        spark.createDataFrame([(1, "a", None), (None, "b", 2.5), (3, None, None)], "a int, b string, c double")
+    )
+
+
+def test_new_columns_of_a_partitioned_table(spark, sink):
+    sink.save(spark.createDataFrame([(1, "a")], "n int, k string"), "t", ["k"])
+    sink.save(spark.createDataFrame([("b", 2.5, 2)], "k string, x double, n int"), "t", ["k"])
+    assert rows(stored(sink).select("n", "k", "x")) == [(1, "a", None), (2, "b", 2.5)]
+
+
+@pytest.mark.parametrize(
+    "old, new, fits",
+    [
+        ("bigint", "int", True),
+        ("double", "bigint", True),
+        ("string", "double", True),
+        ("timestamp", "date", True),
+        ("bigint", "double", False),
+        ("int", "string", False),
+        ("date", "timestamp", False),
+        ("string", "array<int>", False),
+    ],
+)
+def test_types_may_widen_but_never_lose(spark, sink, old, new, fits):
+    sink.save(spark.sql(f"SELECT CAST(NULL AS {old}) AS c, 1 AS n"), "t")
+    arriving = spark.sql(f"SELECT CAST(NULL AS {new}) AS c, 2 AS n")
+    if fits:
+        sink.save(arriving, "t")
+        assert stored(sink).count() == 2 and stored(sink).dtypes[0] == ("c", old)
+    else:
+        with pytest.raises(SchemaConflict, match="column c"):
+            sink.save(arriving, "t")
+        assert stored(sink).count() == 1
+
+
+def test_empty_frame_stores_its_schema(spark, sink):
+    assert sink.save(spark.createDataFrame([], "a int, data_quality_error string"), "t_errors") == 0
+    assert stored(sink, "t_errors").columns == ["a", "data_quality_error"]
+
+
+def test_no_columns_and_unknown_modes_are_refused(spark, sink):
+    with pytest.raises(ValueError, match="no columns"):
+        sink.save(spark.range(3).select(), "t")
+    with pytest.raises(ValueError, match="mode"):
+        sink.save(spark.range(3), "t", mode="purge")
+
+
+def test_files_of_an_earlier_session_are_taken_in(spark, sink):
+    sink.save(spark.createDataFrame([(1, "a")], "n int, k string"), "t", ["k"])
+    spark.sql(f"DROP TABLE {sink.name('t')}")
+    again = TableSink(spark, f"{sink.database}_again", sink.base_path)
+    again.save(spark.createDataFrame([(2, "b", 0.5)], "n int, k string, x double"), "t", ["k"])
+    assert rows(stored(again).select("n", "k", "x")) == [(1, "a", None), (2, "b", 0.5)]
+
+
+def test_partitioned_table_prunes_on_the_date(spark, sink):
+    df = spark.createDataFrame(
+        [(i, datetime(2020, 1, 1 + i % 3, 12)) for i in range(30)], "n int, at timestamp"
+    )
+    dated, keys = date_partition(df, ["at"])
+    sink.save(dated, "t", keys)
+    one_day = stored(sink).where("at_partition = date '2020-01-02'")
+    assert one_day.count() == 10
+    assert "PartitionFilters: [isnotnull(at_partition" in plan_of(one_day)
+    assert sorted(p.name for p in Path(sink.path("t")).glob("at_*")) == [
+        f"at_partition=2020-01-0{d}" for d in (1, 2, 3)
+    ]
+
+
+def test_null_dates_keep_their_rows(spark, sink):
+    df = spark.createDataFrame([(1, datetime(2020, 1, 1)), (2, None)], "n int, at timestamp")
+    dated, keys = date_partition(df, ["at"])
+    sink.save(dated, "t", keys)
+    assert rows(stored(sink).select("n", "at_partition")) == rows(dated.select("n", "at_partition"))
+
+
+def test_hot_partition_is_written_by_several_tasks_and_small_ones_by_one(spark, sink, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    day = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5))
+    df = spark.range(0, 120_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"), day.alias("k"))
+    assert sink.save(df, "t", ["k"]) == 120_000
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(sink.path("t")).glob("k=*")}
+    assert files["k=hot"] > 1
+    assert stored(sink).where("k = 'hot'").count() == 40_000
+    sink.save(df, "as_is", ["k"], cluster=False)
+    assert len(list(Path(sink.path("as_is")).glob("k=hot/*.parquet"))) == 8
+
+
+def test_small_partitions_get_one_file_each(spark, sink):
+    df = spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 4).alias("k"))
+    sink.save(df, "t", ["k"])
+    assert {len(list(p.glob("*.parquet"))) for p in Path(sink.path("t")).glob("k=*")} == {1}
+
+
+def test_catalog_table_as_view_and_sql(spark, sink):
+    sink.save(spark.createDataFrame([(1, "old")], "n int, t string"), "first")
+    sink.save(spark.createDataFrame([(2, "new")], "n int, t string"), "second")
+    load_table(spark, sink.database, "first", "shown")
+    assert rows(run_query(spark, "SELECT t FROM shown")) == [("old",)]
+    load_table(spark, sink.database, "second", "shown")
+    assert rows(run_query(spark, "SELECT t FROM shown")) == [("new",)]
