@@ -75,8 +75,12 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_workbooks(df: DataFrame, sheet: str, rows_per_file: int = 5000) -> DataFrame:
     """``df`` as ``(path, content)`` of workbooks with at most ``rows_per_file`` rows
-    each, made where the rows are, without a shuffle."""
+    each, made where the rows are; only input in fewer pieces than there are cores is
+    spread first."""
     header = df.columns
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

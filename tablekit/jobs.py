@@ -22,8 +22,9 @@ def load(
     spark: SparkSession, workbooks: str, database: str, base_path: str, mode: str = "append"
 ) -> RunReport:
     """Sheets of the workbooks to checked tables and their error tables."""
-    sources = sheet_sources(spark, workbooks, list(RENTAL_STORE_SPECS))
-    return run_pipeline(RENTAL_STORE_SPECS.values(), sources, TableSink(spark, database, base_path), mode)
+    sink = TableSink(spark, database, base_path)
+    with sheet_sources(spark, workbooks, list(RENTAL_STORE_SPECS)) as sources:
+        return run_pipeline(RENTAL_STORE_SPECS.values(), sources, sink, mode)
 
 
 def main() -> None:

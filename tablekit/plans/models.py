@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tablekit.functions.columns import quoted
+from tablekit.functions.columns import fold_case, quoted
 from tablekit.operators.joins import is_broadcastable, left_join
 from tablekit.plans.specs import CUSTOMER, FILM, INVENTORY, RENTAL, RENTAL_STORE_SPECS, STORE
 from tablekit.sinks.tables import TableSink
@@ -98,9 +98,11 @@ def full_name(first: Column, last: Column) -> Column:
 
 def with_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Just ``columns`` of ``df``; those it lacks as nulls of the given type."""
-    present = set(df.columns)
+    spark = df.sparkSession
+    present = {fold_case(spark, c): c for c in df.columns}
+    found = {c: present.get(fold_case(spark, c)) for c in columns}
     return df.select(
-        *[quoted(c) if c in present else F.lit(None).cast(t).alias(c) for c, t in columns.items()]
+        *[(quoted(found[c]) if found[c] else F.lit(None).cast(t)).alias(c) for c, t in columns.items()]
     )
 
 

@@ -16,6 +16,10 @@ REPORT_SCHEMA = (
     "skipped_rules array<string>, failed_stage string, error string"
 )
 
+# Below this share of the valid rows the rejected ones are shuffled together before
+# they are written: every task of the scan would leave a tiny file otherwise.
+FEW_REJECTS = 0.1
+
 
 @dataclass
 class TableResult:
@@ -66,12 +70,16 @@ def _run_table(
             return result
         stage = "write_valid"
         valid, partition_by = date_partition(valid, spec.partition_by)
-        result.n_valid = sink.save(valid, spec.name, partition_by, mode)
+        result.n_valid = sink.save(valid, spec.name, partition_by, mode, spec.rebalance)
         if rejected is not None:
             stage = "write_rejected"
-            if spec.transform is None and watch.get["rejected"] == 0:
-                rejected = rejected.limit(0)  # known empty: stores the schema, reads nothing
-            result.n_rejected = sink.save(rejected, f"{spec.name}_errors", mode=mode)
+            few = False
+            if spec.transform is None:
+                expected = watch.get["rejected"]
+                few = expected < FEW_REJECTS * result.n_valid
+                if expected == 0:
+                    rejected = rejected.limit(0)  # stores the schema, reads nothing
+            result.n_rejected = sink.save(rejected, f"{spec.name}_errors", mode=mode, rebalance=few)
     except Exception as error:
         result.status, result.failed_stage, result.error = "failed", stage, f"{type(error).__name__}: {error}"
     return result

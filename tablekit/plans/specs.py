@@ -27,7 +27,7 @@ class TableSpec:
     ``columns`` are the columns the models read, with the type to assume where a
     load came without them. ``transform`` replaces the standard cleaning with any
     function from a frame to a ``Split``; with neither rules nor transform the
-    table is written as it is.
+    table is written as it is. ``rebalance`` is passed on to the sink.
     """
 
     name: str
@@ -35,6 +35,7 @@ class TableSpec:
     columns: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     transform: Callable[[DataFrame], Split] | None = None
+    rebalance: bool | None = None
 
 
 def typed_rule(column: str, type: T.DataType) -> Rule:

@@ -1,13 +1,23 @@
-"""The shared folder of a session, and frames written there to cut their lineage."""
+"""The shared folder of a session, frames kept there, and the size of its shuffles."""
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import lru_cache
+from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Input bytes one shuffle partition should stand for, and the most partitions: map
+# tasks times reduce tasks is what a shuffle has to keep track of, so beyond that
+# number partitions grow instead, which sorts and joins survive by spilling.
+SHUFFLE_PARTITION_BYTES = 512 << 20
+MOST_SHUFFLE_PARTITIONS = 50_000
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
@@ -19,30 +29,69 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
+    return _local_dir(spark.sparkContext.applicationId).name
 
 
 @lru_cache(maxsize=None)
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tablekit-{application_id}-")
+def _local_dir(application_id: str) -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix=f"tablekit-{application_id}-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it from there.
+def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to ``path`` and read it from there.
 
     For frames that are dear to compute and read several times, such as parsed
     workbooks. Unlike a cache the copy outlives the executors that made it.
     """
-    path = fresh_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the file system of ``path`` has it."""
+    file_system, location = _located(spark, path)
+    return file_system.exists(location)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    file_system, location = _located(spark, path)
+    file_system.delete(location, True)
+
+
+def _located(spark: SparkSession, path: str) -> tuple:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Spark's estimate of what the sources of ``df`` hold after pruning; sources it
+    knows no size of, such as rows made on the driver, count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    return sum(size for size in sizes if size < unknown)
+
+
+def shuffle_partitions_for(size: int) -> int:
+    return min(ceil(size / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[None]:
+    """Give the shuffles of ``df`` as many partitions as its input asks for, if the
+    session has set fewer. AQE merges those that turn out small, but it cannot split
+    partitions that are all too large."""
+    conf = df.sparkSession.conf
+    before = conf.get(_SHUFFLE_PARTITIONS)
+    wanted = shuffle_partitions_for(input_bytes(df))
+    if wanted <= int(before):
+        yield
+        return
+    conf.set(_SHUFFLE_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        conf.set(_SHUFFLE_PARTITIONS, before)

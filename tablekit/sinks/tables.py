@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F, types as T
 
 from tablekit.functions.columns import fold_case, quote, quoted
-from tablekit.session import path_exists
+from tablekit.session import path_exists, sized_shuffles
 
 MODES = ("append", "overwrite", "overwrite_partitions")
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -42,14 +42,15 @@ class TableSink:
         table: str,
         partition_by: Sequence[str] = (),
         mode: str = "append",
-        cluster: bool = True,
+        rebalance: bool | None = None,
     ) -> int:
         """Write ``df``, adding columns the stored table lacks; returns the rows written.
 
         ``append`` adds files, also on a re-run. ``overwrite`` replaces the table;
         ``overwrite_partitions`` replaces only the partitions ``df`` has rows for.
-        ``cluster=False`` skips the shuffle that gathers each partition's rows, for
-        input that is laid out that way already.
+        ``rebalance`` shuffles the rows into files of even size, by partition if the
+        table has any. It is the default for those; turn it off for input laid out
+        that way already, turn it on where each task has few rows to write.
         """
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -59,19 +60,20 @@ class TableSink:
         stored = mode != "overwrite" and self._exists(table)
         if stored:
             df = self._align(df, table)
-        if partition_by and cluster:
-            df = _gather(df, partition_by)
+        if bool(partition_by) if rebalance is None else rebalance:
+            df = _rebalanced(df, partition_by)
         # Counted last, in the tasks that write: a stage run again after a lost
         # executor would count its rows twice.
         written = Observation()
         writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
-        if not stored:
-            self._create(writer, table, partition_by, mode)
-        elif mode == "overwrite_partitions":
-            with _dynamic_overwrite(self.spark):
-                writer.insertInto(self.name(table), overwrite=True)
-        else:
-            writer.insertInto(self.name(table))
+        with sized_shuffles(df):
+            if not stored:
+                self._create(writer, table, partition_by, mode)
+            elif mode == "overwrite_partitions":
+                with _dynamic_overwrite(self.spark):
+                    writer.insertInto(self.name(table), overwrite=True)
+            else:
+                writer.insertInto(self.name(table))
         return written.get["rows"]
 
     def _ensure_database(self) -> None:
@@ -125,10 +127,10 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
-def _gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring rows of one table partition together, so that few tasks write to it.
 
-    ``rebalance`` is a shuffle whose outcome AQE sizes: it merges small partitions
+    The outcome of a ``rebalance`` shuffle is sized by AQE: it merges small partitions
     and splits one that a hot value makes too large, where a plain ``repartition``
     would send that value to a single task.
     """

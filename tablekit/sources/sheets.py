@@ -9,12 +9,13 @@ from where header, types and rules are read without touching a workbook again.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import partial
+from contextlib import contextmanager
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablekit.session import stage
+from tablekit.session import fresh_path, remove_path, stage
 from tablekit.sources.inference import apply_types, infer_types
 from tablekit.sources.xlsx import Workbook, header_names
 
@@ -85,9 +86,10 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW_SCHEMA)
 
 
-def stage_sheets(workbooks: DataFrame, sheets: Sequence[str]) -> DataFrame:
+def stage_sheets(workbooks: DataFrame, sheets: Sequence[str], path: str | None = None) -> DataFrame:
     """Parse once, keep the rows in the shared folder, one directory per sheet."""
-    return stage(scan_sheets(workbooks, sheets), "sheets", partition_by=("sheet",))
+    path = path or fresh_path(workbooks.sparkSession, "sheets")
+    return stage(scan_sheets(workbooks, sheets), path, partition_by=("sheet",))
 
 
 def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
@@ -118,15 +120,22 @@ def read_sheet(spark: SparkSession, path: str | list[str], sheet: str) -> DataFr
     return sheet_frame(stage_sheets(open_workbooks(spark, path), [sheet]), sheet)
 
 
+@contextmanager
 def sheet_sources(
     spark: SparkSession, path: str | list[str], sheets: Sequence[str]
-) -> dict[str, Callable[[], DataFrame]]:
-    """A loader per sheet; the first one called parses the workbooks for all."""
-    staged: list[DataFrame] = []
+) -> Iterator[dict[str, Callable[[], DataFrame]]]:
+    """A loader per sheet, for as long as the context lasts.
 
-    def load(sheet: str) -> DataFrame:
-        if not staged:
-            staged.append(stage_sheets(open_workbooks(spark, path), sheets))
-        return sheet_frame(staged[0], sheet)
+    The first loader called parses the workbooks for all; the staged rows are removed
+    at the end.
+    """
+    staged_path = fresh_path(spark, "sheets")
+
+    @lru_cache(maxsize=None)
+    def rows() -> DataFrame:
+        return stage_sheets(open_workbooks(spark, path), sheets, staged_path)
 
-    return {sheet: partial(load, sheet) for sheet in sheets}
+    try:
+        yield {sheet: lambda sheet=sheet: sheet_frame(rows(), sheet) for sheet in sheets}
+    finally:
+        remove_path(spark, staged_path)

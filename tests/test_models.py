@@ -92,6 +92,13 @@ def test_missing_dimension_columns_become_typed_nulls(spark, tables):
     assert model.where(F.col("special_features").isNotNull()).count() == 0
 
 
+def test_column_case_does_not_matter_to_models(tables):
+    film = tables["film"].withColumnRenamed("title", "Title").withColumnRenamed("film_id", "FILM_ID")
+    model = inventory_model(tables["inventory"], tables["store"], film)
+    expected = inventory_model(tables["inventory"], tables["store"], tables["film"])
+    assert model.exceptAll(expected).count() == 0 and model.columns == expected.columns
+
+
 def test_duplicate_stores_repeat_inventory_rows(tables):
     twice = tables["store"].unionAll(tables["store"])
     items = inventory_model(tables["inventory"], tables["store"], tables["film"])

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekit.fixtures import encode_workbook, zip_parts
+from tablekit.session import path_exists
 from tablekit.sources import (
     apply_types,
     infer_types,
@@ -145,12 +146,15 @@ def test_a_broken_workbook_is_named(spark):
 def test_sources_parse_the_workbooks_once_for_all_sheets(spark, tmp_path):
     path = tmp_path / "book.xlsx"
     path.write_bytes(encode_workbook({"a": [["x"], [1]], "b": [["y"], ["2020-01-05"]]}))
-    sources = sheet_sources(spark, str(path), ["a", "b", "c"])
-    assert sources["a"]().collect() == [(1,)]
-    path.unlink()
-    assert sources["b"]().dtypes == [("y", "timestamp")]
-    with pytest.raises(ValueError, match="no workbook"):
-        sources["c"]()
+    with sheet_sources(spark, str(path), ["a", "b", "c"]) as sources:
+        assert sources["a"]().collect() == [(1,)]
+        path.unlink()
+        assert sources["b"]().dtypes == [("y", "timestamp")]
+        with pytest.raises(ValueError, match="no workbook"):
+            sources["c"]()
+        (staged,) = {f.rsplit("/sheet=", 1)[0] for f in sources["a"]().inputFiles()}
+        assert path_exists(spark, staged)
+    assert not path_exists(spark, staged)
 
 
 @pytest.mark.parametrize(

@@ -137,10 +137,18 @@ def test_hot_partition_is_written_by_several_tasks_and_small_ones_by_one(spark,
     files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(sink.path("t")).glob("k=*")}
     assert files["k=hot"] > 1
     assert stored(sink).where("k = 'hot'").count() == 40_000
-    sink.save(df, "as_is", ["k"], cluster=False)
+    sink.save(df, "as_is", ["k"], rebalance=False)
     assert len(list(Path(sink.path("as_is")).glob("k=hot/*.parquet"))) == 8
 
 
+def test_few_rows_from_many_tasks_become_one_file(spark, sink):
+    df = spark.range(0, 800, 1, 8)
+    sink.save(df, "spread")
+    sink.save(df, "together", rebalance=True)
+    files = {t: len(list(Path(sink.path(t)).glob("*.parquet"))) for t in ("spread", "together")}
+    assert files == {"spread": 8, "together": 1}
+
+
 def test_small_partitions_get_one_file_each(spark, sink):
     df = spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 4).alias("k"))
     sink.save(df, "t", ["k"])
