@@ -138,3 +138,14 @@ def test_models_stop_at_a_missing_table(spark, sink):
     sink.save(spark.range(1), "film")
     with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
         build_models(spark, sink.database, sink.base_path)
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_counts_arrive_when_every_row_of_a_partitioned_table_is_rejected(spark, sink, conf, broadcast, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    spark.createDataFrame([("x", "d"), ("y", "d")] * 50, "n string, day string").write.parquet(str(tmp_path / "in"))
+    spec = TableSpec("t", SPEC.rules, partition_by=("day",))
+    result = run(sink, spark.read.parquet(str(tmp_path / "in")), spec)
+    assert (result.status, result.n_valid, result.n_rejected) == ("ok", 0, 100)
+    again = run(sink, spark.read.parquet(str(tmp_path / "in")), spec)
+    assert (again.status, again.n_valid, again.n_rejected) == ("ok", 0, 100), again

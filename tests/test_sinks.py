@@ -162,3 +162,24 @@ def test_catalog_table_as_view_and_sql(spark, sink):
     assert rows(run_query(spark, "SELECT t FROM shown")) == [("old",)]
     load_table(spark, sink.database, "second", "shown")
     assert rows(run_query(spark, "SELECT t FROM shown")) == [("new",)]
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_frames_that_turn_out_empty_count_zero(spark, sink, conf, tmp_path, threshold, keys):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    spark.range(100).select("id", F.lit("a").alias("k")).write.parquet(str(tmp_path / "in"))
+    stored_in = spark.read.parquet(str(tmp_path / "in"))
+    none = stored_in.where(F.col("id") + 1 < 0)
+    frames = {
+        "join": none.join(stored_in.select("id"), "id", "left"),
+        "inner": stored_in.join(none.select("id"), "id"),
+        "grouped": none.groupBy("k").agg(F.max("id").alias("id")),
+        "union": none.unionAll(none),
+        "constant": stored_in.where("1 = 0"),
+        "limit": stored_in.limit(0),
+    }
+    for name, frame in frames.items():
+        assert sink.save(frame, name, keys) == 0
+        assert stored(sink, name).columns == [*[c for c in frame.columns if c not in keys], *keys]
