@@ -12,10 +12,8 @@ from xml.etree import ElementTree
 from xml.parsers import expat
 from zipfile import ZipFile
 
-# Fixed values of the file format: XML namespaces, and the built-in number
-# formats that show a serial number as a date or a time.
-MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+# Fixed values of the file format: the built-in number formats that show a serial
+# number as a date or a time.
 DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 
 # Parts of a format code that cannot make it a date: quoted text, escaped
@@ -35,10 +33,8 @@ class Workbook:
             r.get("Id"): normpath(join("xl", r.get("Target"))).lstrip("/")
             for r in self._xml("xl/_rels/workbook.xml.rels")
         }
-        self._sheets = {
-            s.get("name").lower(): targets[s.get(f"{RELATION}id")] for s in book.iter(f"{MAIN}sheet")
-        }
-        settings = book.find(f"{MAIN}workbookPr")
+        self._sheets = {s.get("name").lower(): targets[_relation_id(s)] for s in book.findall(".//{*}sheet")}
+        settings = book.find("{*}workbookPr")
         self._from_1904 = settings is not None and settings.get("date1904") in ("1", "true")
         self._date_styles = self._find_date_styles()
         self._texts: list[str] | None = None
@@ -72,7 +68,7 @@ class Workbook:
             self._texts = []
             with self._zip.open("xl/sharedStrings.xml") as stream:
                 for _, node in ElementTree.iterparse(stream):
-                    if node.tag == f"{MAIN}si":
+                    if node.tag.endswith("}si"):
                         self._texts.append(_plain_text(node))
                         node.clear()
         return self._texts
@@ -83,9 +79,9 @@ class Workbook:
             return set()
         styles = self._xml("xl/styles.xml")
         custom = {
-            int(f.get("numFmtId")) for f in styles.iter(f"{MAIN}numFmt") if is_date_format(f.get("formatCode"))
+            int(f.get("numFmtId")) for f in styles.findall(".//{*}numFmt") if is_date_format(f.get("formatCode"))
         }
-        cell_styles = styles.find(f"{MAIN}cellXfs")
+        cell_styles = styles.find("{*}cellXfs")
         return {
             str(i)
             for i, style in enumerate(() if cell_styles is None else cell_styles)
@@ -159,8 +155,13 @@ class _SheetEvents:
 
 def _plain_text(node: ElementTree.Element) -> str:
     """Text of a string item: its own, or that of its rich-text runs."""
-    parts = [node, *node.findall(f"{MAIN}r")]
-    return "".join(part.findtext(f"{MAIN}t") or "" for part in parts)
+    parts = [node, *node.findall("{*}r")]
+    return "".join(part.findtext("{*}t") or "" for part in parts)
+
+
+def _relation_id(node: ElementTree.Element) -> str:
+    """The ``r:id`` attribute, whose namespace differs between the format's variants."""
+    return next(value for name, value in node.items() if name.endswith("}id"))
 
 
 @lru_cache(maxsize=1 << 14)

@@ -1,4 +1,6 @@
 from datetime import date, datetime
+from io import BytesIO
+from zipfile import ZipFile
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from tablekit.sources import (
 )
 from tablekit.sources.xlsx import Workbook, column_index, header_names, is_date_format, serial_to_text
 
+STRICT = "http://purl.oclc.org/ooxml"
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 
 
@@ -82,6 +85,17 @@ def test_styled_numbers_are_dates():
     assert rows_of(later)[0][1][1] == "2010-02-16 12:00:00"
 
 
+def test_strict_variant_of_the_format():
+    def strict(xml: str) -> str:
+        return xml.replace("http://schemas.openxmlformats.org/spreadsheetml/2006/main", STRICT + "/spreadsheetml/main").replace(
+            "http://schemas.openxmlformats.org/officeDocument/2006/relationships", STRICT + "/officeDocument/relationships"
+        )
+
+    source = ZipFile(BytesIO(encode_workbook({"Data": [["a", "at"], ["x", datetime(2020, 1, 2)]]})))
+    content = zip_parts({name: strict(source.read(name).decode()) for name in source.namelist()})
+    assert rows_of(content) == [(1, ["a", "at"]), (2, ["x", "2020-01-02 00:00:00"])]
+
+
 @pytest.mark.parametrize(
     "serial, text",
     [
