@@ -27,6 +27,8 @@ def tolerant_cast(column: Column, source: T.DataType, target: T.DataType) -> Col
 
 def cast_is_defined(df: DataFrame, name: str, target: T.DataType) -> bool:
     """Whether Spark knows a cast between the two types at all."""
+    if isinstance(df.schema[name].dataType, T.StringType) and isinstance(target, T.AtomicType):
+        return True
     try:
         df.select(quoted(name).try_cast(target)).schema
     except AnalysisException:

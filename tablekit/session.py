@@ -61,6 +61,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     file_system.delete(location, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system and root, so that every part of Spark that gets it
+    means the same place."""
+    file_system, location = _located(spark, path)
+    return file_system.makeQualified(location).toString()
+
+
 def _located(spark: SparkSession, path: str) -> tuple:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location

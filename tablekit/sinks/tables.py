@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F, types as T
 
 from tablekit.functions.columns import fold_case, quote, quoted
-from tablekit.session import path_exists, sized_shuffles
+from tablekit.session import path_exists, qualified, sized_shuffles
 
 MODES = ("append", "overwrite", "overwrite_partitions")
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -31,7 +31,7 @@ class TableSink:
     base_path: str
 
     def path(self, table: str) -> str:
-        return f"{self.base_path.rstrip('/')}/{table}"
+        return f"{qualified(self.spark, self.base_path)}/{table}"
 
     def name(self, table: str) -> str:
         return f"{quote(self.database)}.{quote(table)}"
@@ -77,7 +77,7 @@ class TableSink:
         return written.get["rows"]
 
     def _ensure_database(self) -> None:
-        location = self.base_path.replace("\\", "\\\\").replace("'", "\\'")
+        location = qualified(self.spark, self.base_path).replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.database)} LOCATION '{location}'")
 
     def _exists(self, table: str) -> bool:

@@ -24,3 +24,11 @@ def test_query_equals_sql(spark, connection, key):
 
 def test_entry_gives_the_rental_model(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("key", ["clean_rental", "sheet_scan", "date_partition", "sink_partitioned", "clean_film"])
+@pytest.mark.parametrize("option", [("spark.sql.session.timeZone", "Asia/Tokyo"), ("spark.sql.ansi.enabled", "false")])
+def test_result_does_not_depend_on_the_session(spark, connection, conf, key, option):
+    conf(*option)
+    result = contract.queries()[key](spark, SF_DIR)
+    assert differences(result, connection.sql(contract.oracle_sql()[key])) == []

@@ -145,6 +145,25 @@ def test_every_row_lands_on_one_side(spark, name):
     assert messages <= {rule.message for rule in RENTAL_STORE_SPECS[name].rules}
 
 
+# Rows at sf0.01: valid, then rejected by each rule in order.
+EXPECTED = {
+    "film": [1285, 286, 276, 84, 69],
+    "store": [89, 11],
+    "inventory": [14347, 653],
+    "customer": [1401, 49, 50],
+    "rental": [37872, 1494, 1858, 18776],
+}
+
+
+@pytest.mark.parametrize("name", list(EXPECTED))
+def test_counts_per_rule(spark, name):
+    spec = RENTAL_STORE_SPECS[name]
+    result = clean(raw_table(spark, "/root/testdata/sf0.01", name), spec)
+    per_message = dict(result.rejected.groupBy("data_quality_error").count().collect())
+    counts = [result.valid.count(), *[per_message[rule.message] for rule in spec.rules]]
+    assert counts == EXPECTED[name]
+
+
 def test_rules_need_no_shuffle_and_read_few_columns(spark):
     result = clean(raw_table(spark, SF_DIR, "rental"), RENTAL_STORE_SPECS["rental"])
     for side in (result.valid, result.rejected):

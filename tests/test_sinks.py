@@ -14,6 +14,10 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
+def location(sink, table):
+    return sink.path(table).removeprefix("file:")
+
+
 def stored(sink, table="t"):
     return sink.spark.table(sink.name(table))
 
@@ -22,7 +26,7 @@ def test_append_is_the_default_and_doubles_on_a_rerun(spark, sink):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, t string")
     assert [sink.save(df, "t"), sink.save(df, "t")] == [2, 2]
     assert rows(stored(sink)) == rows(df.unionAll(df))
-    assert Path(sink.path("t")).is_dir()
+    assert Path(location(sink, "t")).is_dir()
 
 
 def test_overwrite_does_not_double(spark, sink):
@@ -117,7 +121,7 @@ def test_partitioned_table_prunes_on_the_date(spark, sink):
     one_day = stored(sink).where("at_partition = date '2020-01-02'")
     assert one_day.count() == 10
     assert "PartitionFilters: [isnotnull(at_partition" in plan_of(one_day)
-    assert sorted(p.name for p in Path(sink.path("t")).glob("at_*")) == [
+    assert sorted(p.name for p in Path(location(sink, "t")).glob("at_*")) == [
         f"at_partition=2020-01-0{d}" for d in (1, 2, 3)
     ]
 
@@ -134,25 +138,25 @@ def test_hot_partition_is_written_by_several_tasks_and_small_ones_by_one(spark,
     day = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 5))
     df = spark.range(0, 120_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"), day.alias("k"))
     assert sink.save(df, "t", ["k"]) == 120_000
-    files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(sink.path("t")).glob("k=*")}
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(location(sink, "t")).glob("k=*")}
     assert files["k=hot"] > 1
     assert stored(sink).where("k = 'hot'").count() == 40_000
     sink.save(df, "as_is", ["k"], rebalance=False)
-    assert len(list(Path(sink.path("as_is")).glob("k=hot/*.parquet"))) == 8
+    assert len(list(Path(location(sink, "as_is")).glob("k=hot/*.parquet"))) == 8
 
 
 def test_few_rows_from_many_tasks_become_one_file(spark, sink):
     df = spark.range(0, 800, 1, 8)
     sink.save(df, "spread")
     sink.save(df, "together", rebalance=True)
-    files = {t: len(list(Path(sink.path(t)).glob("*.parquet"))) for t in ("spread", "together")}
+    files = {t: len(list(Path(location(sink, t)).glob("*.parquet"))) for t in ("spread", "together")}
     assert files == {"spread": 8, "together": 1}
 
 
 def test_small_partitions_get_one_file_each(spark, sink):
     df = spark.range(0, 1000, 1, 8).select("id", (F.col("id") % 4).alias("k"))
     sink.save(df, "t", ["k"])
-    assert {len(list(p.glob("*.parquet"))) for p in Path(sink.path("t")).glob("k=*")} == {1}
+    assert {len(list(p.glob("*.parquet"))) for p in Path(location(sink, "t")).glob("k=*")} == {1}
 
 
 def test_catalog_table_as_view_and_sql(spark, sink):
@@ -183,3 +187,12 @@ def test_frames_that_turn_out_empty_count_zero(spark, sink, conf, tmp_path, thre
     for name, frame in frames.items():
         assert sink.save(frame, name, keys) == 0
         assert stored(sink, name).columns == [*[c for c in frame.columns if c not in keys], *keys]
+
+
+def test_relative_and_quoted_base_paths(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    odd = TableSink(spark, "odd_path", "it's here/tables")
+    odd.save(spark.range(3), "t")
+    odd.save(spark.range(3), "t")
+    assert odd.path("t").startswith("file:/") and stored(odd).count() == 6
+    assert spark.read.parquet(odd.path("t")).count() == 6

@@ -212,7 +212,7 @@ ORACLES: dict[str, str] = {
     "custom_transform": """
         SELECT *, CASE WHEN o_orderstatus = 'O' THEN 'open' ELSE '' END AS data_quality_error FROM orders""",
     "passthrough": "SELECT * FROM events",
-    "pipeline_report": " UNION ALL ".join(
+    "table_run_report": " UNION ALL ".join(
         [
             *[report_row(name) for name in COLUMNS],
             "SELECT 'payment', 'failed', NULL, NULL, '', 'load'",

@@ -320,7 +320,7 @@ def passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sink.name("events"))
 
 
-def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def table_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five tables, one without a source to load, and one without rules."""
     specs = [*RENTAL_STORE_SPECS.values(), TableSpec("payment"), TableSpec("region")]
     load = {name: (lambda name=name: raw_table(spark, sf_dir, name)) for name in RAW_SQL}
@@ -363,5 +363,5 @@ QUERIES: dict[str, Query] = {
     **{f"clean_{name}": clean_query(name) for name in RENTAL_STORE_SPECS},
     "custom_transform": custom_transform,
     "passthrough": passthrough,
-    "pipeline_report": pipeline_report,
+    "table_run_report": table_run_report,
 }
