@@ -9,34 +9,13 @@ from tablekit.functions.columns import quoted, string_columns
 # Text forms a value must have before a cast is tried. They keep suffixed numbers
 # ('1d'), yes/no words and bare clock times text instead of letting a cast that
 # happens to succeed decide, and spare text columns the cost of failing casts.
-WHOLE_TEXT = r"^\s*[+-]?\d{1,19}\s*$"
 NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
-
-def _accepts_bigint(c: Column) -> Column:
-    return F.when(c.rlike(WHOLE_TEXT), c.try_cast("bigint").isNotNull()).otherwise(False)
-
-
-def _accepts_double(c: Column) -> Column:
-    return c.rlike(NUMBER_TEXT)
-
-
-def _accepts_boolean(c: Column) -> Column:
-    return F.lower(F.trim(c)).isin("true", "false")
-
-
-def _accepts_timestamp(c: Column) -> Column:
-    return F.when(c.rlike(DATE_TEXT), c.try_cast("timestamp").isNotNull()).otherwise(False)
-
-
-# From narrow to wide; the first type that every value accepts wins.
-CANDIDATES = [
-    ("bigint", _accepts_bigint),
-    ("double", _accepts_double),
-    ("boolean", _accepts_boolean),
-    ("timestamp", _accepts_timestamp),
-]
+# From narrow to wide; the first type that every value accepts wins. Bit i of a mask
+# stands for the i-th type.
+CANDIDATES = ("bigint", "double", "boolean", "timestamp")
+BIGINT, DOUBLE, BOOLEAN, TIMESTAMP = (1 << i for i in range(len(CANDIDATES)))
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
@@ -54,15 +33,19 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 
 
 def _mask(c: Column) -> Column:
-    bits = [F.when(accepts(c), F.lit(1 << i)).otherwise(0) for i, (_, accepts) in enumerate(CANDIDATES)]
-    return F.when(c.isNotNull(), sum(bits[1:], bits[0]))
+    """The types one value accepts: a number, a date and a flag never look alike."""
+    fraction = c.contains(".") | c.contains("e") | c.contains("E")
+    whole = ~fraction & c.try_cast("bigint").isNotNull()
+    number = F.when(whole, F.lit(BIGINT | DOUBLE)).otherwise(DOUBLE)
+    date = c.rlike(DATE_TEXT) & c.try_cast("timestamp").isNotNull()
+    flag = F.lower(F.trim(c)).isin("true", "false")
+    mask = F.when(c.rlike(NUMBER_TEXT), number).when(date, TIMESTAMP).when(flag, BOOLEAN).otherwise(0)
+    return F.when(c.isNotNull(), mask)
 
 
 def _narrowest(mask: int | None) -> str:
-    for i, (name, _) in enumerate(CANDIDATES):
-        if mask is not None and mask & (1 << i):
-            return name
-    return "string"
+    accepted = [name for i, name in enumerate(CANDIDATES) if mask is not None and mask & 1 << i]
+    return accepted[0] if accepted else "string"
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:

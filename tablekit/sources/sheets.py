@@ -11,26 +11,33 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache, partial
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablekit.session import fresh_path, remove_path, stage
 from tablekit.sources.inference import apply_types, infer_types
 from tablekit.sources.xlsx import Workbook, header_names
 
-ROWS_SCHEMA = "path string, sheet string, row_no bigint, header array<string>, cells map<string, string>"
+ROWS_SCHEMA = (
+    "path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>"
+)
 _ARROW_SCHEMA = pa.schema(
     [
         ("path", pa.string()),
         ("sheet", pa.string()),
         ("row_no", pa.int64()),
+        ("layout", pa.int64()),
         ("header", pa.list_(pa.string())),
-        ("cells", pa.map_(pa.string(), pa.string())),
+        ("cells", pa.list_(pa.string())),
     ]
 )
 _BATCH_ROWS = 5000
 
+# Up to this many different headers cells are picked by a CASE over them.
+FEW_LAYOUTS = 50
+
 
 def open_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(path, content)`` of every workbook under ``path``.
@@ -43,8 +50,9 @@ def open_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def scan_sheets(workbooks: DataFrame, sheets: Sequence[str]) -> DataFrame:
     """All rows of the named sheets, in one parse of each workbook.
 
-    The first row of a sheet arrives with its names in ``header`` and no cells; the
-    others with the cell texts by column name. Cells beyond the header are dropped.
+    The first row of a sheet arrives with its names in ``header`` and no cells, the
+    others with their cell texts by position. ``layout`` is a digest of the header.
+    Cells beyond the header are dropped.
     """
     parse = partial(_parse_batches, sheets=list(sheets))
     return workbooks.select("path", "content").mapInArrow(parse, ROWS_SCHEMA)
@@ -70,10 +78,10 @@ def _to_batches(path: str, sheet: str, rows: Iterator) -> Iterator[pa.RecordBatc
     if first is None:
         return
     names = header_names(first)
-    buffer = [(path, sheet, number, names, None)]
-    for number, values in rows:
-        cells = [(n, v) for n, v in zip(names, values) if v is not None]
-        buffer.append((path, sheet, number, None, cells))
+    layout, width = _digest(names), len(names)
+    buffer = [(path, sheet, number, layout, names, None)]
+    for number, cells in rows:
+        buffer.append((path, sheet, number, layout, None, cells[:width]))
         if len(buffer) == _BATCH_ROWS:
             yield _record_batch(buffer)
             buffer = []
@@ -81,6 +89,10 @@ def _to_batches(path: str, sheet: str, rows: Iterator) -> Iterator[pa.RecordBatc
         yield _record_batch(buffer)
 
 
+def _digest(names: list[str]) -> int:
+    return int.from_bytes(blake2b(repr(names).encode(), digest_size=8).digest(), signed=True)
+
+
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = [pa.array(values, type=f.type) for values, f in zip(zip(*rows), _ARROW_SCHEMA)]
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW_SCHEMA)
@@ -99,22 +111,42 @@ def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
     for its rows.
     """
     mine = rows.where(F.col("sheet") == sheet)
-    names = _column_names(mine)
+    headers = mine.where(F.col("header").isNotNull()).select("layout", "header").distinct()
+    names = _column_names(headers)
     if not names:
         raise ValueError(f"no workbook has a sheet {sheet!r} with a header row")
-    text = mine.where(F.col("header").isNull()).select(
-        *[F.col("cells")[F.lit(name)].alias(name) for name in names]
-    )
+    text = _cells_by_name(mine.where(F.col("header").isNull()), headers, names)
     return apply_types(text, infer_types(text)) if infer else text
 
 
-def _column_names(rows: DataFrame) -> list[str]:
+def _column_names(headers: DataFrame) -> list[str]:
     """Every header name once, by leftmost position; as many rows as columns."""
-    named = rows.where(F.col("header").isNotNull()).select(F.posexplode("header"))
+    named = headers.select(F.posexplode("header"))
     order = named.groupBy("col").agg(F.min("pos").alias("pos")).orderBy("pos", "col")
     return [row["col"] for row in order.collect()]
 
 
+def _cells_by_name(rows: DataFrame, headers: DataFrame, names: list[str]) -> DataFrame:
+    layouts = headers.take(FEW_LAYOUTS + 1)
+    if len(layouts) > FEW_LAYOUTS:
+        rows = rows.drop("header").join(headers, "layout")
+        return rows.select(
+            *[F.get("cells", F.array_position("header", F.lit(n)).cast("int") - 1).alias(n) for n in names]
+        )
+    positions = {row["layout"]: {n: i for i, n in enumerate(row["header"])} for row in layouts}
+    return rows.select(*[_pick(positions, name).alias(name) for name in names])
+
+
+def _pick(positions: dict[int, dict[str, int]], name: str) -> Column:
+    """The cell under ``name``; by plain position where all headers that have it agree."""
+    holders = {layout: at[name] for layout, at in positions.items() if name in at}
+    if len(holders) == len(positions) and len(set(holders.values())) == 1:
+        return F.get("cells", F.lit(next(iter(holders.values()))))
+    return F.coalesce(
+        *[F.when(F.col("layout") == layout, F.get("cells", F.lit(i))) for layout, i in holders.items()]
+    )
+
+
 def read_sheet(spark: SparkSession, path: str | list[str], sheet: str) -> DataFrame:
     """One named sheet of all workbooks under ``path``."""
     return sheet_frame(stage_sheets(open_workbooks(spark, path), [sheet]), sheet)

@@ -45,15 +45,15 @@ class Workbook:
         part = self._sheets.get(sheet.lower())
         if part is None:
             return
-        events = _SheetEvents(self._value)
+        feed = _row_parser(self._value)
         with self._zip.open(part) as stream:
             while chunk := stream.read(_CHUNK_BYTES):
-                yield from events.feed(chunk)
-        yield from events.feed(b"", last=True)
+                yield from feed(chunk, False)
+        yield from feed(b"", True)
 
-    def _value(self, kind: str, style: str | None, stored: str | None) -> str | None:
+    def _value(self, kind: str, style: str | None, stored: str) -> str | None:
         """Text of a cell from its type, style number and stored value."""
-        if stored is None or kind == "e":
+        if kind == "e":
             return None
         if kind == "s":
             return self._shared_texts()[int(stored)]
@@ -92,65 +92,76 @@ class Workbook:
         return ElementTree.fromstring(self._zip.read(part))
 
 
-class _SheetEvents:
-    """Collects rows from the XML events of a sheet; only ``v`` and ``t`` hold values,
-    a ``t`` below ``rPh`` is a reading aid."""
-
-    def __init__(self, value_of: Callable[[str, str | None, str | None], str | None]):
-        self._value_of = value_of
-        self._parser = expat.ParserCreate(namespace_separator="}")
-        self._parser.buffer_text = True
-        self._parser.StartElementHandler = self._start
-        self._parser.EndElementHandler = self._end
-        self._parser.CharacterDataHandler = self._text
-        self._done: list[Row] = []
-        self._number = 0
-        self._cells: list[str | None] = []
-        self._attributes: dict[str, str] = {}
-        self._stored: list[str] | None = None
-        self._reading = self._phonetic = False
-
-    def feed(self, chunk: bytes, last: bool = False) -> list[Row]:
-        self._done = []
-        self._parser.Parse(chunk, last)
-        return self._done
-
-    def _start(self, tag: str, attributes: dict[str, str]) -> None:
-        tag = tag.rpartition("}")[2]
-        if tag == "c":
-            self._attributes, self._stored = attributes, None
-        elif tag in ("v", "t"):
-            self._reading = not self._phonetic
-            if self._reading and self._stored is None:
-                self._stored = []
-        elif tag == "row":
-            self._number = int(attributes.get("r", self._number + 1))
-            self._cells = []
-        elif tag == "rPh":
-            self._phonetic = True
-
-    def _text(self, data: str) -> None:
-        if self._reading:
-            self._stored.append(data)
-
-    def _end(self, tag: str) -> None:
-        tag = tag.rpartition("}")[2]
-        if tag in ("v", "t"):
-            self._reading = False
-        elif tag == "c":
-            self._add_cell()
-        elif tag == "row" and self._cells:
-            self._done.append((self._number, self._cells))
-        elif tag == "rPh":
-            self._phonetic = False
-
-    def _add_cell(self) -> None:
-        get = self._attributes.get
-        reference = get("r")
-        position = column_index(reference.rstrip("0123456789")) if reference else len(self._cells)
-        self._cells.extend([None] * (position + 1 - len(self._cells)))
-        stored = None if self._stored is None else "".join(self._stored)
-        self._cells[position] = self._value_of(get("t", "n"), get("s"), stored)
+class _LocalNames(dict):
+    """Element names without their prefix, each worked out once."""
+
+    def __missing__(self, tag: str) -> str:
+        self[tag] = name = tag.rpartition(":")[2]
+        return name
+
+
+def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Callable[[bytes, bool], list[Row]]:
+    """A function that takes the next bytes of a sheet and returns the rows they end.
+
+    Only ``v`` and ``t`` elements hold values; a ``t`` below ``rPh`` is a reading aid.
+    The state is kept in local variables because this runs for every cell.
+    """
+    local_names = _LocalNames()
+    rows: list[Row] = []
+    cells: list[str | None] = []
+    attributes: dict[str, str] = {}
+    stored: list[str] = []
+    number = 0
+    has_value = reading = phonetic = False
+
+    def start(tag: str, found: dict[str, str]) -> None:
+        nonlocal cells, attributes, number, has_value, reading, phonetic
+        name = local_names[tag]
+        if name == "c":
+            attributes = found
+            has_value = False
+            stored.clear()
+        elif name == "v" or name == "t":
+            reading = not phonetic
+            has_value = has_value or reading
+        elif name == "row":
+            number = int(found.get("r", number + 1))
+            cells = []
+        elif name == "rPh":
+            phonetic = True
+
+    def text(data: str) -> None:
+        if reading:
+            stored.append(data)
+
+    def end(tag: str) -> None:
+        nonlocal reading, phonetic
+        name = local_names[tag]
+        if name == "v" or name == "t":
+            reading = False
+        elif name == "c":
+            reference = attributes.get("r")
+            position = column_index(reference.rstrip("0123456789")) if reference else len(cells)
+            while len(cells) <= position:
+                cells.append(None)
+            if has_value:
+                cells[position] = value_of(attributes.get("t", "n"), attributes.get("s"), "".join(stored))
+        elif name == "row" and cells:
+            rows.append((number, cells))
+        elif name == "rPh":
+            phonetic = False
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
+
+    def feed(chunk: bytes, last: bool) -> list[Row]:
+        nonlocal rows
+        rows = []
+        parser.Parse(chunk, last)
+        return rows
+
+    return feed
 
 
 def _plain_text(node: ElementTree.Element) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablekit.fixtures import encode_workbook, zip_parts
 from tablekit.session import path_exists
+from tablekit.sources import sheets
 from tablekit.sources import (
     apply_types,
     infer_types,
@@ -135,6 +136,19 @@ def test_sheet_of_many_workbooks_by_column_name(spark):
         sheet_frame(rows, "rental")
 
 
+@pytest.mark.parametrize("few", [50, 0])
+def test_headers_in_any_order_and_number(spark, monkeypatch, few):
+    """Few different headers are told apart by a CASE, many by a join; both are exact."""
+    monkeypatch.setattr(sheets, "FEW_LAYOUTS", few)
+    orders = [["a", "b", "c"], ["c", "a", "b"], ["b"], ["a", "d"]]
+    values = {"a": 1, "b": "x", "c": 2.5, "d": True}
+    books = [encode_workbook({"s": [names, [values[n] for n in names], []]}) for names in orders]
+    frame = sheet_frame(stage_sheets(as_frame(spark, *books), ["s"]), "s").select("a", "b", "c", "d")
+    assert sorted(frame.collect(), key=str) == sorted(
+        [tuple(values[n] if n in names else None for n in "abcd") for names in orders], key=str
+    )
+
+
 def test_reading_twenty_files(spark, tmp_path):
     for i in range(20):
         rows = [["id", "name", "flag", "at"], [i, f"n{i}", i % 2 == 0, datetime(2020, 1, 1 + i, 10, 30)]]
