@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
-from functools import lru_cache
 from io import BytesIO
 from posixpath import join, normpath
 from xml.etree import ElementTree
@@ -92,12 +91,16 @@ class Workbook:
         return ElementTree.fromstring(self._zip.read(part))
 
 
-class _LocalNames(dict):
-    """Element names without their prefix, each worked out once."""
+class _Memo(dict):
+    """Results of a function of one string, each worked out once."""
 
-    def __missing__(self, tag: str) -> str:
-        self[tag] = name = tag.rpartition(":")[2]
-        return name
+    def __init__(self, function: Callable[[str], object]):
+        super().__init__()
+        self._function = function
+
+    def __missing__(self, key: str) -> object:
+        self[key] = result = self._function(key)
+        return result
 
 
 def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Callable[[bytes, bool], list[Row]]:
@@ -106,7 +109,8 @@ def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Calla
     Only ``v`` and ``t`` elements hold values; a ``t`` below ``rPh`` is a reading aid.
     The state is kept in local variables because this runs for every cell.
     """
-    local_names = _LocalNames()
+    local_names = _Memo(lambda tag: tag.rpartition(":")[2])  # without a namespace prefix
+    positions = _Memo(column_index)
     rows: list[Row] = []
     cells: list[str | None] = []
     attributes: dict[str, str] = {}
@@ -141,7 +145,7 @@ def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Calla
             reading = False
         elif name == "c":
             reference = attributes.get("r")
-            position = column_index(reference.rstrip("0123456789")) if reference else len(cells)
+            position = positions[reference.rstrip("0123456789")] if reference else len(cells)
             while len(cells) <= position:
                 cells.append(None)
             if has_value:
@@ -175,7 +179,6 @@ def _relation_id(node: ElementTree.Element) -> str:
     return next(value for name, value in node.items() if name.endswith("}id"))
 
 
-@lru_cache(maxsize=1 << 14)
 def column_index(letters: str) -> int:
     index = 0
     for letter in letters:
