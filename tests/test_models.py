@@ -109,16 +109,18 @@ def test_duplicate_stores_repeat_inventory_rows(tables):
     assert doubled.count() == items.count() + matched.where("hit = 1").count()
 
 
-def test_hot_key_is_split(spark, conf):
-    """A third of the rows on one key: AQE splits that partition of the join."""
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_key_is_split(spark, conf, hot):
+    """A third of the rows on one key, or without one: AQE splits that partition."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000)
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot).cast("bigint")).otherwise(F.col("id") % 1000)
     facts = spark.range(0, 90_000, 1, 8).select("id", key.alias("k"))
     dims = spark.range(1000).select(F.col("id").alias("k"), F.concat(F.lit("d"), "id").alias("name"))
     joined = left_join(facts, dims, "k")
     assert "skew=true" in final_plan(joined)
-    assert joined.count() == 90_000 and joined.where("name = 'd7'").count() >= 30_000
+    named = joined.where("name = 'd7'" if hot else "name IS NULL")
+    assert joined.count() == 90_000 and named.count() >= 30_000

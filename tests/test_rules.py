@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import types as T
 
 from conftest import SF_DIR
 from plans import plan_of

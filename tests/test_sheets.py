@@ -11,7 +11,6 @@ from tablekit.sources import sheets
 from tablekit.sources import (
     apply_types,
     infer_types,
-    open_workbooks,
     read_sheet,
     scan_sheets,
     sheet_frame,
