@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -189,9 +190,8 @@ def test_frames_that_turn_out_empty_count_zero(spark, sink, conf, tmp_path, thre
         assert stored(sink, name).columns == [*[c for c in frame.columns if c not in keys], *keys]
 
 
-def test_relative_and_quoted_base_paths(spark, tmp_path, monkeypatch):
-    monkeypatch.chdir(tmp_path)
-    odd = TableSink(spark, "odd_path", "it's here/tables")
+def test_relative_and_quoted_base_paths(spark, tmp_path):
+    odd = TableSink(spark, "odd_path", os.path.relpath(tmp_path / "it's here" / "tables"))
     odd.save(spark.range(3), "t")
     odd.save(spark.range(3), "t")
     assert odd.path("t").startswith("file:/") and stored(odd).count() == 6
