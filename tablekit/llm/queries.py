@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablekit.llm.bpe import encode_decode
-from tablekit.llm.common import table
+from tablekit.llm.common import crc32_text, table
 from tablekit.llm.minhash import near_duplicates
+from tablekit.llm.mixing import mix
+from tablekit.llm.oracles import ORACLES as ORACLES
+from tablekit.llm.quality_gam import score, train
+from tablekit.llm.suffix_dedup import remove_repeats
 
 TOKENIZER = "byte_bpe_50k.json"
+QUALITY_THRESHOLD = 0.7
+ENTROPY, MOST_REPEATS = 0.995, 4.0
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +29,28 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), keep=["doc_id"])
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    fold = F.pmod(crc32_text("doc_id"), F.lit(4)) == 2
+    learned = documents.where(~fold).join(labels.select("doc_id", "quality"), "doc_id")
+    scored = score(documents, train(learned, "quality"))
+    return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), ENTROPY, MOST_REPEATS)
+    return mixed.select("doc_id", "source", "n_tokens", "weight", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op3_bpe": op3_bpe,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_quality_gam": op9_quality_gam,
+    "op10_temperature_mixing": op10_temperature_mixing,
 }
-ORACLES: dict[str, str] = {}
