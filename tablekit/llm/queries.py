@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablekit.llm import language_id
 from tablekit.llm.bpe import encode_decode
 from tablekit.llm.common import crc32_text, table
+from tablekit.llm.hilbert import categorical, hilbert_shards, logarithmic
 from tablekit.llm.minhash import near_duplicates
 from tablekit.llm.mixing import mix
 from tablekit.llm.oracles import ORACLES as ORACLES
@@ -18,6 +20,7 @@ from tablekit.llm.suffix_dedup import remove_repeats
 
 TOKENIZER = "byte_bpe_50k.json"
 QUALITY_THRESHOLD = 0.7
+SHARDS = 24
 ENTROPY, MOST_REPEATS = 0.995, 4.0
 
 
@@ -29,6 +32,24 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), keep=["doc_id"])
 
 
+def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(crc32_text("doc_id"), F.lit(3)) == 1
+    filters = language_id.train(documents.where(~held_out))
+    return language_id.predict(documents.select("doc_id", "text"), filters).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    size = (F.octet_length(data) + 8).cast("bigint")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", size.alias("size"), F.crc32(data).alias("text_crc32"))
+    dimensions = [categorical("source"), categorical("lang"), logarithmic(F.col("size"))]
+    order = [F.col("doc_id"), F.col("text_crc32")]
+    return hilbert_shards(documents, dimensions, order, SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -50,6 +71,8 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op3_bpe": op3_bpe,
+    "op6_language_filters": op6_language_filters,
+    "op7_hilbert_shards": op7_hilbert_shards,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_gam": op9_quality_gam,
     "op10_temperature_mixing": op10_temperature_mixing,
