@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tablekit.llm import language_id
 from tablekit.llm.bpe import encode_decode
 from tablekit.llm.common import crc32_text, table
+from tablekit.llm.embedding_dedup import near_vectors
 from tablekit.llm.hilbert import categorical, hilbert_shards, logarithmic
 from tablekit.llm.minhash import near_duplicates
 from tablekit.llm.mixing import mix
 from tablekit.llm.oracles import ORACLES as ORACLES
+from tablekit.llm.permutation_index import nearest
 from tablekit.llm.quality_gam import score, train
 from tablekit.llm.suffix_dedup import remove_repeats
 
@@ -28,10 +30,18 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_each=4, percent=80)
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), keep=["doc_id"])
 
 
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(crc32_text("doc_id"), F.lit(3)) == 1
@@ -70,7 +80,9 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_bpe": op3_bpe,
+    "op4_permutation_index": op4_permutation_index,
     "op6_language_filters": op6_language_filters,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
