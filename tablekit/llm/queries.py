@@ -19,6 +19,7 @@ from tablekit.llm.oracles import ORACLES as ORACLES
 from tablekit.llm.permutation_index import nearest
 from tablekit.llm.quality_gam import score, train
 from tablekit.llm.suffix_dedup import remove_repeats
+from tablekit.llm.token_files import read_token_files, token_folder, write_token_files
 
 TOKENIZER = "byte_bpe_50k.json"
 QUALITY_THRESHOLD = 0.7
@@ -42,6 +43,12 @@ def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    index = write_token_files(documents, token_folder(documents), public_tokenizers.path(TOKENIZER), end_id=0)
+    return read_token_files(index).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(crc32_text("doc_id"), F.lit(3)) == 1
@@ -83,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_bpe": op3_bpe,
     "op4_permutation_index": op4_permutation_index,
+    "op5_token_files": op5_token_files,
     "op6_language_filters": op6_language_filters,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
