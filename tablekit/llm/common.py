@@ -15,13 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df``, written once to the shared folder and read from there.
 
-    Cuts the lineage like a checkpoint; a lost executor takes nothing with it.
+    Cuts the lineage like a checkpoint; a lost executor takes nothing with it. Nothing
+    reads the write's shuffle files again, so they are removed with its end.
     """
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    path, conf = fresh_path(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(_CLEAN_SHUFFLES)
+    conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEAN_SHUFFLES, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

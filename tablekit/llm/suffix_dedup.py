@@ -17,8 +17,8 @@ from tablekit.llm.suffix_array import later_windows
 
 WIDTH, GRAM = 100, 24
 SPAN = WIDTH - GRAM + 1  # places of a gram in a string of WIDTH bytes
-SHARD_REGIONS = 4000
-_BASE = 0xD6E8FEB86659FD93
+SHARD_REGIONS = 2000
+_BASE, _OTHER_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _BLOCK_BYTES = 1 << 20
 
 
@@ -33,7 +33,7 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def fingerprints(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams chosen by winnowing from texts laid end to end.
+    """Places and 48-bit hashes of the grams chosen by winnowing from texts laid end to end.
 
     Every string of 100 bytes within a text holds a chosen gram of 24 bytes, the one of
     smallest hash, so equal strings hold an equal one at the same place.
@@ -48,7 +48,8 @@ def fingerprints(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tup
         h = h[:-size] + h[size:] * powers[size]
         by_size[2 * size] = h
     count = n - GRAM + 1
-    h = mix64(by_size[16][:count] + by_size[8][16 : 16 + count] * powers[16]) | np.uint64(1)
+    h = mix64(by_size[16][:count] + by_size[8][16 : 16 + count] * powers[16])
+    h = (h >> np.uint64(16)) | np.uint64(1)
     least = _sliding(h, SPAN, np.minimum)
     left = np.repeat(begins + sizes, sizes) - np.arange(n)
     least[left[: len(least)] < WIDTH] = 0
@@ -57,6 +58,14 @@ def fingerprints(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tup
     return chosen, h[chosen]
 
 
+def region_digests(data: np.ndarray, gram: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[begin:end], the bytes around each gram, and of its place there."""
+    table = mix64(np.arange(1000, 1256, dtype=np.uint64))[data]
+    powers, inverse = odd_powers(_OTHER_BASE, len(data)), odd_powers(pow(_OTHER_BASE, -1, 2**64), len(data) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table * powers)])
+    return mix64((sums[end] - sums[begin]) * inverse[begin] + ((gram - begin) * 512 + end - begin).astype(np.uint64))
+
+
 def _blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Some texts at a time: number of the first, bytes end to end, begins, sizes."""
     first, parts, total = 0, [], 0
@@ -79,49 +88,51 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's grams with the digest of their region: the bytes of all strings of
+    WIDTH bytes that hold the gram. Of equal regions in one text only the first goes on;
+    the others are removed here and now: rows with an end, neighbours put together."""
     for batch in batches:
-        row = np.asarray(batch.column(1))
+        id, tag = np.asarray(batch.column(1)), np.asarray(batch.column(2))
         for first, data, begins, sizes in _blocks(batch.column(0)):
             with np.errstate(over="ignore"):
-                at, found = fingerprints(data, begins, sizes)
-            owner = np.searchsorted(begins, at, "right") - 1
-            while len(at) and (bad := sizes[owner] == 0).any():  # empty texts begin where the next does
-                owner[bad] -= 1
-            columns = [found.view(np.int64), row[first + owner], (at - begins[owner]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "row", "at"])
+                at, gram = fingerprints(data, begins, sizes)
+                full = np.flatnonzero(sizes)  # empty texts begin where the next does
+                owner = full[np.searchsorted(begins[full], at, "right") - 1] if len(at) else at
+                begin, end = np.maximum(begins[owner], at - SPAN + 1), np.minimum(begins[owner] + sizes[owner], at + WIDTH)
+                digest = region_digests(data, at, begin, end) if len(at) else gram
+                same = mix64(mix64(gram + mix64(digest)) + owner.astype(np.uint64))
+            _, new = np.unique(same, return_index=True)
+            again = np.ones(len(at), bool)
+            again[new] = False
+            again = np.flatnonzero(again)
+            apart = np.append(True, (begin[again][1:] > end[again][:-1]) | (owner[again][1:] != owner[again][:-1]))[: len(again)]
+            heads = np.flatnonzero(apart)
+            stops = np.maximum.reduceat(end[again], heads) if len(heads) else heads
+            take = np.concatenate([new, again[heads]]).astype(np.int64)
+            place = np.concatenate([at[new], begin[again[heads]]]) - begins[owner[take]]
+            stop = np.concatenate([np.zeros(len(new), np.int64), stops - begins[owner[again[heads]]]])
+            columns = [gram.view(np.int64)[take], digest.view(np.int64)[take], id[first + owner[take]], tag[first + owner[take]], place.astype(np.int32), stop.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "digest", "id", "tag", "at", "end"])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The region of each candidate gram: the bytes of all strings of WIDTH bytes that
-    hold it. Of equal regions in one text only the first goes on; the others are removed
-    here and now, as spans without a gram."""
+    """The bytes of the regions around the listed grams of each text."""
     for batch in batches:
         out: list[list] = [[] for _ in range(7)]
-        for id, row, text, grams in zip(*(c.to_pylist() for c in batch.columns)):
-            data, seen, gone = text.encode(), set(), []
-            for g in sorted(grams, key=lambda g: g["at"]):
-                begin, end = max(0, g["at"] - SPAN + 1), min(len(data), g["at"] + WIDTH)
-                region = data[begin:end]
-                key = (g["gram"], g["at"] - begin, region)
-                if key not in seen:
-                    seen.add(key)
-                    for column, value in zip(out, (g["gram"], id, row, g["at"], g["at"] - begin, region, None)):
-                        column.append(value)
-                elif gone and begin <= gone[-1][1]:
-                    gone[-1][1] = max(end, gone[-1][1])
-                else:
-                    gone.append([begin, end])
-            for begin, end in gone:
-                for column, value in zip(out, (None, id, row, begin, 0, None, end)):
+        for id, tag, text, grams in zip(*(c.to_pylist() for c in batch.columns)):
+            data = text.encode()
+            for g in grams:
+                begin = max(0, g["at"] - SPAN + 1)
+                for column, value in zip(out, (g["gram"], g["kinds"], id, tag, g["at"], g["at"] - begin, data[begin : g["at"] + WIDTH])):
                     column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["gram", "id", "row", "at", "left", "region", "end"])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["gram", "kinds", "id", "tag", "at", "left", "region"])
 
 
 def _searched(table: pa.Table) -> pa.Table:
     """Spans of one shard: its regions' suffix array, runs of common prefixes of WIDTH
     bytes, and all but the earliest place of each run."""
-    ids, rows = np.asarray(table.column("id")), np.asarray(table.column("row"))
+    ids, rows = np.asarray(table.column("id")), np.asarray(table.column("tag"))
     order = np.lexsort((rows, ids))
     new = np.append(True, (np.diff(ids[order]) != 0) | (np.diff(rows[order]) != 0))
     document = np.empty(len(ids), np.int64)
@@ -129,7 +140,7 @@ def _searched(table: pa.Table) -> pa.Table:
     start = np.asarray(table.column("at"), np.int64) - np.asarray(table.column("left"))
     found = later_windows(table.column("region").to_pylist(), document, start, WIDTH)
     region, first, last = found.T
-    return pa.table({"id": ids[region], "row": rows[region], "begin": (start[region] + first).astype(np.int32), "end": (start[region] + last + WIDTH).astype(np.int32)})
+    return pa.table({"id": ids[region], "tag": rows[region], "begin": (start[region] + first).astype(np.int32), "end": (start[region] + last + WIDTH).astype(np.int32)})
 
 
 def _halves(regions: DataFrame) -> DataFrame:
@@ -137,59 +148,78 @@ def _halves(regions: DataFrame) -> DataFrame:
     the bytes that all its strings share as a new key, and only the bytes they need."""
     middle = F.expr("(lo + hi) div 2").cast("int")
     halves = F.explode(F.array(F.struct(F.col("lo"), middle.alias("hi")), F.struct((middle + 1).alias("lo"), F.col("hi")))).alias("half")
-    out = regions.select("gram", "id", "row", "at", "left", "region", halves)
+    out = regions.select("gram", "id", "tag", "at", "left", "region", halves)
     # strings of the region have the gram at left, left - 1, ... down to left + WIDTH - size
     low = F.greatest(F.col("half.lo"), F.col("left") + WIDTH - F.octet_length("region"))
     high = F.least(F.col("half.hi"), F.col("left"))
     out = out.select("*", low.alias("a"), high.alias("b")).where("a <= b and half.lo <= half.hi")
     cut = lambda begin, end: F.substring("region", F.col("left") - begin + 1, end + begin)  # noqa: E731  bytes -begin..end around the gram
     key = F.xxhash64("gram", "half", cut(F.col("half.lo"), F.lit(WIDTH) - F.col("half.hi")))
-    return out.select(key.alias("gram"), "id", "row", "at", F.col("b").alias("left"), cut(F.col("b"), F.lit(WIDTH) - F.col("a")).alias("region"), "half.lo", "half.hi")
+    region = cut(F.col("b"), F.lit(WIDTH) - F.col("a"))
+    out = out.select(key.alias("gram"), "id", "tag", "at", F.col("b").alias("left"), region.alias("region"), "half.lo", "half.hi")
+    return out.withColumn("digest", F.xxhash64("left", "region"))
+
+
+def _classes(members: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """The earliest member of each region of a gram, and how many regions the gram has."""
+    first = members.groupBy("gram", "digest").agg(F.min(F.struct("id", "tag", "at", *more)).alias("first"))
+    first = staged(first.select("gram", "digest", "first.*"), "classes")
+    kinds = first.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    return first, kinds
+
+
+def _copies(members: DataFrame, first: DataFrame) -> DataFrame:
+    """Members of a region other than its earliest."""
+    first = first.select("gram", "digest", F.struct("id", "tag", "at").alias("first"))
+    return members.join(first, ["gram", "digest"]).where("(id, tag, at) > (first.id, first.tag, first.at)")
 
 
 def repeated_spans(df: DataFrame) -> DataFrame:
-    """From (id, row, text) the spans (id, row, begin, end), with overlaps, of bytes that
-    lie in strings of 100 bytes which start earlier too.
+    """From (id, tag, text) the spans (id, tag, begin, end), with overlaps, of bytes that
+    lie in strings of 100 bytes which start earlier too. An end may lie beyond the text's.
 
     1. Winnowing counts the grams of all texts; those met once cannot be in a repeat.
-    2. Regions around the others are cut out. Equal regions of one gram are merged: all
+    2. The others are compared by the digest of the region around them: equal regions
        but the earliest are repeats from end to end.
-    3. What is left of a gram, where it has different regions, goes to a shard of some
-       4000, whose suffix array and common prefixes find the repeats. A gram with more
-       regions than that is split by where in a string it lies and by the bytes around
-       it, again and again, so no gram is too large for a shard.
+    3. Where a gram has different regions, one of each goes to a shard of some 2000,
+       whose suffix array and common prefixes find the repeats. A gram with more than
+       4000 is split by where in a string it lies and by the bytes around it, again
+       and again, so no gram is too large for a shard.
+
+    Each step is written to the shared folder. Grams and digests are shuffled, never all
+    members of one gram to one task; joins leave large grams to be split by AQE.
     """
     text = df.where("id is not null and text is not null")
     counts = text.select("text").mapInArrow(_counted, "gram bigint, n bigint")
     repeated = staged(counts.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
-    places = text.select("text", "row").mapInArrow(_placed, "gram bigint, row bigint, at int").join(repeated, "gram")
-    lists = places.groupBy("row").agg(F.collect_list(F.struct("gram", "at")).alias("grams"))
-    cut = text.join(lists, "row").select("id", "row", "text", "grams")
-    cut = staged(cut.mapInArrow(_cut_out, "gram bigint, id bigint, row bigint, at int, left int, region binary, end int"), "regions")
-    spans = [cut.where("gram is null").select("id", "row", F.col("at").alias("begin"), "end")]
-    regions = cut.where("gram is not null").drop("end").withColumns({"lo": F.lit(0), "hi": F.lit(SPAN - 1)})
+    places = text.select("text", "id", "tag").mapInArrow(_placed, "gram bigint, digest bigint, id bigint, tag int, at int, end int")
+    members = staged(places.join(repeated, "gram", "left_semi"), "members")
+    spans = [members.where("end > 0").select("id", "tag", F.col("at").alias("begin"), "end")]
+    around = (F.greatest(F.lit(0), F.col("at") - SPAN + 1).alias("begin"), (F.col("at") + WIDTH).alias("end"))
+    whole = members.where("end = 0").drop("end")
+    first, kinds = _classes(whole)
+    spans.append(staged(_copies(whole, first).select("id", "tag", *around), "spans"))
+    lists = first.join(kinds, "gram").groupBy("id", "tag").agg(F.collect_list(F.struct("gram", "at", "kinds")).alias("grams"))
+    cut = text.join(lists, ["id", "tag"]).select("id", "tag", "text", "grams")
+    regions = cut.mapInArrow(_cut_out, "gram bigint, kinds bigint, id bigint, tag int, at int, left int, region binary")
+    regions = staged(regions.withColumns({"lo": F.lit(0), "hi": F.lit(SPAN - 1)}), "regions")
+    discard(repeated, first)
     while True:
-        same = ["gram", "lo", "hi", "left", "d1", "d2"]
-        digested = regions.withColumns({"d1": F.xxhash64("region"), "d2": F.xxhash64("region", F.lit(1))})
-        earliest = digested.groupBy(*same).agg(F.min(F.struct("id", "row", "at")).alias("first"), F.count("*").alias("met"), F.first("region").alias("region"))
-        earliest = staged(earliest, "earliest")
-        many = earliest.where("met > 1").select(*(F.col(c).alias(f"k_{c}") for c in same), "first")
-        on = [F.col(c) == F.col(f"k_{c}") for c in same]
-        begin = F.col("at") - F.col("left")
-        copies = digested.join(many, on).where("(id, row, at) <> (first.id, first.row, first.at)")
-        spans.append(staged(copies.select("id", "row", begin.alias("begin"), (begin + F.octet_length("region")).alias("end")), "spans"))
-        kinds = earliest.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-        differing = staged(earliest.select("gram", "first.*", "left", "region", "lo", "hi").join(kinds, "gram"), "differing")
-        discard(earliest)
-        large = F.col("kinds") > SHARD_REGIONS
-        here, larger = (differing.agg(F.count_if(~large).alias("a"), F.count_if(large).alias("b")).first()) or (0, 0)
-        shard = F.pmod(F.xxhash64("gram"), F.lit(max(1, ceil(here / SHARD_REGIONS)))).alias("shard")
-        found = differing.where(~large).select(shard, "id", "row", "at", "left", "region")
-        found = found.groupBy("shard").applyInArrow(lambda t: _searched(t), "id bigint, row bigint, begin int, end int")
-        spans.append(staged(found, "spans"))
+        large = F.col("kinds") > 2 * SHARD_REGIONS
+        here, larger = regions.agg(F.count_if(~large).alias("a"), F.count_if(large).alias("b")).first()
+        packed = F.pmod(F.xxhash64("gram"), F.lit(max(1, ceil(here / SHARD_REGIONS))))
+        alone = F.col("kinds") > SHARD_REGIONS // 8  # so that no shard gets several large grams
+        shard = F.struct(alone, F.when(alone, F.col("gram")).otherwise(packed)).alias("shard")
+        found = regions.where(~large).select(shard, "id", "tag", "at", "left", "region")
+        spans.append(staged(found.groupBy("shard").applyInArrow(lambda t: _searched(t), "id bigint, tag int, begin int, end int"), "spans"))
         if not larger:
             break
-        regions = staged(_halves(differing.where(large)), "halves")
+        halves = staged(_halves(regions.where(large)), "halves")
+        first, kinds = _classes(halves, "left", "region", "lo", "hi")
+        begin = F.col("at") - F.col("left")
+        spans.append(staged(_copies(halves, first).select("id", "tag", begin.alias("begin"), (begin + F.octet_length("region")).alias("end")), "spans"))
+        regions = staged(first.join(kinds, "gram"), "regions")
+        discard(halves, first)
     out = spans[0]
     for more in spans[1:]:
         out = out.union(more)
@@ -210,10 +240,10 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", kept:
     names = []
     for wanted in ("n_bytes", "n_removed", "n_spans", "kept_sha256", *([kept] if kept else [])):
         names.append(free_name([*df.columns, *names], wanted))
-    key = F.xxhash64(F.col(f"`{id}`").cast("bigint"), F.col(f"`{text}`").cast("string"))
-    source = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("given"), key.alias("row"), F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    spans = repeated_spans(source.select("id", "row", "text")).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    both = source.join(spans, "row", "left")
+    tag = F.xxhash64(F.col(f"`{text}`").cast("string")).bitwiseAND(F.lit(2**31 - 1)).cast("int")
+    source = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("given"), tag.alias("tag"), F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    spans = repeated_spans(source.select("id", "tag", "text")).groupBy("id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    both = source.join(spans, ["id", "tag"], "left")
     with_text = bool(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +256,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", kept:
                     if begin > at or not runs:
                         pieces.append(data[at:begin])
                         runs += 1
-                    at = max(at, end)
+                    at = max(at, min(end, len(data)))
                 pieces.append(data[at:])
                 left = b"".join(pieces)
                 row = [len(data), len(data) - len(left), runs, hashlib.sha256(left).hexdigest()]

@@ -87,7 +87,7 @@ def test_suffix_array_and_common_prefixes(letters):
         assert shared[k] == min(same, 100)
 
 
-@pytest.mark.parametrize("regions", [4000, 3])
+@pytest.mark.parametrize("regions", [2000, 3])
 def test_suffix_query_against_brute_force(spark, monkeypatch, regions):
     monkeypatch.setattr(suffix_dedup, "SHARD_REGIONS", regions)
     df = documents(spark) if regions > 3 else documents(spark).where("doc_id < 60")
