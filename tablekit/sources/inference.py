@@ -9,8 +9,8 @@ from tablekit.functions.columns import quoted, string_columns
 # Text forms a value must have before a cast is tried. They keep suffixed numbers
 # ('1d'), yes/no words and bare clock times text instead of letting a cast that
 # happens to succeed decide, and spare text columns the cost of failing casts.
-NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+NUMBER_TEXT = r"^-?\d+(\.\d+)?([eE]-?\d+)?$"
+DATE_TEXT = r"^\d{4}-\d\d-\d\d \d\d:"
 
 # From narrow to wide; the first type that every value accepts wins. Bit i of a mask
 # stands for the i-th type.
@@ -33,13 +33,15 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 
 
 def _mask(c: Column) -> Column:
-    """The types one value accepts: a number, a date and a flag never look alike."""
-    fraction = c.contains(".") | c.contains("e") | c.contains("E")
-    whole = ~fraction & c.try_cast("bigint").isNotNull()
-    number = F.when(whole, F.lit(BIGINT | DOUBLE)).otherwise(DOUBLE)
-    date = c.rlike(DATE_TEXT) & c.try_cast("timestamp").isNotNull()
-    flag = F.lower(F.trim(c)).isin("true", "false")
-    mask = F.when(c.rlike(NUMBER_TEXT), number).when(date, TIMESTAMP).when(flag, BOOLEAN).otherwise(0)
+    """The types that hold one value so that it prints as the same text again: no zeros
+    before a key, no sign, no digit and no spelling is lost to a type."""
+    whole, real, moment = c.try_cast("bigint"), c.try_cast("double"), c.try_cast("timestamp")
+    exact = whole.between(-(2**53), 2**53)
+    number = F.when(whole.cast("string") == c, F.when(exact, BIGINT | DOUBLE).otherwise(BIGINT))
+    number = number.when(real.cast("string") == c, DOUBLE).otherwise(0)
+    shown = [F.date_format(moment, form) == c for form in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS")]
+    date = c.rlike(DATE_TEXT) & F.coalesce(shown[0] | shown[1], F.lit(False))
+    mask = F.when(c.rlike(NUMBER_TEXT), number).when(date, TIMESTAMP).when(c.isin("true", "false"), BOOLEAN).otherwise(0)
     return F.when(c.isNotNull(), mask)
 
 

@@ -10,18 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from functools import lru_cache, partial
+from functools import partial
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablekit.session import fresh_path, remove_path, stage
 from tablekit.sources.inference import apply_types, infer_types
 from tablekit.sources.xlsx import Workbook, header_names
 
 ROWS_SCHEMA = (
-    "path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>"
+    "path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>, error string"
 )
 _ARROW_SCHEMA = pa.schema(
     [
@@ -31,12 +31,13 @@ _ARROW_SCHEMA = pa.schema(
         ("layout", pa.int64()),
         ("header", pa.list_(pa.string())),
         ("cells", pa.list_(pa.string())),
+        ("error", pa.string()),
     ]
 )
 _BATCH_ROWS = 5000
 
-# Up to this many different headers cells are picked by a CASE over them.
-FEW_LAYOUTS = 50
+# Causes named when a sheet cannot be read; the rest are counted.
+_NAMED_CAUSES = 5
 
 
 def open_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -52,7 +53,8 @@ def scan_sheets(workbooks: DataFrame, sheets: Sequence[str]) -> DataFrame:
 
     The first row of a sheet arrives with its names in ``header`` and no cells, the
     others with their cell texts by position. ``layout`` is a digest of the header.
-    Cells beyond the header are dropped.
+    A sheet that cannot be read to its end gives a row with the cause in ``error``; an
+    unreadable workbook one for each sheet.
     """
     parse = partial(_parse_batches, sheets=list(sheets))
     return workbooks.select("path", "content").mapInArrow(parse, ROWS_SCHEMA)
@@ -65,12 +67,11 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], sheets: list[str]) -> Iter
 
 
 def _parse_workbook(path: str, content: bytes, sheets: list[str]) -> Iterator[pa.RecordBatch]:
-    try:
-        workbook = Workbook(content)
-        for sheet in sheets:
-            yield from _to_batches(path, sheet, workbook.rows(sheet))
-    except Exception as cause:
-        raise ValueError(f"cannot read workbook {path}: {cause}") from cause
+    for sheet in sheets:
+        try:
+            yield from _to_batches(path, sheet, Workbook(content).rows(sheet))
+        except Exception as cause:
+            yield _record_batch([(path, sheet, None, None, None, None, f"{type(cause).__name__}: {cause}")])
 
 
 def _to_batches(path: str, sheet: str, rows: Iterator) -> Iterator[pa.RecordBatch]:
@@ -78,10 +79,10 @@ def _to_batches(path: str, sheet: str, rows: Iterator) -> Iterator[pa.RecordBatc
     if first is None:
         return
     names = header_names(first)
-    layout, width = _digest(names), len(names)
-    buffer = [(path, sheet, number, layout, names, None)]
+    layout = _digest(names)
+    buffer = [(path, sheet, number, layout, names, None, None)]
     for number, cells in rows:
-        buffer.append((path, sheet, number, layout, None, cells[:width]))
+        buffer.append((path, sheet, number, layout, None, cells, None))
         if len(buffer) == _BATCH_ROWS:
             yield _record_batch(buffer)
             buffer = []
@@ -107,49 +108,59 @@ def stage_sheets(workbooks: DataFrame, sheets: Sequence[str], path: str | None =
 def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
     """One sheet of scanned rows: header row to column names, text to types.
 
-    Columns are matched by name across workbooks; one that a workbook lacks is null
-    for its rows.
+    Columns are matched by name across workbooks, whatever the case; the spelling that
+    stands furthest left wins. A column that a workbook lacks is null for its rows.
+    Cells beyond a header are kept under ``_c<position>``. A sheet that could not be
+    read in some workbook raises ``ValueError`` with the causes.
     """
     mine = rows.where(F.col("sheet") == sheet)
+    causes = mine.where(F.col("error").isNotNull()).select("path", "error")
+    if named := causes.orderBy("path").take(_NAMED_CAUSES):
+        more = causes.count() - len(named)
+        told = "; ".join(f"{row['path']}: {row['error']}" for row in named)
+        raise ValueError(f"cannot read sheet {sheet!r} of {told}" + (f"; and {more} more" if more else ""))
     headers = mine.where(F.col("header").isNotNull()).select("layout", "header").distinct()
-    names = _column_names(headers)
+    body = mine.where(F.col("header").isNull()).select("layout", "cells")
+    layouts = _widened(headers, body)
+    names = _column_names(layouts)
     if not names:
         raise ValueError(f"no workbook has a sheet {sheet!r} with a header row")
-    text = _cells_by_name(mine.where(F.col("header").isNull()), headers, names)
+    text = _cells_by_name(body, layouts, names)
     return apply_types(text, infer_types(text)) if infer else text
 
 
-def _column_names(headers: DataFrame) -> list[str]:
-    """Every header name once, by leftmost position; as many rows as columns."""
-    named = headers.select(F.posexplode("header"))
-    order = named.groupBy("col").agg(F.min("pos").alias("pos")).orderBy("pos", "col")
-    return [row["col"] for row in order.collect()]
+def _widened(headers: DataFrame, body: DataFrame) -> DataFrame:
+    """Headers with a name for every cell that stands below or beyond them."""
+    widths = body.groupBy("layout").agg(F.max(F.size("cells")).alias("width"))
+    missing = F.greatest(F.coalesce("width", F.lit(0)) - F.size("header"), F.lit(0))
+    beyond = F.transform(F.sequence(F.lit(1), missing), lambda i: F.concat(F.lit("_c"), F.size("header") + i - 1))
+    beyond = F.when(missing > 0, beyond).otherwise(F.array().cast("array<string>"))
+    return headers.join(widths, "layout", "left").select("layout", F.concat("header", beyond).alias("header"))
 
 
-def _cells_by_name(rows: DataFrame, headers: DataFrame, names: list[str]) -> DataFrame:
-    layouts = headers.take(FEW_LAYOUTS + 1)
-    if len(layouts) > FEW_LAYOUTS:
-        rows = rows.drop("header").join(headers, "layout")
-        return rows.select(
-            *[F.get("cells", F.array_position("header", F.lit(n)).cast("int") - 1).alias(n) for n in names]
-        )
-    positions = {row["layout"]: {n: i for i, n in enumerate(row["header"])} for row in layouts}
-    return rows.select(*[_pick(positions, name).alias(name) for name in names])
+def _column_names(layouts: DataFrame) -> list[str]:
+    """Every header name once, by leftmost position; as many rows as columns."""
+    named = layouts.select(F.posexplode("header"))
+    leftmost = named.groupBy(F.lower("col").alias("folded")).agg(F.min(F.struct("pos", "col")).alias("first"))
+    return [row["col"] for row in leftmost.select("first.*").orderBy("pos", "col").collect()]
 
 
-def _pick(positions: dict[int, dict[str, int]], name: str) -> Column:
-    """The cell under ``name``; by plain position where all headers that have it agree."""
-    holders = {layout: at[name] for layout, at in positions.items() if name in at}
-    if len(holders) == len(positions) and len(set(holders.values())) == 1:
-        return F.get("cells", F.lit(next(iter(holders.values()))))
-    return F.coalesce(
-        *[F.when(F.col("layout") == layout, F.get("cells", F.lit(i))) for layout, i in holders.items()]
-    )
+def _cells_by_name(body: DataFrame, layouts: DataFrame, names: list[str]) -> DataFrame:
+    """Cells picked by where their row's header has the name; each layout's positions are
+    worked out once and joined on."""
+    folded = F.transform("header", F.lower)
+    at = [F.array_position(folded, F.lit(n.lower())).cast("int") - 1 for n in names]
+    places = layouts.select("layout", F.array(*at).alias("places"))
+    cell = [F.get("cells", F.get("places", F.lit(i))).alias(n) for i, n in enumerate(names)]
+    return body.join(places, "layout").select(*cell)
 
 
-def read_sheet(spark: SparkSession, path: str | list[str], sheet: str) -> DataFrame:
-    """One named sheet of all workbooks under ``path``."""
-    return sheet_frame(stage_sheets(open_workbooks(spark, path), [sheet]), sheet)
+@contextmanager
+def read_sheet(spark: SparkSession, path: str | list[str], sheet: str) -> Iterator[DataFrame]:
+    """One named sheet of all workbooks under ``path``, for as long as the context lasts;
+    the staged rows are removed at the end."""
+    with sheet_sources(spark, path, [sheet]) as sources:
+        yield sources[sheet]()
 
 
 @contextmanager
@@ -158,16 +169,23 @@ def sheet_sources(
 ) -> Iterator[dict[str, Callable[[], DataFrame]]]:
     """A loader per sheet, for as long as the context lasts.
 
-    The first loader called parses the workbooks for all; the staged rows are removed
-    at the end.
+    The first loader called parses the workbooks for all, and the outcome, good or bad,
+    is that of the others too; the staged rows are removed at the end.
     """
     staged_path = fresh_path(spark, "sheets")
-
-    @lru_cache(maxsize=None)
-    def rows() -> DataFrame:
-        return stage_sheets(open_workbooks(spark, path), sheets, staged_path)
+    outcome: list[DataFrame | Exception] = []
+
+    def load(sheet: str) -> DataFrame:
+        if not outcome:
+            try:
+                outcome.append(stage_sheets(open_workbooks(spark, path), sheets, staged_path))
+            except Exception as cause:
+                outcome.append(cause)
+        if isinstance(outcome[0], Exception):
+            raise outcome[0]
+        return sheet_frame(outcome[0], sheet)
 
     try:
-        yield {sheet: lambda sheet=sheet: sheet_frame(rows(), sheet) for sheet in sheets}
+        yield {sheet: partial(load, sheet) for sheet in sheets}
     finally:
         remove_path(spark, staged_path)

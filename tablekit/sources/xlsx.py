@@ -51,15 +51,20 @@ class Workbook:
         yield from feed(b"", True)
 
     def _value(self, kind: str, style: str | None, stored: str) -> str | None:
-        """Text of a cell from its type, style number and stored value."""
+        """Text of a cell from its type, style number and stored value; the stored value
+        itself where it cannot be one of that type, for a rule to reject."""
         if kind == "e":
             return None
-        if kind == "s":
-            return self._shared_texts()[int(stored)]
         if kind == "b":
-            return "true" if stored == "1" else "false"
-        if kind == "n" and style in self._date_styles:
-            return serial_to_text(float(stored), self._from_1904)
+            return {"1": "true", "0": "false"}.get(stored, stored)
+        texts = self._shared_texts() if kind == "s" else None
+        try:
+            if texts is not None:
+                return texts[int(stored)]
+            if kind == "n" and style in self._date_styles:
+                return serial_to_text(float(stored), self._from_1904)
+        except (ValueError, IndexError, OverflowError):
+            pass
         return stored
 
     def _shared_texts(self) -> list[str]:
@@ -205,15 +210,23 @@ def serial_to_text(serial: float, from_1904: bool = False) -> str:
 
 
 def header_names(cells: list[str | None]) -> list[str]:
-    """Column names of a header row, by the naming rule of Spark's CSV reader: a blank
-    becomes ``_c<position>``, a repeated name gets its position appended."""
-    folded = [c.lower() for c in cells if c]
+    """Column names of a header row, no two alike but for case: outer blanks go, a blank
+    becomes ``_c<position>``, a repeated name gets its position appended, and one that
+    is taken even so, or looks like the name of another position, an underscore."""
+    stripped = [(cell or "").strip() for cell in cells]
+    folded = [name.lower() for name in stripped]
+    once = {name for name in folded if name and folded.count(name) == 1}
+    taken = {f for i, f in enumerate(folded) if f in once and not _of_other_position(f, i)}
     names = []
-    for i, cell in enumerate(cells):
-        if not cell:
-            names.append(f"_c{i}")
-        elif folded.count(cell.lower()) > 1:
-            names.append(f"{cell}{i}")
-        else:
-            names.append(cell)
+    for i, name in enumerate(stripped):
+        if folded[i] not in taken:
+            name = f"{name}{i}" if name and folded[i] not in once else name or f"_c{i}"
+            while name.lower() in taken or _of_other_position(name, i):
+                name += "_"
+            taken.add(name.lower())
+        names.append(name)
     return names
+
+
+def _of_other_position(name: str, position: int) -> bool:
+    return bool(re.fullmatch(r"_c\d+", name.lower())) and name.lower() != f"_c{position}"
