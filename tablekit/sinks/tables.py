@@ -14,8 +14,14 @@ from tablekit.session import path_exists, qualified, sized_shuffles
 MODES = ("append", "overwrite", "overwrite_partitions")
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
-# Numeric types from narrow to wide: a stored column takes any type left of its own.
-_NUMERIC_ORDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]
+# What each numeric type holds to the last digit, besides its own values.
+_EXACTLY_HELD = {
+    T.ShortType(): {T.ByteType()},
+    T.IntegerType(): {T.ByteType(), T.ShortType()},
+    T.LongType(): {T.ByteType(), T.ShortType(), T.IntegerType()},
+    T.FloatType(): {T.ByteType(), T.ShortType()},
+    T.DoubleType(): {T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType()},
+}
 
 
 class SchemaConflict(ValueError):
@@ -59,6 +65,7 @@ class TableSink:
         self._ensure_database()
         stored = mode != "overwrite" and self._exists(table)
         if stored:
+            self._check_partitions(table, partition_by, mode)
             df = self._align(df, table)
         if bool(partition_by) if rebalance is None else rebalance:
             df = _rebalanced(df, partition_by)
@@ -76,6 +83,21 @@ class TableSink:
                 writer.insertInto(self.name(table))
         return written.get["rows"]
 
+    def clear(self, table: str) -> None:
+        """Empty a stored table, if there is one; its columns stay."""
+        if self._exists(table):
+            schema = self.spark.table(self.name(table)).schema
+            self.spark.createDataFrame([], schema).write.insertInto(self.name(table), overwrite=True)
+
+    def _check_partitions(self, table: str, partition_by: Sequence[str], mode: str) -> None:
+        columns = self.spark.catalog.listColumns(self.name(table))
+        stored = [c.name for c in columns if c.isPartition]
+        if mode == "overwrite_partitions" and not stored:
+            raise ValueError(f"{table} has no partitions to overwrite; use overwrite or append")
+        fold = lambda names: [fold_case(self.spark, n) for n in names]
+        if partition_by and fold(partition_by) != fold(stored):
+            raise ValueError(f"{table} is stored by {stored}, not by {list(partition_by)}")
+
     def _ensure_database(self) -> None:
         location = qualified(self.spark, self.base_path).replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.database)} LOCATION '{location}'")
@@ -155,6 +177,4 @@ def _holds(stored: T.DataType, arriving: T.DataType) -> bool:
         return isinstance(arriving, T.AtomicType)
     if isinstance(stored, (T.TimestampType, T.TimestampNTZType)):
         return isinstance(arriving, T.DateType)
-    if stored in _NUMERIC_ORDER and arriving in _NUMERIC_ORDER:
-        return _NUMERIC_ORDER.index(arriving) < _NUMERIC_ORDER.index(stored)
-    return False
+    return arriving in _EXACTLY_HELD.get(stored, ())

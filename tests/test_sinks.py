@@ -72,7 +72,9 @@ def test_new_columns_of_a_partitioned_table(spark, sink):
     "old, new, fits",
     [
         ("bigint", "int", True),
-        ("double", "bigint", True),
+        ("double", "int", True),
+        ("double", "bigint", False),
+        ("float", "int", False),
         ("string", "double", True),
         ("timestamp", "date", True),
         ("bigint", "double", False),
@@ -93,6 +95,33 @@ def test_types_may_widen_but_never_lose(spark, sink, old, new, fits):
         assert stored(sink).count() == 1
 
 
+@pytest.mark.parametrize("old, new, value", [("double", "int", 2**31 - 1), ("float", "smallint", 2**15 - 1), ("bigint", "int", -(2**31))])
+def test_what_fits_comes_back_to_the_last_digit(spark, sink, old, new, value):
+    sink.save(spark.sql(f"SELECT CAST(NULL AS {old}) AS c"), "t")
+    sink.save(spark.sql(f"SELECT CAST({value} AS {new}) AS c"), "t")
+    assert [int(r["c"]) for r in stored(sink).where("c IS NOT NULL").collect()] == [value]
+
+
+def test_partitions_are_those_the_table_has(spark, sink):
+    rows = spark.createDataFrame([(1, "a")], "n int, k string")
+    sink.save(rows, "t", ["k"])
+    sink.save(rows, "t", ["K"])
+    sink.save(rows, "t")
+    with pytest.raises(ValueError, match="stored by"):
+        sink.save(rows, "t", ["n"])
+    sink.save(rows, "plain")
+    with pytest.raises(ValueError, match="no partitions"):
+        sink.save(rows, "plain", mode="overwrite_partitions")
+    assert (stored(sink).count(), stored(sink, "plain").count()) == (3, 1)
+
+
+def test_clear_keeps_the_columns(spark, sink):
+    sink.save(spark.createDataFrame([(1, "a")], "n int, k string"), "t", ["k"])
+    sink.clear("t")
+    sink.clear("absent")
+    assert stored(sink).count() == 0 and stored(sink).columns == ["n", "k"]
+
+
 def test_empty_frame_stores_its_schema(spark, sink):
     assert sink.save(spark.createDataFrame([], "a int, data_quality_error string"), "t_errors") == 0
     assert stored(sink, "t_errors").columns == ["a", "data_quality_error"]
