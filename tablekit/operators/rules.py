@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
@@ -52,16 +53,20 @@ def apply_rules(
         return Split(df, None, skipped)
 
     judged = _judge(df, active)
-    passing = judged
-    if watch is not None:
-        passing = judged.observe(watch, F.count(F.col(_RULE)).alias("rejected"))
+    broken = F.count(F.col(_RULE)).alias("rejected")
+    # A metric keeps the filter on the verdict above the judging: pushed below, it would
+    # judge each row it keeps a second time.
     return Split(
-        _valid_side(passing, df.columns, active),
-        _rejected_side(judged, df.columns, active),
+        _valid_side(judged.observe(watch or _unwatched(), broken), df.columns, active),
+        _rejected_side(judged.observe(_unwatched(), broken), df.columns, active),
         skipped,
     )
 
 
+def _unwatched() -> Observation:
+    return Observation(f"rules-{uuid4().hex}")
+
+
 def _judge(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """The input, one typed column per rule, and the number of the first broken rule."""
     if len({rule.column for rule in rules}) < len(rules):

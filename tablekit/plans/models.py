@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -107,11 +107,16 @@ def with_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 
 def build_models(
-    spark: SparkSession, database: str, base_path: str, mode: str = "append"
+    spark: SparkSession,
+    database: str,
+    base_path: str,
+    mode: str = "append",
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Load the cleaned tables as views and store both models next to them.
 
-    Unlike the table run this stops at the first error.
+    ``partition_by`` names partition columns per model. Unlike the table run this stops
+    at the first error.
     """
     tables = {name: load_table(spark, database, name) for name in RENTAL_STORE_SPECS}
     models = {
@@ -122,5 +127,5 @@ def build_models(
     }
     sink = TableSink(spark, database, base_path)
     for name, model in models.items():
-        sink.save(model, name, mode=mode)
+        sink.save(model, name, (partition_by or {}).get(name, ()), mode)
     return {name: spark.table(sink.name(name)) for name in models}

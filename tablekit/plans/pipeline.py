@@ -51,7 +51,11 @@ def run_pipeline(
     sink: TableSink,
     mode: str = "append",
 ) -> RunReport:
-    """Run every spec in order; an error ends its table, not the run."""
+    """Run every spec in order; an error ends its table, not the run.
+
+    ``overwrite`` leaves nothing of earlier runs, also where a load is empty or has no
+    errors. ``overwrite_partitions`` adds to the error tables, which have no partitions.
+    """
     return RunReport([_run_table(spec, sources, sink, mode) for spec in specs])
 
 
@@ -65,8 +69,13 @@ def _run_table(
         stage = "clean"
         watch = Observation()
         valid, rejected, result.skipped_rules = clean(df, spec, watch)
+        errors = f"{spec.name}_errors"
+        if mode == "overwrite" and (rejected is None or not valid.columns):
+            sink.clear(errors)
         if not valid.columns:
             result.status = "empty"
+            if mode == "overwrite":
+                sink.clear(spec.name)
             return result
         stage = "write_valid"
         valid, partition_by = date_partition(valid, spec.partition_by)
@@ -79,7 +88,9 @@ def _run_table(
                 few = expected < FEW_REJECTS * result.n_valid
                 if expected == 0:
                     rejected = rejected.limit(0)  # stores the schema, reads nothing
-            result.n_rejected = sink.save(rejected, f"{spec.name}_errors", mode=mode, rebalance=few)
+            # errors have no partitions: those of partitions that are not written stay
+            keep = "append" if mode == "overwrite_partitions" else mode
+            result.n_rejected = sink.save(rejected, errors, mode=keep, rebalance=few)
     except Exception as error:
         result.status, result.failed_stage, result.error = "failed", stage, f"{type(error).__name__}: {error}"
     return result

@@ -44,6 +44,27 @@ def test_a_clean_source_is_not_read_again_for_errors(spark, sink, tmp_path):
     assert reads.value <= 200
 
 
+def test_overwrite_leaves_nothing_of_earlier_runs(spark, sink):
+    def rows(*values):
+        return spark.createDataFrame([(v, 1) for v in values], "n string, k int")
+
+    run(sink, rows("1", "x"), mode="overwrite")
+    run(sink, rows(None), mode="overwrite")  # the rule's column has no value: nothing is judged
+    assert spark.table(sink.name("t_errors")).count() == 0
+    run(sink, rows("1", "x"), mode="overwrite")
+    result = run(sink, spark.createDataFrame([(None, None)], "n string, k int"), mode="overwrite")
+    assert result.status == "empty"
+    assert (spark.table(sink.name("t")).count(), spark.table(sink.name("t_errors")).count()) == (0, 0)
+
+
+def test_overwritten_partitions_keep_errors_of_the_others(spark, sink):
+    spec = TableSpec("t", rules=(Rule("n", T.IntegerType(), "bad n"),), partition_by=("k",))
+    for day, values in (("a", "1xy"), ("b", "2z"), ("b", "3")):
+        run(sink, spark.createDataFrame([(v, day) for v in values], "n string, k string"), spec, mode="append" if day == "a" else "overwrite_partitions")
+    assert sorted(spark.table(sink.name("t")).select("n", "k").collect()) == [(1, "a"), (3, "b")]
+    assert sorted(r["n"] for r in spark.table(sink.name("t_errors")).collect()) == ["x", "y", "z"]
+
+
 def test_one_failing_table_leaves_the_others(spark, sink):
     def broken():
         raise FileNotFoundError("no such sheet")

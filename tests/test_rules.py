@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import types as T
+from pyspark.sql import Observation, functions as F, types as T
 
 from conftest import SF_DIR
 from plans import plan_of
@@ -194,3 +194,13 @@ def test_date_of_a_zoned_timestamp_follows_the_session(spark, conf):
     conf("spark.sql.session.timeZone", "Asia/Tokyo")
     row = date_partition(df, ["z", "n"])[0].first()
     assert (row["z_partition"].day, row["n_partition"].day) == (3, 2)
+
+
+@pytest.mark.parametrize("watched", [False, True])
+def test_each_side_judges_a_row_once(spark, watched):
+    df = spark.range(10).select(F.col("id").cast("string").alias("n"))
+    split = apply_rules(df, [Rule("n", T.IntegerType(), "bad n")], Observation() if watched else None)
+    for side in (split.valid, split.rejected):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Filter") == 1
+        assert plan.index("Filter") < plan.index("CollectMetrics") < plan.index("try_cast" if "try_cast" in plan else "cast")
