@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from datetime import date, datetime
 from io import BytesIO
+from uuid import uuid4
 from xml.sax.saxutils import escape, quoteattr
 from zipfile import ZIP_DEFLATED, ZipFile
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 
 # SQL that Spark and DuckDB both run; {name} stands for a test table.
@@ -92,6 +94,23 @@ def as_workbooks(df: DataFrame, sheet: str, rows_per_file: int = 5000) -> DataFr
     return df.mapInArrow(encode, "path string, content binary")
 
 
+def write_workbooks(workbooks: DataFrame, folder: str) -> int:
+    """Write ``(path, content)`` to files of ``folder``, made where the rows are; returns
+    how many. Every task attempt has names of its own: run it once, without speculation."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch["content"]:
+                system, path = FileSystem.from_uri(f"{folder}/{uuid4().hex}.xlsx")
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(path) as file:
+                    file.write(content.as_py())
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    written = workbooks.select("content").mapInArrow(write, "n bigint")
+    return sum(row["n"] for row in written.collect())
+
+
 # Fixed parts of a minimal workbook; cell style 1 is a date with time.
 _RELATIONSHIPS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"

@@ -42,6 +42,7 @@ COLUMNS = {
         "last_update": TEXT,
     },
 }
+# The stored error texts.
 LAST_UPDATE = ("last_update", TIMESTAMP, "Error en last_update: no es Timestamp válido")
 RELEASE_YEAR = ("release_year", INTEGER, "Error en release_year: no es entero válido")
 RENTAL_RATE = ("rental_rate", DOUBLE, "Error en rental_rate: no es Double válido")
@@ -58,6 +59,8 @@ RULES = {
 }
 GIVEN = {t: t for t in ("part", "supplier", "orders", "customer", "lineitem")}
 
+FILM_SIDE = ", ".join(f"f.{c} AS film_{c}" for c in COLUMNS["film"] if c != "film_id")
+
 FILM_MODEL_SQL = """f.title, f.release_year, f.rental_duration, f.rental_rate,
        f.length AS duration_minutes, f.replacement_cost, f.rating, f.special_features"""
 
@@ -148,6 +151,17 @@ ORACLES: dict[str, str] = {
         SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
           ('o_totalprice', 'double'), ('o_orderdate', 'timestamp'), ('o_orderpriority', 'string'))
           AS t(column_name, column_type)""",
+    "infer_text_ids": """
+        SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS padded,
+               '1234567890123456' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS long,
+               '+44' || c_custkey AS signed, c_custkey || 'e1' AS exponent, c_custkey FROM customer""",
+    "sheet_ragged": """
+        SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority,
+               CASE WHEN o_orderkey % 2 <> 0 THEN o_orderpriority END AS unnamed FROM orders""",
+    "sheet_isolation": """
+        SELECT 'customer' AS sheet, COUNT(*) AS n, 'BadZipFile' AS cause FROM customer
+        UNION ALL SELECT 'supplier', COUNT(*), '' FROM supplier UNION ALL SELECT 'orders', COUNT(*), '' FROM orders""",
+    "sheet_files": "SELECT * FROM customer",
     "catalog_scan": "SELECT * FROM customer",
     "sink_roundtrip": valid("store"),
     "sink_partitioned": f"SELECT * FROM ({RENTALS_PARTITIONED}) AS p WHERE rental_date_partition = '2003-05-23'",
@@ -158,8 +172,20 @@ ORACLES: dict[str, str] = {
     "sink_overwrite_partitions": f"""
         SELECT * REPLACE (CASE WHEN YEAR(rental_date) = 2003 THEN NULL ELSE staff_id END AS staff_id)
         FROM ({RENTALS_PARTITIONED}) AS p""",
+    "sink_widen": """
+        SELECT o_orderkey + 9007199254740992 AS key, CAST(o_custkey AS INTEGER) AS small, TRUE AS refused FROM orders
+        UNION ALL SELECT o_custkey, CAST(o_custkey AS INTEGER), TRUE FROM orders""",
     "reject_sink": rejected("film"),
-    "strip_headers": "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem",
+    "reject_overwrite": f"SELECT * FROM ({rejected('film')}) AS r WHERE film_id % 2 <> 0",
+    "reject_overwrite_partitions": rejected("film"),
+    "stored_models": f"""{with_valid('inventory', 'store', 'rental', 'customer', 'film')}
+        SELECT 'rental' AS model, r.rental_id, r.inventory_id, i.store_id, i.film_id, {FILM_MODEL_SQL}
+        FROM rental_ok r LEFT JOIN customer_ok c ON c.customer_id = r.customer_id
+        LEFT JOIN inventory_ok i ON i.inventory_id = r.inventory_id LEFT JOIN film_ok f ON f.film_id = i.film_id
+        UNION ALL
+        SELECT 'inventory', NULL, i.inventory_id, i.store_id, i.film_id, {FILM_MODEL_SQL}
+        FROM inventory_ok i LEFT JOIN store_ok s ON i.store_id = s.store_id LEFT JOIN film_ok f ON i.film_id = f.film_id""",
+    "strip_headers": "SELECT * FROM lineitem",
     "trim_strings": f"""
         SELECT film_id, TRIM(title) AS title, TRIM(release_year) AS release_year, rental_duration,
                TRIM(rental_rate) AS rental_rate, length, TRIM(replacement_cost) AS replacement_cost,
@@ -185,16 +211,16 @@ ORACLES: dict[str, str] = {
             errors("store", "store_id"),
         ]
     ),
-    "date_partition": "SELECT event_id, ts, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS ts_partition FROM events",
+    "date_partition": "SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS ts_partition FROM events",
     "full_name": f"SELECT customer_id, first_name || ' ' || last_name AS full_name FROM ({normalized('customer')}) AS n",
     "left_join_keyonly": f"""{with_valid('inventory', 'store')}
-        SELECT i.inventory_id, i.store_id FROM inventory_ok i
+        SELECT i.* FROM inventory_ok i
         LEFT JOIN (SELECT * FROM store_ok UNION ALL SELECT * FROM store_ok) s ON i.store_id = s.store_id""",
     "left_join": f"""{with_valid('inventory', 'film')}
-        SELECT i.inventory_id, i.film_id, f.title FROM inventory_ok i LEFT JOIN film_ok f ON i.film_id = f.film_id""",
+        SELECT i.*, {FILM_SIDE} FROM inventory_ok i LEFT JOIN film_ok f ON i.film_id = f.film_id""",
     "left_join_chain": f"""{with_valid('rental', 'inventory', 'film')}
-        SELECT r.rental_id, r.inventory_id, i.film_id, f.title FROM rental_ok r
-        LEFT JOIN inventory_ok i ON i.inventory_id = r.inventory_id
+        SELECT r.*, i.film_id, i.store_id AS item_store_id, i.last_update AS item_last_update, {FILM_SIDE}
+        FROM rental_ok r LEFT JOIN inventory_ok i ON i.inventory_id = r.inventory_id
         LEFT JOIN film_ok f ON f.film_id = i.film_id""",
     "sql_query": REPORT_QUERY.format(**GIVEN),
     "inventory_model": f"""{with_valid('inventory', 'store', 'film')}

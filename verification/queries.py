@@ -10,7 +10,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tablekit.fixtures import RAW_SQL, as_workbooks, raw_table, given_table
+from tablekit.fixtures import RAW_SQL, as_workbooks, encode_workbook, given_table, raw_table, write_workbooks
 from tablekit.functions.columns import quoted
 from tablekit.operators import (
     Rule,
@@ -28,6 +28,7 @@ from tablekit.operators import (
 from tablekit.plans import (
     RENTAL_STORE_SPECS,
     TableSpec,
+    build_models,
     clean,
     inventory_model,
     rental_model,
@@ -37,7 +38,8 @@ from tablekit.plans.models import full_name
 from tablekit.plans.specs import DOUBLE, INTEGER, STORE, TIMESTAMP, typed_rule
 from tablekit.session import fresh_path
 from tablekit.sinks import TableSink
-from tablekit.sources import infer_types, load_table, run_query, sheet_frame, stage_sheets
+from tablekit.sinks.tables import SchemaConflict
+from tablekit.sources import infer_types, load_table, open_workbooks, run_query, sheet_frame, stage_sheets
 from verification.oracles import REPORT_QUERY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +86,57 @@ def infer_types_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def renamed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in workbooks of two layouts: the second names its columns in other case and
+    order, with blanks, and has cells beyond its header."""
+    orders = given_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    whole = as_workbooks(orders.where("o_orderkey % 2 = 0"), "orders")
+    other = orders.where("o_orderkey % 2 <> 0").select(
+        F.col("o_custkey").alias(" O_CUSTKEY"), F.col("o_orderkey").alias("O_OrderKey "), F.lit(None).cast("string").alias(" "), F.col("o_orderpriority").alias("")
+    )
+    return whole.unionAll(as_workbooks(other, "orders"))
+
+
+def sheet_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cells of sheets whose headers differ; a column without a name is ``_c3``."""
+    return sheet_frame(stage_sheets(renamed_orders(spark, sf_dir), ["orders"]), "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.col("_c3").alias("unnamed")
+    )
+
+
+def sheet_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per sheet, with one workbook more that cannot be read for *customer*."""
+    rows = [as_workbooks(given_table(spark, sf_dir, t), t) for t in ("customer", "supplier", "orders")]
+    broken = spark.createDataFrame([("broken.xlsx", bytearray(encode_workbook({"customer": [["c"], [1]]})[:200]))], "path string, content binary")
+    books = combine_frames(rows)
+    sheets = ["supplier", "orders"]
+    good = stage_sheets(books, sheets)
+    mixed = stage_sheets(broken.unionAll(rows[0]), ["customer"])
+    counts = [sheet_frame(good, s).agg(F.lit(s).alias("sheet"), F.count("*").alias("n"), F.lit("").alias("cause")) for s in sheets]
+    read = mixed.agg(F.lit("customer").alias("sheet"), F.count("cells").alias("n"), F.max(F.regexp_extract("error", "^[A-Za-z]+", 0)).alias("cause"))
+    return combine_frames([*counts, read])
+
+
+def sheet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook files in the shared folder, found and read by path."""
+    folder = fresh_path(spark, "workbooks")
+    write_workbooks(as_workbooks(given_table(spark, sf_dir, "customer"), "customer"), folder)
+    customers = sheet_frame(stage_sheets(open_workbooks(spark, f"{folder}/*.xlsx"), ["customer"]), "customer")
+    return customers.withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+
+
+def infer_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys padded with zeros, long digit strings and signs come back letter for letter."""
+    customers = given_table(spark, sf_dir, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("padded"),
+        F.concat(F.lit("1234567890123456"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("long"),
+        F.concat(F.lit("+44"), F.col("c_custkey").cast("string")).alias("signed"),
+        F.concat(F.col("c_custkey").cast("string"), F.lit("e1")).alias("exponent"),
+        "c_custkey",
+    )
+    return sheet_frame(stage_sheets(as_workbooks(customers, "ids"), ["ids"]), "ids")
+
+
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = new_sink(spark)
     sink.save(given_table(spark, sf_dir, "customer"), "customer")
@@ -146,13 +199,61 @@ def reject_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sink.name("film_errors"))
 
 
+def film_runs(spark: SparkSession, sf_dir: str, second_mode: str) -> DataFrame:
+    """Films of two runs, the second with the later half only: stored errors."""
+    sink, raw = new_sink(spark), raw_table(spark, sf_dir, "film")
+    spec = RENTAL_STORE_SPECS["film"]
+    partitioned = TableSpec("film", rules=spec.rules, partition_by=("rating",))
+    half = F.col("film_id") % 2 == 0
+    run_pipeline([partitioned], {"film": lambda: raw.where(half)}, sink)
+    run_pipeline([partitioned], {"film": lambda: raw.where(~half)}, sink, mode=second_mode)
+    return spark.table(sink.name("film_errors"))
+
+
+def reject_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return film_runs(spark, sf_dir, "overwrite_partitions")
+
+
+def reject_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return film_runs(spark, sf_dir, "overwrite")
+
+
+def sink_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers beyond 2^53 are refused by a double column, and stay exact where
+    the stored type can hold them."""
+    sink = new_sink(spark)
+    keys = given_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 2**53).alias("key"), F.col("o_custkey").cast("int").alias("small"))
+    sink.save(keys.select(F.col("small").cast("double").alias("key"), "small"), "loose")
+    sink.save(keys.select(F.col("small").alias("key"), F.col("small").cast("smallint").cast("int").alias("small")), "loose")
+    try:
+        sink.save(keys, "loose")
+        refused = False
+    except SchemaConflict:
+        refused = True
+    sink.save(keys.select("key", "small"), "exact")
+    sink.save(keys.select(F.col("small").alias("key"), "small"), "exact")
+    return spark.table(sink.name("exact")).select("key", "small", F.lit(refused).alias("refused"))
+
+
+def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned tables stored, loaded, joined and stored again: both models read back."""
+    sink = new_sink(spark)
+    for name in RENTAL_STORE_SPECS:
+        sink.save(valid(spark, sf_dir, name), name)
+    build_models(spark, sink.database, sink.base_path, partition_by={"rental_model": ["store_id"]})
+    rentals, items = (load_table(spark, sink.database, f"{n}_model", f"{n}_{uuid4().hex}") for n in ("rental", "inventory"))
+    shared = [c for c in rentals.columns if c in items.columns]
+    both = rentals.select(F.lit("rental").alias("model"), "rental_id", *shared)
+    return both.unionByName(items.select(F.lit("inventory").alias("model"), F.lit(None).cast("bigint").alias("rental_id"), *shared))
+
+
 # Normalisation
 
 
 def strip_headers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = given_table(spark, sf_dir, "lineitem")
     padded = lines.toDF(*[f" {c}\t" for c in lines.columns])
-    return strip_headers(padded).select("l_orderkey", "l_linenumber", "l_returnflag")
+    return without_zone(strip_headers(padded))
 
 
 def trim_strings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +342,7 @@ def union_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_partition_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = given_table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    events = given_table(spark, sf_dir, "events")
     return dates_as_text(date_partition(events, ["ts", "event_type", "absent"])[0], "ts_partition")
 
 
@@ -255,24 +356,27 @@ def full_name_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def prefixed(df: DataFrame, prefix: str, *keys: str) -> DataFrame:
+    """Every column but ``keys`` under a name of its side."""
+    return df.select(*[F.col(c) if c in keys else F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
+
+
 def left_join_keyonly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = valid(spark, sf_dir, "inventory").select("inventory_id", "store_id")
     stores = valid(spark, sf_dir, "store").select("store_id")
-    return left_join(items, stores.unionAll(stores), "store_id")
+    return without_zone(left_join(valid(spark, sf_dir, "inventory"), stores.unionAll(stores), "store_id"))
 
 
 def left_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = valid(spark, sf_dir, "inventory").select("inventory_id", "film_id")
-    films = valid(spark, sf_dir, "film").select("film_id", "title")
-    return left_join(items, films, "film_id")
+    films = prefixed(valid(spark, sf_dir, "film"), "film", "film_id")
+    return without_zone(left_join(valid(spark, sf_dir, "inventory"), films, "film_id"))
 
 
 def left_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The film key comes from the inventory side, null where that did not match."""
-    rentals = valid(spark, sf_dir, "rental").select("rental_id", "inventory_id")
-    items = valid(spark, sf_dir, "inventory").select("inventory_id", "film_id")
-    films = valid(spark, sf_dir, "film").select("film_id", "title")
-    return left_join(left_join(rentals, items, "inventory_id"), films, "film_id")
+    items = prefixed(valid(spark, sf_dir, "inventory"), "item", "inventory_id", "film_id")
+    films = prefixed(valid(spark, sf_dir, "film"), "film", "film_id")
+    rentals = valid(spark, sf_dir, "rental")
+    return without_zone(left_join(left_join(rentals, items, "inventory_id"), films, "film_id"))
 
 
 def sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,13 +436,21 @@ def table_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "sheet_scan": sheet_scan,
     "infer_types": infer_types_query,
+    "infer_text_ids": infer_text_ids,
+    "sheet_ragged": sheet_ragged,
+    "sheet_isolation": sheet_isolation,
+    "sheet_files": sheet_files,
     "catalog_scan": catalog_scan,
     "sink_roundtrip": sink_roundtrip,
     "sink_partitioned": sink_partitioned,
     "sink_append": sink_append,
     "sink_evolve": sink_evolve,
     "sink_overwrite_partitions": sink_overwrite_partitions,
+    "sink_widen": sink_widen,
     "reject_sink": reject_sink,
+    "reject_overwrite": reject_overwrite,
+    "reject_overwrite_partitions": reject_overwrite_partitions,
+    "stored_models": stored_models,
     "strip_headers": strip_headers_query,
     "trim_strings": trim_strings_query,
     "null_tokens": null_tokens_query,
