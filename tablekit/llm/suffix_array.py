@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _PACKED = 7  # symbols of 0..256 in one uint64
-_LANE = 128
+_LANE = 32
 
 
 def packed_symbols(symbols: np.ndarray) -> np.ndarray:
@@ -33,7 +33,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     while True:
         last = np.append(tied[1:] != tied[:-1], True)  # of its group
         ends = np.flatnonzero(last)
-        group[order[where]] = where[ends[np.searchsorted(ends, np.arange(len(where)))]]
+        group[order[where]] = np.repeat(where[ends], np.diff(np.append(-1, ends)))
         first = np.append(True, last[:-1])
         where = where[~(first & last)]
         if not len(where):
@@ -48,10 +48,12 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 def common_prefixes(symbols: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """For each place in ``order`` the length, up to ``most``, of what its suffix and the
     one before it have in common, by Kasai's rule that the next start loses one at most.
-    Stretches of 128 starts run side by side."""
+    Stretches of 32 starts run side by side."""
     n = len(symbols)
-    key = np.append(packed_symbols(symbols), np.uint64(0))
-    padded = np.append(symbols.astype(np.int32), -1)
+    # beyond the end no two places are alike, so no comparison runs on
+    beyond = np.arange(2 * _PACKED + 2)
+    key = np.concatenate([packed_symbols(symbols), np.uint64(2**64 - 1) - beyond.astype(np.uint64)])
+    padded = np.concatenate([symbols.astype(np.int32), -1 - beyond.astype(np.int32)])
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
     out = np.zeros(n, np.int64)
@@ -63,19 +65,15 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, most: int) -> np.nda
         i, begins, length = i[lanes], begins[lanes], length[lanes]
         j = before[i]
         length = np.where(j < 0, 0, np.maximum(length - 1, 0))
-        live = np.flatnonzero((j >= 0) & (length < most))
-        while len(live):
+        for words, stride in ((key, _PACKED), (padded, 1)):
+            live = np.flatnonzero((j >= 0) & (length < most))
             a, b = i[live] + length[live], j[live] + length[live]
-            live = live[key[np.minimum(a, n)] == key[np.minimum(b, n)]]
-            live = live[(i[live] + length[live] < n) & (j[live] + length[live] < n)]
-            length[live] += _PACKED
-            live = live[length[live] < most]
-        live = np.flatnonzero((j >= 0) & (length < most))
-        while len(live):
-            a, b = np.minimum(i[live] + length[live], n), np.minimum(j[live] + length[live], n)
-            live = live[(padded[a] == padded[b]) & (a < n) & (b < n)]
-            length[live] += 1
-            live = live[length[live] < most]
+            while len(live):
+                same = words[a] == words[b]
+                live, a, b = live[same], a[same] + stride, b[same] + stride
+                length[live] += stride
+                more = length[live] < most
+                live, a, b = live[more], a[more], b[more]
         out[i] = np.minimum(length, most)
     return out[order]
 
