@@ -182,7 +182,8 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     hubs = shared.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
     cluster = staged(shared.join(hubs, "key").select("hub", "rep").distinct(), "clusters")
     wanted = cluster.select(F.col("rep").alias("id")).distinct()
-    sets = staged(_with_sets(source.join(wanted, "id", "left_semi"), words_each), "sets")
+    # by sort-merge at every size: the list of candidates grows with the input
+    sets = staged(_with_sets(source.join(wanted.hint("merge"), "id", "left_semi"), words_each), "sets")
 
     pairs = cluster.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     links = staged(_linked(pairs, sets, percent).distinct(), "links")
