@@ -27,13 +27,13 @@ def process_store() -> dict:
 class Remembered(dict):
     """Chunk to packed ids; None for a chunk that must not be cut off.
 
-    Two generations of at most MOST_REMEMBERED entries bound the memory. What is
-    remembered changes nothing but the time.
+    Two generations of at most ``most`` entries, of some 200 bytes each, bound the
+    memory. What is remembered changes nothing but the time.
     """
 
-    def __init__(self, encode: Callable[[str], np.ndarray], lead: str):
+    def __init__(self, encode: Callable[[str], np.ndarray], lead: str, most: int):
         super().__init__()
-        self.encode, self.lead, self.older = encode, lead, {}
+        self.encode, self.lead, self.most, self.older = encode, lead, most, {}
 
     def __missing__(self, chunk: str):
         packed = self.older.get(chunk, 0)
@@ -43,7 +43,7 @@ class Remembered(dict):
             packed = self.encode(self.lead + chunk).tobytes()
             if len(chunk) > LONGEST_REMEMBERED:
                 return packed
-        if len(self) >= MOST_REMEMBERED:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[chunk] = packed
@@ -54,9 +54,9 @@ class ChunkEncoder:
     """``encode`` gives the ids of any text as an array of ``dtype``; texts for which
     ``whole`` is true are never cut."""
 
-    def __init__(self, encode: Callable[[str], np.ndarray], dtype: np.dtype, whole: Callable[[str], bool]):
+    def __init__(self, encode: Callable[[str], np.ndarray], dtype: np.dtype, whole: Callable[[str], bool], most: int = MOST_REMEMBERED):
         self.encode, self.dtype, self.whole = encode, dtype, whole
-        self.inner = Remembered(encode, " ")
+        self.inner, self.first = Remembered(encode, " ", most), Remembered(encode, "", most // 10)
 
     def ids(self, text: str) -> np.ndarray:
         if self.whole(text):
@@ -67,5 +67,5 @@ class ChunkEncoder:
         packed = list(map(self.inner.__getitem__, rest))
         if None in packed:
             return self.encode(text)
-        packed.insert(0, self.encode(first).tobytes())
+        packed.insert(0, self.first[first] or self.encode(first).tobytes())
         return np.frombuffer(b"".join(packed), self.dtype)

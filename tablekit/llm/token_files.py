@@ -28,6 +28,7 @@ from tablekit.session import fresh_path
 
 MAGIC, HEAD = b"TIDS", "<4sII"
 BLOCK_IDS = 1 << 15
+MOST_REMEMBERED = 800_000  # chunks in each of two generations: the library is slow to ask
 
 
 def packed(ids: np.ndarray, bits: int) -> bytes:
@@ -121,7 +122,7 @@ def _encoder(definition: str) -> tuple[Callable[[str], np.ndarray], int]:
         dtype = np.dtype("<u2" if bits <= 16 else "<u4")
         whole = lambda text: any(token in text for token in added)
         encode = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype)
-        store[key] = (ChunkEncoder(encode, dtype, whole).ids, bits)
+        store[key] = (ChunkEncoder(encode, dtype, whole, MOST_REMEMBERED).ids, bits)
     return store[key]
 
 
