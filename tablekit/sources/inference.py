@@ -12,10 +12,17 @@ from tablekit.functions.columns import quoted, string_columns
 NUMBER_TEXT = r"^-?\d+(\.\d+)?([eE]-?\d+)?$"
 DATE_TEXT = r"^\d{4}-\d\d-\d\d \d\d:"
 
+# A number with decimals but without an exponent, no digit of it to spare.
+PLAIN_TEXT = r"^-?(0|[1-9]\d*)\.(0|\d*[1-9])$"
+# What the stored value of a number cell may look like.
+NUMBER_CELL, WHOLE_CELL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", r"^[+-]?\d+$"
+
 # From narrow to wide; the first type that every value accepts wins. Bit i of a mask
-# stands for the i-th type.
-CANDIDATES = ("bigint", "double", "boolean", "timestamp")
-BIGINT, DOUBLE, BOOLEAN, TIMESTAMP = (1 << i for i in range(len(CANDIDATES)))
+# stands for the i-th type. Doubles have two ways to be spelt, Spark's own (1.0E7) and
+# without an exponent; a column of text has to keep to one.
+CANDIDATES = ("bigint", "double", "double", "boolean", "timestamp")
+BIGINT, SPARK_DOUBLE, PLAIN_DOUBLE, BOOLEAN, TIMESTAMP = (1 << i for i in range(len(CANDIDATES)))
+DOUBLE = SPARK_DOUBLE | PLAIN_DOUBLE
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
@@ -28,17 +35,41 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     text = [c for c in df.columns if c in string_columns(df)]
     if not text:
         return {}
-    masks = df.agg(*[F.bit_and(_mask(quoted(c))).alias(str(i)) for i, c in enumerate(text)])
-    return {c: _narrowest(mask) for c, mask in zip(text, masks.first())}
+    return narrowest_types(df, {c: text_mask(quoted(c)) for c in text})
+
+
+def narrowest_types(df: DataFrame, masks: dict[str, Column]) -> dict[str, str]:
+    """The narrowest type that all masks of a name accept."""
+    found = df.agg(*[F.bit_and(mask).alias(str(i)) for i, mask in enumerate(masks.values())])
+    return {name: _narrowest(mask) for name, mask in zip(masks, found.first())}
+
+
+def number_mask(c: Column) -> Column:
+    """The types that hold a cell stored as a number. Such cells are doubles, however
+    many digits or exponents their writer gave them; only whole numbers may have more
+    digits than a double keeps, and those must not be lost."""
+    whole, real = c.try_cast("bigint"), c.try_cast("double")
+    exact = whole.between(-(2**53), 2**53) | (_digits(real.cast("string")) == _digits(c))
+    of_whole = F.when(whole.isNotNull(), BIGINT).otherwise(0).bitwiseOR(F.when(exact, DOUBLE).otherwise(0))
+    number = F.when(c.rlike(WHOLE_CELL), of_whole).when(F.abs(real) < float("inf"), DOUBLE).otherwise(0)
+    return F.when(c.isNotNull(), F.when(c.rlike(NUMBER_CELL), number).otherwise(0))
+
+
+def _digits(number: Column) -> Column:
+    """The significant digits of a number's text. A double has the same ones as the text
+    it was read from if and only if it is the same number when printed."""
+    return F.btrim(F.regexp_replace(number, r"[eE].*$|[-+.]", ""), F.lit("0"))
 
 
-def _mask(c: Column) -> Column:
-    """The types that hold one value so that it prints as the same text again: no zeros
+def text_mask(c: Column) -> Column:
+    """The types that hold one text so that it prints as the same text again: no zeros
     before a key, no sign, no digit and no spelling is lost to a type."""
     whole, real, moment = c.try_cast("bigint"), c.try_cast("double"), c.try_cast("timestamp")
     exact = whole.between(-(2**53), 2**53)
+    plain = c.rlike(PLAIN_TEXT) & (_digits(real.cast("string")) == _digits(c))
     number = F.when(whole.cast("string") == c, F.when(exact, BIGINT | DOUBLE).otherwise(BIGINT))
-    number = number.when(real.cast("string") == c, DOUBLE).otherwise(0)
+    decimal = F.when(real.cast("string") == c, SPARK_DOUBLE).otherwise(0)
+    number = number.otherwise(decimal.bitwiseOR(F.when(plain, PLAIN_DOUBLE).otherwise(0)))
     shown = [F.date_format(moment, form) == c for form in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS")]
     date = c.rlike(DATE_TEXT) & F.coalesce(shown[0] | shown[1], F.lit(False))
     mask = F.when(c.rlike(NUMBER_TEXT), number).when(date, TIMESTAMP).when(c.isin("true", "false"), BOOLEAN).otherwise(0)

@@ -14,14 +14,15 @@ from functools import partial
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablekit.session import fresh_path, remove_path, stage
-from tablekit.sources.inference import apply_types, infer_types
-from tablekit.sources.xlsx import Workbook, header_names
+from tablekit.sources.inference import apply_types, narrowest_types, number_mask, text_mask
+from tablekit.sources.xlsx import NUMBER, Workbook, header_names
 
 ROWS_SCHEMA = (
-    "path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>, error string"
+    "path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>, "
+    "kinds string, error string"
 )
 _ARROW_SCHEMA = pa.schema(
     [
@@ -31,6 +32,7 @@ _ARROW_SCHEMA = pa.schema(
         ("layout", pa.int64()),
         ("header", pa.list_(pa.string())),
         ("cells", pa.list_(pa.string())),
+        ("kinds", pa.string()),
         ("error", pa.string()),
     ]
 )
@@ -52,7 +54,8 @@ def scan_sheets(workbooks: DataFrame, sheets: Sequence[str]) -> DataFrame:
     """All rows of the named sheets, in one parse of each workbook.
 
     The first row of a sheet arrives with its names in ``header`` and no cells, the
-    others with their cell texts by position. ``layout`` is a digest of the header.
+    others with their cell texts and kinds by position. ``layout`` is a digest of the
+    header.
     A sheet that cannot be read to its end gives a row with the cause in ``error``; an
     unreadable workbook one for each sheet.
     """
@@ -69,20 +72,20 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], sheets: list[str]) -> Iter
 def _parse_workbook(path: str, content: bytes, sheets: list[str]) -> Iterator[pa.RecordBatch]:
     for sheet in sheets:
         try:
-            yield from _to_batches(path, sheet, Workbook(content).rows(sheet))
+            yield from _to_batches(path, sheet, Workbook(content).rows_with_kinds(sheet))
         except Exception as cause:
-            yield _record_batch([(path, sheet, None, None, None, None, f"{type(cause).__name__}: {cause}")])
+            yield _record_batch([(path, sheet, None, None, None, None, None, f"{type(cause).__name__}: {cause}")])
 
 
 def _to_batches(path: str, sheet: str, rows: Iterator) -> Iterator[pa.RecordBatch]:
-    number, first = next(rows, (None, None))
+    number, first, _ = next(rows, (None, None, None))
     if first is None:
         return
     names = header_names(first)
     layout = _digest(names)
-    buffer = [(path, sheet, number, layout, names, None, None)]
-    for number, cells in rows:
-        buffer.append((path, sheet, number, layout, None, cells, None))
+    buffer = [(path, sheet, number, layout, names, None, None, None)]
+    for number, cells, kinds in rows:
+        buffer.append((path, sheet, number, layout, None, cells, kinds, None))
         if len(buffer) == _BATCH_ROWS:
             yield _record_batch(buffer)
             buffer = []
@@ -106,7 +109,8 @@ def stage_sheets(workbooks: DataFrame, sheets: Sequence[str], path: str | None =
 
 
 def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
-    """One sheet of scanned rows: header row to column names, text to types.
+    """One sheet of scanned rows: header row to column names, cells to types by their
+    kind.
 
     Columns are matched by name across workbooks, whatever the case; the spelling that
     stands furthest left wins. A column that a workbook lacks is null for its rows.
@@ -120,13 +124,17 @@ def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
         told = "; ".join(f"{row['path']}: {row['error']}" for row in named)
         raise ValueError(f"cannot read sheet {sheet!r} of {told}" + (f"; and {more} more" if more else ""))
     headers = mine.where(F.col("header").isNotNull()).select("layout", "header").distinct()
-    body = mine.where(F.col("header").isNull()).select("layout", "cells")
+    body = mine.where(F.col("header").isNull()).select("layout", "cells", "kinds")
     layouts = _widened(headers, body)
     names = _column_names(layouts)
     if not names:
         raise ValueError(f"no workbook has a sheet {sheet!r} with a header row")
-    text = _cells_by_name(body, layouts, names)
-    return apply_types(text, infer_types(text)) if infer else text
+    cells = _cells_by_name(body, layouts, names)
+    text = cells.select(*[F.col(f"cell{i}").alias(name) for i, name in enumerate(names)])
+    if not infer:
+        return text
+    masks = {name: _mask(F.col(f"cell{i}"), F.col(f"number{i}")) for i, name in enumerate(names)}
+    return apply_types(text, narrowest_types(cells, masks))
 
 
 def _widened(headers: DataFrame, body: DataFrame) -> DataFrame:
@@ -145,14 +153,22 @@ def _column_names(layouts: DataFrame) -> list[str]:
     return [row["col"] for row in leftmost.select("first.*").orderBy("pos", "col").collect()]
 
 
+def _mask(cell: Column, is_number: Column) -> Column:
+    """A number is typed by what it is, text by how it is spelt."""
+    return F.when(is_number, number_mask(cell)).otherwise(text_mask(cell))
+
+
 def _cells_by_name(body: DataFrame, layouts: DataFrame, names: list[str]) -> DataFrame:
-    """Cells picked by where their row's header has the name; each layout's positions are
-    worked out once and joined on."""
+    """For the i-th name ``cell<i>``, the cell's text, and ``number<i>``, if it was stored
+    as a number. Cells are picked by where their row's header has the name; each layout's
+    positions are worked out once and joined on."""
     folded = F.transform("header", F.lower)
     at = [F.array_position(folded, F.lit(n.lower())).cast("int") - 1 for n in names]
     places = layouts.select("layout", F.array(*at).alias("places"))
-    cell = [F.get("cells", F.get("places", F.lit(i))).alias(n) for i, n in enumerate(names)]
-    return body.join(places, "layout").select(*cell)
+    place = [F.get("places", F.lit(i)) for i in range(len(names))]
+    cell = [F.get("cells", p).alias(f"cell{i}") for i, p in enumerate(place)]
+    number = [(F.substring("kinds", p + 1, F.lit(1)) == NUMBER).alias(f"number{i}") for i, p in enumerate(place)]
+    return body.join(places, "layout").select(*cell, *number)
 
 
 @contextmanager

@@ -23,6 +23,10 @@ _CHUNK_BYTES = 1 << 16
 
 Row = tuple[int, list[str | None]]
 
+# Kinds of cells, one letter each: stored as a number that is no date, or any other.
+NUMBER, OTHER = "n", "-"
+Cell = tuple[str | None, str]
+
 
 class Workbook:
     def __init__(self, content: bytes):
@@ -41,6 +45,11 @@ class Workbook:
     def rows(self, sheet: str) -> Iterator[Row]:
         """``(row number, cells from column A on)`` of one sheet, streamed; rows
         without any cell are left out. A sheet the workbook lacks has no rows."""
+        for number, cells, _ in self.rows_with_kinds(sheet):
+            yield number, cells
+
+    def rows_with_kinds(self, sheet: str) -> Iterator[tuple[int, list[str | None], str]]:
+        """The same with the kinds of a row's cells, a letter for each."""
         part = self._sheets.get(sheet.lower())
         if part is None:
             return
@@ -50,22 +59,24 @@ class Workbook:
                 yield from feed(chunk, False)
         yield from feed(b"", True)
 
-    def _value(self, kind: str, style: str | None, stored: str) -> str | None:
-        """Text of a cell from its type, style number and stored value; the stored value
-        itself where it cannot be one of that type, for a rule to reject."""
+    def _value(self, kind: str, style: str | None, stored: str) -> Cell:
+        """Text and kind of a cell from its type, style number and stored value; the stored
+        value itself where it cannot be one of that type, for a rule to reject."""
         if kind == "e":
-            return None
+            return None, OTHER
         if kind == "b":
-            return {"1": "true", "0": "false"}.get(stored, stored)
+            return {"1": "true", "0": "false"}.get(stored, stored), OTHER
+        if kind == "n" and style not in self._date_styles:
+            return stored, NUMBER
         texts = self._shared_texts() if kind == "s" else None
         try:
             if texts is not None:
-                return texts[int(stored)]
-            if kind == "n" and style in self._date_styles:
-                return serial_to_text(float(stored), self._from_1904)
+                return texts[int(stored)], OTHER
+            if kind == "n":
+                return serial_to_text(float(stored), self._from_1904), OTHER
         except (ValueError, IndexError, OverflowError):
             pass
-        return stored
+        return stored, OTHER
 
     def _shared_texts(self) -> list[str]:
         if self._texts is None:
@@ -108,7 +119,9 @@ class _Memo(dict):
         return result
 
 
-def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Callable[[bytes, bool], list[Row]]:
+def _row_parser(
+    value_of: Callable[[str, str | None, str], Cell],
+) -> Callable[[bytes, bool], list[tuple[int, list[str | None], str]]]:
     """A function that takes the next bytes of a sheet and returns the rows they end.
 
     Only ``v`` and ``t`` elements hold values; a ``t`` below ``rPh`` is a reading aid.
@@ -116,15 +129,16 @@ def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Calla
     """
     local_names = _Memo(lambda tag: tag.rpartition(":")[2])  # without a namespace prefix
     positions = _Memo(column_index)
-    rows: list[Row] = []
+    rows: list[tuple[int, list[str | None], str]] = []
     cells: list[str | None] = []
+    kinds: list[str] = []
     attributes: dict[str, str] = {}
     stored: list[str] = []
     number = 0
     has_value = reading = phonetic = False
 
     def start(tag: str, found: dict[str, str]) -> None:
-        nonlocal cells, attributes, number, has_value, reading, phonetic
+        nonlocal cells, kinds, attributes, number, has_value, reading, phonetic
         name = local_names[tag]
         if name == "c":
             attributes = found
@@ -135,7 +149,7 @@ def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Calla
             has_value = has_value or reading
         elif name == "row":
             number = int(found.get("r", number + 1))
-            cells = []
+            cells, kinds = [], []
         elif name == "rPh":
             phonetic = True
 
@@ -153,10 +167,11 @@ def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Calla
             position = positions[reference.rstrip("0123456789")] if reference else len(cells)
             while len(cells) <= position:
                 cells.append(None)
+                kinds.append(OTHER)
             if has_value:
-                cells[position] = value_of(attributes.get("t", "n"), attributes.get("s"), "".join(stored))
+                cells[position], kinds[position] = value_of(attributes.get("t", "n"), attributes.get("s"), "".join(stored))
         elif name == "row" and cells:
-            rows.append((number, cells))
+            rows.append((number, cells, "".join(kinds)))
         elif name == "rPh":
             phonetic = False
 
@@ -164,7 +179,7 @@ def _row_parser(value_of: Callable[[str, str | None, str], str | None]) -> Calla
     parser.buffer_text = True
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
 
-    def feed(chunk: bytes, last: bool) -> list[Row]:
+    def feed(chunk: bytes, last: bool) -> list[tuple[int, list[str | None], str]]:
         nonlocal rows
         rows = []
         parser.Parse(chunk, last)

@@ -248,6 +248,65 @@ def test_inference(spark, values, kind):
     assert dict(apply_types(df, infer_types(df)).dtypes) == {"a.b": kind, "n": "int"}
 
 
+@pytest.mark.parametrize(
+    "values, kind",
+    [
+        (["12345678.5", "0.0005", "2", "1.25"], "double"),
+        (["-12345678901.25", "0.00001"], "double"),
+        (["12345678.5", "1.0E7"], "string"),
+        (["1.0E7", "1.5"], "double"),
+        (["0.12345678901234567890"], "string"),
+        (["012345678.5"], "string"),
+        (["12345678.50"], "string"),
+    ],
+)
+def test_plain_decimals_are_doubles(spark, values, kind):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert infer_types(df) == {"v": kind}
+    typed = [r["v"] for r in apply_types(df, infer_types(df)).collect()]
+    assert typed == (values if kind == "string" else [float(v) for v in values])
+
+
+@pytest.mark.parametrize(
+    "stored, kind",
+    [
+        (["12345678.5", "1.5"], "double"),
+        (["0.0005", "1"], "double"),
+        (["1E+20", "5.0000000000000001E-4", "1.1000000000000001", "1.50", ".5", "1e-05"], "double"),
+        (["007", "2"], "bigint"),
+        (["9007199254740993", "1"], "bigint"),
+        (["9007199254740993", "1.5"], "string"),
+        (["9007199254740992000", "1.5"], "double"),
+        (["12345678901234567890"], "string"),
+        (["1e999", "1"], "string"),
+        (["1d", "1"], "string"),
+    ],
+)
+def test_number_cells_are_typed_by_kind(spark, stored, kind):
+    cells = "".join(f'<row><c><v>{v}</v></c><c t="inlineStr"><is><t>{v}</t></is></c></row>' for v in stored)
+    head = '<row><c t="inlineStr"><is><t>n</t></is></c><c t="inlineStr"><is><t>t</t></is></c></row>'
+    rows = stage_sheets(as_frame(spark, workbook_xml(head + cells)), ["Data"])
+    frame = sheet_frame(rows, "Data")
+    assert dict(frame.dtypes)["n"] == kind
+    read = {"double": float, "bigint": int, "string": str}[kind]
+    assert sorted(r["n"] for r in frame.collect()) == sorted(map(read, stored))
+    assert sorted(r["n"] for r in sheet_frame(rows, "Data", infer=False).collect()) == sorted(stored)
+
+
+def test_one_text_among_numbers_keeps_the_column_text(spark):
+    books = [encode_workbook({"s": [["a"], [12345678.5]]}), encode_workbook({"s": [["b", "a"], [1, "00123"]]})]
+    frame = sheet_frame(stage_sheets(as_frame(spark, *books), ["s"]), "s")
+    assert sorted(r["a"] for r in frame.select("a").collect()) == ["00123", "12345678.5"]
+    assert dict(frame.dtypes)["b"] == "bigint"
+
+
+def test_a_larger_sheet_fits_the_table_stored_from_a_smaller_one(spark, sink):
+    for values in ([1.5, 2.5], [12345678.5, 0.0005, 1e20]):
+        book = encode_workbook({"s": [["v"], *[[v] for v in values]]})
+        sink.save(sheet_frame(stage_sheets(as_frame(spark, book), ["s"]), "s"), "loads")
+    assert sorted(r["v"] for r in spark.table(sink.name("loads")).collect()) == [0.0005, 1.5, 2.5, 12345678.5, 1e20]
+
+
 def test_encoder_round_trips_dates_and_markup():
     content = encode_workbook({"q & a": [["x<y", "d"], ["a&b", date(2020, 2, 29)]]})
     assert list(Workbook(content).rows("Q & A")) == [(1, ["x<y", "d"]), (2, ["a&b", "2020-02-29 00:00:00"])]
