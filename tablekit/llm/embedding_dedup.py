@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil, log
+from math import ceil, log, log1p, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ from tablekit.llm.components import connected_components
 from tablekit.llm.vectors import matrix, numbers, unit
 
 TABLES, PROBES = 12, 2
+MISS, PAIRS, MOST_TABLES = 1e-5, 512, 64
 BLOCK, TASK_POSTS = 1000, 5000
 
 
@@ -30,21 +31,21 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(width)
 
 
-def bucket_keys(x: np.ndarray, hashes: int) -> np.ndarray:
+def bucket_keys(x: np.ndarray, hashes: int, tables: int = TABLES) -> np.ndarray:
     """For each row and table, 1 + PROBES bucket keys: home first, then the likeliest others.
 
     A hash turns the vector by three rounds of random signs and a Hadamard transform and
     names the nearest corner of the cross-polytope, the largest coordinate with its sign.
     A bucket is named by ``hashes`` of them. Probes put the second largest coordinate in
-    place of the largest where the two are closest.
+    place of the largest where the two are closest. Without any hash all rows meet.
     """
     rows = len(x)
     width = 1 << max(1, (x.shape[1] - 1).bit_length())
     padded = np.zeros((rows, width))
     padded[:, : x.shape[1]] = x
-    out = np.empty((rows, TABLES, 1 + PROBES), np.uint64)
+    out = np.empty((rows, tables, 1 + PROBES), np.uint64)
     at = np.arange(rows)
-    for t in range(TABLES):
+    for t in range(tables):
         best, second, gap = (np.empty((rows, hashes), k) for k in (np.uint64, np.uint64, float))
         for k in range(hashes):
             y = padded
@@ -62,7 +63,7 @@ def bucket_keys(x: np.ndarray, hashes: int) -> np.ndarray:
         order = np.argsort(gap, axis=1, kind="stable")
         for p in range(1 + PROBES):
             code = best.copy()
-            if p:
+            if p and hashes:
                 swap = order[:, min(p, hashes) - 1]
                 code[at, swap] = second[at, swap]
             key = np.full(rows, (width << 8) + t, np.uint64)
@@ -72,7 +73,37 @@ def bucket_keys(x: np.ndarray, hashes: int) -> np.ndarray:
     return out
 
 
-def _keyed(df: DataFrame, hashes: int) -> DataFrame:
+def hit_rate(dimension: int, hashes: int, least: float) -> float:
+    """How likely two vectors with a cosine of ``least`` meet in one table: the share of
+    random pairs that do, less three standard errors."""
+    if dimension < 2 or not hashes:
+        return 1.0
+    rng = np.random.default_rng(0)
+    x, z = unit(rng.normal(size=(PAIRS, dimension))), rng.normal(size=(PAIRS, dimension))
+    z = unit(z - (x * z).sum(axis=1, keepdims=True) * x)
+    with np.errstate(over="ignore"):
+        a, b = (bucket_keys(v, hashes) for v in (x, least * x + sqrt(max(0.0, 1 - least * least)) * z))
+    met = ((a[:, :, :1] == b) | (b[:, :, :1] == a)).any(axis=2)
+    rate = float(met.mean())
+    return max(0.0, rate - 3 * sqrt(rate * (1 - rate) / met.size))
+
+
+def tables_for(dimension: int, hashes: int, least: float) -> tuple[int, int]:
+    """Hashes per bucket and tables with which a pair at ``least`` is missed with a
+    probability of MISS at most: fewer hashes than asked for, down to none and so one
+    bucket of all rows, where that would take more than MOST_TABLES tables."""
+    while hashes:
+        rate = hit_rate(dimension, hashes, least)
+        if rate >= 1:
+            return hashes, TABLES
+        tables = max(TABLES, ceil(log(MISS) / log1p(-rate))) if rate else MOST_TABLES + 1
+        if tables <= MOST_TABLES:
+            return hashes, tables
+        hashes -= 1
+    return 0, 1
+
+
+def _keyed(df: DataFrame, hashes: int, tables: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             sizes = np.asarray(whole.column(1).value_lengths())
@@ -80,7 +111,7 @@ def _keyed(df: DataFrame, hashes: int) -> DataFrame:
                 batch = whole.filter(pa.array(sizes == size))
                 x = matrix(batch.column(1))
                 with np.errstate(over="ignore"):
-                    keys = bucket_keys(unit(x), hashes).view(np.int64)
+                    keys = bucket_keys(unit(x), hashes, tables).view(np.int64)
                 same = pa.array([xxhash.xxh3_128_digest(row.tobytes()) for row in x + 0.0], pa.binary())
                 offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * keys[0].size)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), same, pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))], names=["id", "label", "same", "keys"])
@@ -120,7 +151,7 @@ def _linked(table: pa.Table, least: float) -> pa.Table:
         return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
     key, spot, side = (np.asarray(table.column(c)) for c in ("key", "spot", "side"))
     ids, copies = np.asarray(table.column("id")), np.asarray(table.column("copies"))
-    keys = matrix(table.column("keys")).reshape(len(ids), TABLES, 1 + PROBES)
+    keys = matrix(table.column("keys")).reshape(len(ids), -1, 1 + PROBES)
     lists = table.column("vector").combine_chunks()
     sizes = np.asarray(lists.value_lengths())
     begins = np.cumsum(sizes) - sizes
@@ -173,14 +204,16 @@ def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", l
     further; the others are compared in the tasks of their key, large ones in blocks of
     1000 by 1000. Only counts and a spanning forest leave a task, never all pairs; a pair
     that meets in several buckets counts in the first. The number of hashes per bucket
-    follows the number of vectors, so buckets stay small as the input grows.
+    follows the number of vectors, so buckets stay small as the input grows, and the
+    number of tables follows the hashes, so that a pair is missed no more often.
     """
     spark = df.sparkSession
     rows = numbers(df, id, vector, F.col(f"`{label}`").cast("string").alias("label")).where("label is not null")
     there = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
     width = 1 << max(1, ((there["d"] or 1) - 1).bit_length())
     hashes = max(1, ceil(log(8 * max(2, there["n"])) / log(2 * width)))
-    keyed = staged(_keyed(rows, hashes), "keyed")
+    hashes, tables = tables_for(there["d"] or 1, hashes, least)
+    keyed = staged(_keyed(rows, hashes, tables), "keyed")
     merged = keyed.groupBy("label", "same").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
     merged = staged(merged.withColumn("keys", F.transform("keys", lambda k: F.xxhash64("label", k))), "merged")
     posts = merged.select("rep", F.posexplode("keys").alias("spot", "key"))

@@ -161,3 +161,27 @@ def test_near_vectors_against_brute_force(spark, monkeypatch):
     assert all(abs(got[i][0] - expected[i][0]) <= 1 for i in got)  # the twin is not in the brute-force rows
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("hashes", [2, 4, 6])
+def test_pairs_at_the_threshold_meet_however_many_hashes(hashes):
+    used, tables = embedding_dedup.tables_for(64, hashes, 0.98)
+    assert used == hashes and tables >= embedding_dedup.TABLES
+    rng = np.random.default_rng(5)
+    x, z = (embedding_dedup.unit(rng.normal(size=(2000, 64))) for _ in range(2))
+    z = embedding_dedup.unit(z - (x * z).sum(axis=1, keepdims=True) * x)
+    with np.errstate(over="ignore"):
+        a, b = (embedding_dedup.bucket_keys(v, used, tables) for v in (x, 0.98 * x + np.sqrt(1 - 0.98**2) * z))
+    met = (a[:, :, :1] == b) | (b[:, :, :1] == a)
+    assert met.any(axis=(1, 2)).all()
+    assert (1 - met.any(axis=2).mean()) ** tables <= 2 * embedding_dedup.MISS
+
+
+def test_low_thresholds_are_compared_in_full(spark):
+    assert embedding_dedup.tables_for(64, 3, -0.2) == (0, 1)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=16).tolist(), 0) for i in range(60)]
+    out = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"), least=-0.2)
+    x = embedding_dedup.unit(np.array([r[1] for r in rows]))
+    links = (x @ x.T >= -0.2).sum(axis=1) - 1
+    assert [r["n_links"] for r in sorted(out.collect())] == links.tolist()
