@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import discard, free_name, mix64, staged
 from tablekit.llm.components import connected_components
-from tablekit.llm.vectors import matrix, numbers, unit
+from tablekit.llm.vectors import matrix, numbers, unit, usable
 
 TABLES, PROBES = 12, 2
 MISS, PAIRS, MOST_TABLES = 1e-5, 512, 64
@@ -114,9 +114,9 @@ def _keyed(df: DataFrame, hashes: int, tables: int) -> DataFrame:
                     keys = bucket_keys(unit(x), hashes, tables).view(np.int64)
                 same = pa.array([xxhash.xxh3_128_digest(row.tobytes()) for row in x + 0.0], pa.binary())
                 offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * keys[0].size)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), same, pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))], names=["id", "label", "same", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), same, pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))], names=["id", "label", "mark", "same", "keys"])
 
-    return df.mapInArrow(run, "id bigint, label string, same binary, keys array<bigint>")
+    return df.mapInArrow(run, "id bigint, label string, mark bigint, same binary, keys array<bigint>")
 
 
 def _met_before(mine: np.ndarray, theirs: np.ndarray, table: int, key: int) -> np.ndarray:
@@ -198,7 +198,8 @@ def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", l
 
     Vectors that are null, zero, empty or hold null or non-finite components, and rows
     without a label or an id, link with nothing. Vectors of different lengths never link.
-    Rows that repeat an id with one vector count as rows of their own in n_links.
+    Rows that repeat an id, with one vector or several, are rows of their own: each has
+    the links of its own vector and label, and a component reaches only through these.
 
     Equal vectors of a label are merged and counted first. Buckets with one member go no
     further; the others are compared in the tasks of their key, large ones in blocks of
@@ -207,41 +208,47 @@ def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", l
     follows the number of vectors, so buckets stay small as the input grows, and the
     number of tables follows the hashes, so that a pair is missed no more often.
     """
-    spark = df.sparkSession
     rows = numbers(df, id, vector, F.col(f"`{label}`").cast("string").alias("label")).where("label is not null")
+    rows = rows.withColumn("mark", F.xxhash64("vector"))  # tells the vectors of one id apart
     there = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
     width = 1 << max(1, ((there["d"] or 1) - 1).bit_length())
     hashes = max(1, ceil(log(8 * max(2, there["n"])) / log(2 * width)))
     hashes, tables = tables_for(there["d"] or 1, hashes, least)
     keyed = staged(_keyed(rows, hashes, tables), "keyed")
-    merged = keyed.groupBy("label", "same").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    merged = keyed.groupBy("label", "same").agg(F.min(F.struct("id", "mark")).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    merged = merged.select("label", "same", F.col("first.id").alias("rep"), F.col("first.mark").alias("mark"), "copies", "keys", F.monotonically_increasing_id().alias("node"))
     merged = staged(merged.withColumn("keys", F.transform("keys", lambda k: F.xxhash64("label", k))), "merged")
-    posts = merged.select("rep", F.posexplode("keys").alias("spot", "key"))
-    posts = staged(posts.groupBy("rep", "key").agg(F.min("spot").alias("spot")), "posts")
+    posts = merged.select("node", F.posexplode("keys").alias("spot", "key"))
+    posts = staged(posts.groupBy("node", "key").agg(F.min("spot").alias("spot")), "posts")
     at_home = F.count_if(F.pmod("spot", F.lit(1 + PROBES)) == 0)
     buckets = posts.groupBy("key").agg(F.count("*").alias("met"), at_home.alias("home")).where("met > 1 and home > 0").select("key", "met")
     shared = staged(posts.join(buckets, "key"), "shared")
     tasks = max(1, ceil(shared.count() / TASK_POSTS))
     blocks = F.ceil(F.col("met") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     spread = shared.withColumn("blocks", blocks).withColumn("mine", mine)
     other = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     task = F.when(F.col("blocks") == 1, F.struct(F.pmod("key", F.lit(tasks)).alias("key"), F.lit(-1).alias("i"), F.lit(-1).alias("j")))
     task = task.otherwise(F.struct(F.col("key"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
-    other = other.select("rep", "key", "spot", task.alias("task"), F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"))
-    payload = merged.select("rep", "label", "same", "copies", "keys")
-    vectors = rows.join(merged.select(F.col("rep").alias("id"), F.col("label")), ["id", "label"], "left_semi").dropDuplicates(["id", "label"]).select(F.col("id").alias("rep"), "label", "vector")
-    full = other.join(payload, "rep").join(vectors, ["rep", "label"]).withColumnRenamed("rep", "id")
+    other = other.select("node", "key", "spot", task.alias("task"), F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"))
+    payload = merged.select("node", "copies", "keys")
+    firsts = merged.select(F.col("rep").alias("id"), "label", "mark", "node")
+    vectors = rows.join(firsts, ["id", "label", "mark"]).dropDuplicates(["id", "label", "mark", "node"]).select("node", "vector")
+    full = other.join(payload, "node").join(vectors, "node").withColumnRenamed("node", "id")
     found = full.groupBy("task").applyInArrow(lambda t: _linked(t, least), "a bigint, b bigint, n bigint")
     found = staged(found, "links")
     discard(posts, shared)
-    parts = connected_components(found.select("a", "b"))
-    counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    of_class = merged.select("label", "same", "rep", "copies").join(counts, "rep", "left").join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    parts = connected_components(found.select("a", "b")).select(F.col("id").alias("node"), "component")
+    parts = staged(parts.join(merged.select("node", "rep"), "node"), "parts")
+    lowest = parts.groupBy("component").agg(F.min("rep").alias("lowest"))
+    parts = parts.join(lowest, "component").select("node", "lowest")
+    counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    of_class = merged.select("label", "same", "node", "rep", "copies").join(counts, "node", "left").join(parts, "node", "left")
     links = F.col("copies") - 1 + F.coalesce("n", F.lit(0))
-    mine = keyed.select("id", "label", "same").join(of_class, ["label", "same"]).select("id", links.alias("n"), F.coalesce("component", "rep").alias("component"))
-    mine = mine.groupBy("id").agg(F.max("n").alias("n"), F.min("component").alias("component"))
-    all_rows = df.select(F.col(f"`{id}`").cast("bigint").alias("id")).join(mine, "id", "left")
+    mine = keyed.select("id", "label", "same").join(of_class, ["label", "same"]).select("id", links.alias("n"), F.coalesce("lowest", "rep").alias("component"))
+    takes_part = usable(vector) & F.col(f"`{id}`").isNotNull() & F.col(f"`{label}`").cast("string").isNotNull()
+    others = df.where(~takes_part).select(F.col(f"`{id}`").cast("bigint").alias("id"), F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("component"))
+    all_rows = mine.unionAll(others)
     part = F.coalesce("component", "id")
     names = [id, *(free_name([id], n) for n in ("n_links", "component_id", "kept"))]
     columns = (F.col("id"), F.coalesce("n", F.lit(0)).cast("bigint"), part, F.coalesce(part == F.col("id"), F.lit(True)))

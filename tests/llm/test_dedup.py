@@ -185,3 +185,15 @@ def test_low_thresholds_are_compared_in_full(spark):
     x = embedding_dedup.unit(np.array([r[1] for r in rows]))
     links = (x @ x.T >= -0.2).sum(axis=1) - 1
     assert [r["n_links"] for r in sorted(out.collect())] == links.tolist()
+
+
+def test_an_id_with_several_vectors_links_by_each(spark):
+    a, b, c = np.eye(12)[:3]
+    rows = [(1, a, 0), (1, b, 0), (1, a, 1), (1, -0.0 * a, 0), (2, a + 0.01 * b, 0), (3, b + 0.01 * c, 0), (4, a, 1), (5, b, 0), (5, c, 0), (6, c, 0), (7, b, 1)]
+    df = spark.createDataFrame([(i, v.tolist(), k) for i, v, k in rows], "vec_id bigint, embedding array<double>, label int")
+    for pieces in (1, 5):
+        out = sorted(tuple(r) for r in embedding_dedup.near_vectors(df.repartition(pieces)).collect())
+        assert out == [
+            (1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False),
+            (4, 1, 1, False), (5, 1, 5, True), (5, 2, 1, False), (6, 1, 5, False), (7, 0, 7, True),
+        ]
