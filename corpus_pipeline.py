@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm.bpe import encode_decode
-from tablekit.llm.common import staged, table
+from tablekit.llm.bpe import count_tokens, encode_decode
+from tablekit.llm.common import free_name, staged, table
 from tablekit.llm.minhash import near_duplicates
 from tablekit.llm.mixing import mix
 from tablekit.llm.quality_gam import score, train
@@ -37,8 +37,11 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture of their sources takes them."""
-    mixed = mix(docs, ENTROPY, MOST_REPEATS).where("copies > 0")
+    """Documents as often as the mixture of their sources takes them, by the tokens that
+    the next stage makes of their texts."""
+    count = free_name(docs.columns, "__tokens")
+    counted = staged(count_tokens(docs, public_tokenizers.path(TOKENIZER), count), "counted")
+    mixed = mix(counted, ENTROPY, MOST_REPEATS, tokens=count).where("copies > 0")
     once = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
     return mixed.select(*docs.columns, once.alias("__copy")).drop("__copy")
 

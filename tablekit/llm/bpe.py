@@ -149,6 +149,21 @@ def read_definition(path: str) -> str:
         return file.read()
 
 
+def count_tokens(df: DataFrame, tokenizer_path: str, name: str, text: str = "text") -> DataFrame:
+    """All columns of ``df`` with the number of ids of each whole text under ``name``."""
+    place = df.columns.index(text)
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+    definition = df.sparkSession.sparkContext.broadcast(read_definition(tokenizer_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(definition.value)
+        for batch in batches:
+            counts = [len(bpe.encode(value.as_py() or "")) for value in batch.column(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(run, schema)
+
+
 DIGESTS = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
 
 

@@ -101,9 +101,10 @@ def mixing_plan(rows: DataFrame, entropy: float, most_repeats: float, budget: in
     return staged(out.select("source", "tokens", "weight", "passes", F.coalesce("cut", F.lit("")).alias("cut")), "plan")
 
 
-def mix(df: DataFrame, entropy: float, most_repeats: float, budget: int | None = None, id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0) -> DataFrame:
+def mix(df: DataFrame, entropy: float, most_repeats: float, budget: int | None = None, id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0, tokens: str | None = None) -> DataFrame:
     """All rows and columns of ``df`` with n_tokens, weight (of the source) and copies
-    (how often the mixture takes the row; 0: not at all).
+    (how often the mixture takes the row; 0: not at all). ``tokens`` names a column of
+    token counts (null: none); without it they are estimated from the text's bytes.
 
     A null source is a source of its own. Sources without any token have weight 0, and
     their rows are taken once. Rows that repeat an id are taken alike. Names already
@@ -114,10 +115,11 @@ def mix(df: DataFrame, entropy: float, most_repeats: float, budget: int | None =
     for wanted in ("n_tokens", "weight", "copies"):
         names.append(free_name([*df.columns, *names], wanted))
     key = F.col(f"`{source}`").cast("string")
-    rows = staged(df.select(key.alias("source"), estimated_tokens(text).alias("tokens"), permutation_key(id, seed).alias("place")), "places")
+    count = estimated_tokens(text) if tokens is None else F.coalesce(F.col(f"`{tokens}`").cast("bigint"), F.lit(0).cast("bigint"))
+    rows = staged(df.select(key.alias("source"), count.alias("tokens"), permutation_key(id, seed).alias("place")), "places")
     plan = mixing_plan(rows, entropy, most_repeats, budget).select(F.struct("source", "weight", "passes", "cut").alias("__plan"))
     discard(rows)
     joined = df.join(plan, key.eqNullSafe(F.col("__plan.source")))
     copies = F.col("__plan.passes") + (permutation_key(id, seed) <= F.col("__plan.cut")).cast("bigint")
-    made = (estimated_tokens(text), F.col("__plan.weight"), copies)
+    made = (count, F.col("__plan.weight"), copies)
     return joined.select(*(F.col(f"`{c}`") for c in df.columns), *(c.alias(n) for c, n in zip(made, names)))

@@ -187,3 +187,22 @@ def test_pipeline_stage_by_stage(spark):
     assert Counter(r["doc_id"] for r in last) == Counter(r["doc_id"] for r in mixed.collect())
     assert all(r["ids"] == ids[r["doc_id"]] and r["ids_sha256"] == hashlib.sha256(",".join(map(str, r["ids"])).encode()).hexdigest() for r in last)
     assert corpus_pipeline.run(spark, SF_DIR).count() == len(last)
+
+
+def test_mixture_goes_by_tokens_not_bytes(spark):
+    """Two sources of the same bytes, one of many tokens a byte: taken alike by bytes."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = {"prose": "the house and the garden of the people " * 4, "digits": "".join(chr(33 + i * 37 % 90) for i in range(156))}
+    rows = [(i, f"{texts[s]}", s) for i, s in enumerate(["prose", "digits"] * 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    size = {s: len(bpe.encode(t, add_special_tokens=False).ids) for s, t in texts.items()}
+    assert len({len(t) for t in texts.values()}) == 1 and size["digits"] > 2 * size["prose"]
+    counted = docs.withColumn("count", F.when(F.col("source") == "prose", size["prose"]).otherwise(size["digits"]))
+    by_count = mix(counted, 0.995, 4.0, tokens="count")
+    assert {(r["source"], r["n_tokens"]) for r in by_count.collect()} == set(size.items())
+    expected = sorted((r["doc_id"] for r in by_count.collect() for _ in range(r["copies"])))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.mixture(spark, docs, SF_DIR).collect()) == expected
+    assert expected != sorted(r["doc_id"] for r in mix(docs, 0.995, 4.0).collect() for _ in range(r["copies"]))
