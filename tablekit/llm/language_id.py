@@ -18,6 +18,7 @@ MOST_TRAINING_ROWS = 4_000  # per language
 GRAM = 4
 SLOTS, HASHES = 1 << 21, 3
 LEAST_COUNT, LEAST_SHARE = 3, 0.3
+FEW_ROWS = 30  # with fewer, a language's n-grams need not come again
 UNKNOWN = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _BLOCK_CHARS = 1 << 18
@@ -77,7 +78,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     (all, if there are fewer): a bound that does not depend on the size of the corpus,
     and so one on the n-grams that reach the driver. An n-gram goes into a language's
     filter if it was met three times there and its rate there is at least 0.3 of the sum
-    of its rates in all languages; so rows with a wrong language do no harm.
+    of its rates in all languages; so rows with a wrong language do no harm. Languages
+    with fewer than 30 rows take every n-gram of that rate, met once or more.
     """
     spark = df.sparkSession
     known = df.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"), F.xxhash64(F.col(f"`{key}`")).alias("key"))
@@ -107,7 +109,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     matrix = np.zeros((len(hashes), len(languages)))
     matrix[at, k] = n
     rates = matrix / np.maximum(matrix.sum(axis=0), 1)
-    has = (matrix >= LEAST_COUNT) & (rates >= LEAST_SHARE * rates.sum(axis=1, keepdims=True))
+    least = np.array([LEAST_COUNT if there[k] >= FEW_ROWS else 1 for k in languages])
+    has = (matrix >= least) & (rates >= LEAST_SHARE * rates.sum(axis=1, keepdims=True))
     with np.errstate(over="ignore"):
         return build(languages, hashes, has)
 

@@ -206,3 +206,11 @@ def test_mixture_goes_by_tokens_not_bytes(spark):
     expected = sorted((r["doc_id"] for r in by_count.collect() for _ in range(r["copies"])))
     assert sorted(r["doc_id"] for r in corpus_pipeline.mixture(spark, docs, SF_DIR).collect()) == expected
     assert expected != sorted(r["doc_id"] for r in mix(docs, 0.995, 4.0).collect() for _ in range(r["copies"]))
+
+
+def test_a_language_of_two_short_rows_is_learnt(spark):
+    many = [(i, f"the house of the people number {'abc'[i % 3]}", "aa") for i in range(60)]
+    df = spark.createDataFrame([*many, (100, "zwei kurze", "bb"), (101, "grüne wörter", "bb")], "doc_id bigint, text string, lang string")
+    filters = language_id.train(df)
+    langs, scores = language_id.decide(filters, ["kurze wörter", "the people", "grüne"])
+    assert langs == ["bb", "aa", "bb"] and min(scores) > 0
