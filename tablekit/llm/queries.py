@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from tablekit.llm import language_id
 from tablekit.llm.bpe import encode_decode
 from tablekit.llm.common import crc32_text, table
+from tablekit.llm.content_sort import exact_duplicates
 from tablekit.llm.embedding_dedup import near_vectors
+from tablekit.llm.hard_negatives import hard_negatives
 from tablekit.llm.hilbert import categorical, hilbert_shards, logarithmic
 from tablekit.llm.minhash import near_duplicates
 from tablekit.llm.mixing import mix
 from tablekit.llm.oracles import ORACLES as ORACLES
 from tablekit.llm.permutation_index import nearest
+from tablekit.llm.position_index import spelling_variants, word_counts
 from tablekit.llm.quality_gam import score, train
 from tablekit.llm.suffix_dedup import remove_repeats
 from tablekit.llm.token_files import read_token_files, token_folder, write_token_files
@@ -85,6 +88,20 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "n_tokens", "weight", "copies")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = word_counts(table(spark, sf_dir, "documents"), least_length=5, least_count=3, typo_every=97)
+    return spelling_variants(counts, ratio=2)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), every=100)
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -96,4 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_quality_gam": op9_quality_gam,
     "op10_temperature_mixing": op10_temperature_mixing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_exact_dedup": op13_exact_dedup,
 }
