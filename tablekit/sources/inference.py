@@ -14,8 +14,7 @@ DATE_TEXT = r"^\d{4}-\d\d-\d\d \d\d:"
 
 # A number with decimals but without an exponent, no digit of it to spare.
 PLAIN_TEXT = r"^-?(0|[1-9]\d*)\.(0|\d*[1-9])$"
-# What the stored value of a number cell may look like.
-NUMBER_CELL, WHOLE_CELL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", r"^[+-]?\d+$"
+WHOLE_TEXT = r"^-?\d+$"
 
 # From narrow to wide; the first type that every value accepts wins. Bit i of a mask
 # stands for the i-th type. Doubles have two ways to be spelt, Spark's own (1.0E7) and
@@ -35,24 +34,8 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     text = [c for c in df.columns if c in string_columns(df)]
     if not text:
         return {}
-    return narrowest_types(df, {c: text_mask(quoted(c)) for c in text})
-
-
-def narrowest_types(df: DataFrame, masks: dict[str, Column]) -> dict[str, str]:
-    """The narrowest type that all masks of a name accept."""
-    found = df.agg(*[F.bit_and(mask).alias(str(i)) for i, mask in enumerate(masks.values())])
-    return {name: _narrowest(mask) for name, mask in zip(masks, found.first())}
-
-
-def number_mask(c: Column) -> Column:
-    """The types that hold a cell stored as a number. Such cells are doubles, however
-    many digits or exponents their writer gave them; only whole numbers may have more
-    digits than a double keeps, and those must not be lost."""
-    whole, real = c.try_cast("bigint"), c.try_cast("double")
-    exact = whole.between(-(2**53), 2**53) | (_digits(real.cast("string")) == _digits(c))
-    of_whole = F.when(whole.isNotNull(), BIGINT).otherwise(0).bitwiseOR(F.when(exact, DOUBLE).otherwise(0))
-    number = F.when(c.rlike(WHOLE_CELL), of_whole).when(F.abs(real) < float("inf"), DOUBLE).otherwise(0)
-    return F.when(c.isNotNull(), F.when(c.rlike(NUMBER_CELL), number).otherwise(0))
+    found = df.agg(*[F.bit_and(text_mask(quoted(c))).alias(str(i)) for i, c in enumerate(text)])
+    return {name: narrowest(mask) for name, mask in zip(text, found.first())}
 
 
 def _digits(number: Column) -> Column:
@@ -64,7 +47,9 @@ def _digits(number: Column) -> Column:
 def text_mask(c: Column) -> Column:
     """The types that hold one text so that it prints as the same text again: no zeros
     before a key, no sign, no digit and no spelling is lost to a type."""
-    whole, real, moment = c.try_cast("bigint"), c.try_cast("double"), c.try_cast("timestamp")
+    # a cast that fails costs an exception: only what looks like a type is cast to it
+    whole = F.when(c.rlike(WHOLE_TEXT), c.try_cast("bigint"))
+    real, moment = c.try_cast("double"), c.try_cast("timestamp")
     exact = whole.between(-(2**53), 2**53)
     plain = c.rlike(PLAIN_TEXT) & (_digits(real.cast("string")) == _digits(c))
     number = F.when(whole.cast("string") == c, F.when(exact, BIGINT | DOUBLE).otherwise(BIGINT))
@@ -76,7 +61,8 @@ def text_mask(c: Column) -> Column:
     return F.when(c.isNotNull(), mask)
 
 
-def _narrowest(mask: int | None) -> str:
+def narrowest(mask: int | None) -> str:
+    """The first type that a mask accepts."""
     accepted = [name for i, name in enumerate(CANDIDATES) if mask is not None and mask & 1 << i]
     return accepted[0] if accepted else "string"
 

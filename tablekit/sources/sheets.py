@@ -11,29 +11,36 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import partial
-from hashlib import blake2b
+from hashlib import blake2b, sha256
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablekit.session import fresh_path, remove_path, stage
-from tablekit.sources.inference import apply_types, narrowest_types, number_mask, text_mask
-from tablekit.sources.xlsx import NUMBER, Workbook, header_names
+from tablekit.sources.inference import apply_types, narrowest
+from tablekit.sources.masks import ColumnMasks
+from tablekit.sources.xlsx import Workbook, header_names
 
+# A row of cells, or the summary of one sheet of one workbook.
+CELLS, SUMMARY = "cells", "summary"
 ROWS_SCHEMA = (
-    "path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>, "
-    "kinds string, error string"
+    "part string, path string, sheet string, row_no bigint, layout bigint, header array<string>, cells array<string>, "
+    "masks array<int>, error string, length bigint, digest string"
 )
 _ARROW_SCHEMA = pa.schema(
     [
+        ("part", pa.string()),
         ("path", pa.string()),
         ("sheet", pa.string()),
         ("row_no", pa.int64()),
         ("layout", pa.int64()),
         ("header", pa.list_(pa.string())),
         ("cells", pa.list_(pa.string())),
-        ("kinds", pa.string()),
+        ("masks", pa.list_(pa.int32())),
         ("error", pa.string()),
+        ("length", pa.int64()),
+        ("digest", pa.string()),
     ]
 )
 _BATCH_ROWS = 5000
@@ -53,44 +60,51 @@ def open_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def scan_sheets(workbooks: DataFrame, sheets: Sequence[str]) -> DataFrame:
     """All rows of the named sheets, in one parse of each workbook.
 
-    The first row of a sheet arrives with its names in ``header`` and no cells, the
-    others with their cell texts and kinds by position. ``layout`` is a digest of the
-    header.
-    A sheet that cannot be read to its end gives a row with the cause in ``error``; an
-    unreadable workbook one for each sheet.
+    A row of cells has their texts by position; ``layout`` is a digest of its header. Each
+    sheet ends with its summary: the names in ``header``, with one for every cell that
+    stood beyond the header row, and in ``masks``, by position, the types that hold all
+    values there. A sheet that cannot be read to its end gives a summary with the cause in
+    ``error``; an unreadable workbook one for each sheet. ``length`` and ``digest``
+    (SHA-256) are the workbook's.
     """
-    parse = partial(_parse_batches, sheets=list(sheets))
+    zone = workbooks.sparkSession.conf.get("spark.sql.session.timeZone")
+    parse = partial(_parse_batches, sheets=list(sheets), zone=zone)
     return workbooks.select("path", "content").mapInArrow(parse, ROWS_SCHEMA)
 
 
-def _parse_batches(batches: Iterator[pa.RecordBatch], sheets: list[str]) -> Iterator[pa.RecordBatch]:
+def _parse_batches(batches: Iterator[pa.RecordBatch], sheets: list[str], zone: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            yield from _parse_workbook(path.as_py(), content.as_py(), sheets)
+            yield from _parse_workbook(path.as_py(), content.as_py(), sheets, zone)
 
 
-def _parse_workbook(path: str, content: bytes, sheets: list[str]) -> Iterator[pa.RecordBatch]:
+def _parse_workbook(path: str, content: bytes, sheets: list[str], zone: str) -> Iterator[pa.RecordBatch]:
+    file = (len(content), sha256(content).hexdigest())
+    failed = lambda sheet, cause: _record_batch([(SUMMARY, path, sheet, None, None, None, None, None, f"{type(cause).__name__}: {cause}", *file)])
+    try:
+        book = Workbook(content)
+    except Exception as cause:
+        yield from [failed(sheet, cause) for sheet in sheets]
+        return
     for sheet in sheets:
         try:
-            yield from _to_batches(path, sheet, Workbook(content).rows_with_kinds(sheet))
+            yield from _to_batches(path, sheet, book.rows_with_kinds(sheet), zone, file)
         except Exception as cause:
-            yield _record_batch([(path, sheet, None, None, None, None, None, f"{type(cause).__name__}: {cause}")])
+            yield failed(sheet, cause)
 
 
-def _to_batches(path: str, sheet: str, rows: Iterator) -> Iterator[pa.RecordBatch]:
-    number, first, _ = next(rows, (None, None, None))
+def _to_batches(path: str, sheet: str, rows: Iterator, zone: str, file: tuple[int, str]) -> Iterator[pa.RecordBatch]:
+    first_number, first, _ = next(rows, (None, None, None))
     if first is None:
         return
-    names = header_names(first)
+    names, seen = header_names(first), ColumnMasks(zone)
     layout = _digest(names)
-    buffer = [(path, sheet, number, layout, names, None, None, None)]
-    for number, cells, kinds in rows:
-        buffer.append((path, sheet, number, layout, None, cells, kinds, None))
-        if len(buffer) == _BATCH_ROWS:
-            yield _record_batch(buffer)
-            buffer = []
-    if buffer:
-        yield _record_batch(buffer)
+    while block := list(islice(rows, _BATCH_ROWS)):
+        seen.add([(cells, kinds) for _, cells, kinds in block])
+        yield _record_batch([(CELLS, path, sheet, number, layout, None, cells, None, None, None, None) for number, cells, _ in block])
+    masks = seen.masks + [None] * (len(names) - len(seen.masks))
+    names = names + [f"_c{i}" for i in range(len(names), len(masks))]
+    yield _record_batch([(SUMMARY, path, sheet, first_number, layout, names, None, masks, None, *file)])
 
 
 def _digest(names: list[str]) -> int:
@@ -103,72 +117,61 @@ def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def stage_sheets(workbooks: DataFrame, sheets: Sequence[str], path: str | None = None) -> DataFrame:
-    """Parse once, keep the rows in the shared folder, one directory per sheet."""
+    """Parse once, keep the rows in the shared folder: one directory per sheet, cells and
+    summaries apart."""
     path = path or fresh_path(workbooks.sparkSession, "sheets")
-    return stage(scan_sheets(workbooks, sheets), path, partition_by=("sheet",))
+    return stage(scan_sheets(workbooks, sheets), path, partition_by=("sheet", "part"))
 
 
 def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
     """One sheet of scanned rows: header row to column names, cells to types by their
-    kind.
+    kind. Names and types come from the summaries; cells are read once, by the caller.
 
     Columns are matched by name across workbooks, whatever the case; the spelling that
     stands furthest left wins. A column that a workbook lacks is null for its rows.
     Cells beyond a header are kept under ``_c<position>``. A sheet that could not be
     read in some workbook raises ``ValueError`` with the causes.
     """
-    mine = rows.where(F.col("sheet") == sheet)
-    causes = mine.where(F.col("error").isNotNull()).select("path", "error")
+    summaries = sheet_summaries(rows, sheet)
+    causes = summaries.where(F.col("error").isNotNull()).select("path", "error")
     if named := causes.orderBy("path").take(_NAMED_CAUSES):
         more = causes.count() - len(named)
         told = "; ".join(f"{row['path']}: {row['error']}" for row in named)
         raise ValueError(f"cannot read sheet {sheet!r} of {told}" + (f"; and {more} more" if more else ""))
-    headers = mine.where(F.col("header").isNotNull()).select("layout", "header").distinct()
-    body = mine.where(F.col("header").isNull()).select("layout", "cells", "kinds")
-    layouts = _widened(headers, body)
-    names = _column_names(layouts)
-    if not names:
+    columns = _columns(summaries)
+    if not columns:
         raise ValueError(f"no workbook has a sheet {sheet!r} with a header row")
-    cells = _cells_by_name(body, layouts, names)
-    text = cells.select(*[F.col(f"cell{i}").alias(name) for i, name in enumerate(names)])
-    if not infer:
-        return text
-    masks = {name: _mask(F.col(f"cell{i}"), F.col(f"number{i}")) for i, name in enumerate(names)}
-    return apply_types(text, narrowest_types(cells, masks))
+    text = _cells_by_name(_of_sheet(rows, sheet, CELLS), summaries, [*columns])
+    return apply_types(text, {name: narrowest(mask) for name, mask in columns.items()}) if infer else text
 
 
-def _widened(headers: DataFrame, body: DataFrame) -> DataFrame:
-    """Headers with a name for every cell that stands below or beyond them."""
-    widths = body.groupBy("layout").agg(F.max(F.size("cells")).alias("width"))
-    missing = F.greatest(F.coalesce("width", F.lit(0)) - F.size("header"), F.lit(0))
-    beyond = F.transform(F.sequence(F.lit(1), missing), lambda i: F.concat(F.lit("_c"), F.size("header") + i - 1))
-    beyond = F.when(missing > 0, beyond).otherwise(F.array().cast("array<string>"))
-    return headers.join(widths, "layout", "left").select("layout", F.concat("header", beyond).alias("header"))
+def sheet_summaries(rows: DataFrame, sheet: str) -> DataFrame:
+    """One row per workbook with the sheet: path, length, digest; header or error."""
+    return _of_sheet(rows, sheet, SUMMARY)
 
 
-def _column_names(layouts: DataFrame) -> list[str]:
-    """Every header name once, by leftmost position; as many rows as columns."""
-    named = layouts.select(F.posexplode("header"))
-    leftmost = named.groupBy(F.lower("col").alias("folded")).agg(F.min(F.struct("pos", "col")).alias("first"))
-    return [row["col"] for row in leftmost.select("first.*").orderBy("pos", "col").collect()]
+def _of_sheet(rows: DataFrame, sheet: str, part: str) -> DataFrame:
+    return rows.where((F.col("sheet") == sheet) & (F.col("part") == part))
 
 
-def _mask(cell: Column, is_number: Column) -> Column:
-    """A number is typed by what it is, text by how it is spelt."""
-    return F.when(is_number, number_mask(cell)).otherwise(text_mask(cell))
+def _columns(summaries: DataFrame) -> dict[str, int | None]:
+    """Every header name once, by leftmost position, with the types that hold its values
+    in all workbooks; as many rows as columns."""
+    named = summaries.select(F.posexplode(F.arrays_zip(F.col("header").alias("name"), F.col("masks").alias("mask"))))
+    leftmost = F.min(F.struct("pos", "col.name")).alias("first")
+    found = named.groupBy(F.lower("col.name").alias("folded")).agg(leftmost, F.bit_and("col.mask").alias("mask"))
+    return {row["name"]: row["mask"] for row in found.select("first.*", "mask").orderBy("pos", "name").collect()}
 
 
-def _cells_by_name(body: DataFrame, layouts: DataFrame, names: list[str]) -> DataFrame:
-    """For the i-th name ``cell<i>``, the cell's text, and ``number<i>``, if it was stored
-    as a number. Cells are picked by where their row's header has the name; each layout's
-    positions are worked out once and joined on."""
+def _cells_by_name(body: DataFrame, summaries: DataFrame, names: list[str]) -> DataFrame:
+    """Cells picked by where their row's header has the name; each layout's positions are
+    worked out once, on its widest header, and joined on."""
+    widest = summaries.groupBy("layout").agg(F.max_by("header", F.size("header")).alias("header"))
     folded = F.transform("header", F.lower)
     at = [F.array_position(folded, F.lit(n.lower())).cast("int") - 1 for n in names]
-    places = layouts.select("layout", F.array(*at).alias("places"))
-    place = [F.get("places", F.lit(i)) for i in range(len(names))]
-    cell = [F.get("cells", p).alias(f"cell{i}") for i, p in enumerate(place)]
-    number = [(F.substring("kinds", p + 1, F.lit(1)) == NUMBER).alias(f"number{i}") for i, p in enumerate(place)]
-    return body.join(places, "layout").select(*cell, *number)
+    places = widest.select("layout", F.array(*at).alias("places"))
+    cells = [F.get("cells", F.get("places", F.lit(i))).alias(name) for i, name in enumerate(names)]
+    return body.select("layout", "cells").join(places, "layout").select(*cells)
 
 
 @contextmanager

@@ -79,15 +79,20 @@ class Workbook:
         return stored, OTHER
 
     def _shared_texts(self) -> list[str]:
+        """The texts that cells of all sheets refer to, read with the first that does."""
         if self._texts is None:
-            self._texts = []
-            with self._zip.open("xl/sharedStrings.xml") as stream:
-                for _, node in ElementTree.iterparse(stream):
-                    if node.tag.endswith("}si"):
-                        self._texts.append(_plain_text(node))
-                        node.clear()
+            self._texts = self._read_shared_texts()
         return self._texts
 
+    def _read_shared_texts(self) -> list[str]:
+        texts = []
+        with self._zip.open("xl/sharedStrings.xml") as stream:
+            for _, node in ElementTree.iterparse(stream):
+                if node.tag.endswith("}si"):
+                    texts.append(_plain_text(node))
+                    node.clear()
+        return texts
+
     def _find_date_styles(self) -> set[str]:
         """Numbers of the cell styles that show a number as a date or time."""
         if "xl/styles.xml" not in self._zip.namelist():

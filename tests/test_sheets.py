@@ -1,5 +1,8 @@
+import random
 from datetime import date, datetime
+from functools import reduce
 from io import BytesIO
+from operator import and_
 from zipfile import ZipFile
 
 import pytest
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 from tablekit.fixtures import encode_workbook, zip_parts
 from tablekit.session import path_exists
 
+from tablekit.sources import inference, sheets
 from tablekit.sources import (
     apply_types,
     infer_types,
@@ -17,6 +21,8 @@ from tablekit.sources import (
     sheet_sources,
     stage_sheets,
 )
+from tablekit.sources.inference import narrowest
+from tablekit.sources.masks import ColumnMasks, moments_of, number_mask, text_mask
 from tablekit.sources.xlsx import Workbook, column_index, header_names, is_date_format, serial_to_text
 
 STRICT = "http://purl.oclc.org/ooxml"
@@ -310,3 +316,61 @@ def test_a_larger_sheet_fits_the_table_stored_from_a_smaller_one(spark, sink):
 def test_encoder_round_trips_dates_and_markup():
     content = encode_workbook({"q & a": [["x<y", "d"], ["a&b", date(2020, 2, 29)]]})
     assert list(Workbook(content).rows("Q & A")) == [(1, ["x<y", "d"]), (2, ["a&b", "2020-02-29 00:00:00"])]
+
+
+ODD_VALUES = [
+    "0", "-0", "+5", "007", "12345678901234567890", "9007199254740993", "-9223372036854775808", "9223372036854775807", "9223372036854775808",
+    "1.0", "1.50", "-0.0", "0.0", "0.001", "0.0005", "12345678.5", "1.0E7", "1.0E-5", "1.5E300", "1e5", "1E5", "1.0E400", ".5", "5.", "-1.25",
+    "123456.789", "9999999.0", "10000000.0", "0.12345678901234567", "1.7976931348623157E308", "4.9E-324", "1d", "NaN", "Infinity", "٣", "",
+    " 1", "true", "TRUE", "false", "2020-01-02 03:04:05", "2020-01-02 03:04:05.500", "2020-01-02 03:04:05.5", "2020-02-30 00:00:00",
+    "2021-03-28 02:30:00", "2021-03-28 03:30:00", "0001-01-01 00:00:00", "2020-01-02", "2020-01-02T03:04:05", "9" * 5000,
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "+02:00"])
+def test_masks_of_the_parse_agree_with_those_of_text_frames(spark, conf, zone):
+    conf("spark.sql.session.timeZone", zone)
+    rng = random.Random(1)
+    values = [v for v in ODD_VALUES if v != "4.9E-324"]  # printed with a digit more than it needs before Java 19
+    values += [f"{rng.choice(['', '-'])}{rng.randrange(10 ** rng.randrange(1, 12))}.{rng.randrange(10 ** rng.randrange(1, 8))}" for _ in range(300)]
+    frame = spark.createDataFrame([(v,) for v in values], "v string").select("v", inference.text_mask(F.col("v")).alias("mask"))
+    expected = {r["v"]: r["mask"] for r in frame.collect()}
+    assert {v: text_mask(v, moments_of(zone)) for v in values} == expected
+
+
+def test_number_cells_hold_what_they_say():
+    kinds = {v: narrowest(number_mask(v)) for v in ODD_VALUES}
+    assert kinds["007"] == kinds["+5"] == kinds["-0"] == kinds["9007199254740993"] == "bigint"
+    assert kinds[".5"] == kinds["5."] == kinds["1e5"] == kinds["4.9E-324"] == "double"
+    assert kinds["1.0E400"] == kinds["NaN"] == kinds["12345678901234567890"] == kinds["true"] == kinds[""] == "string"
+
+
+def test_column_masks_merge_like_one_pass_over_all_rows():
+    rows = [(["1", "x", None], "n--"), (["2.5"], "n"), ([None, None, None, "true"], "----"), (["3", "y", None, "1"], "nn--")]
+    whole = ColumnMasks()
+    whole.add(rows)
+    parts = []
+    for row in rows:
+        one = ColumnMasks()
+        one.add([row])
+        parts.append(one.masks + [None] * (4 - len(one.masks)))
+    both = [reduce(and_, [m for m in column if m is not None], -1) for column in zip(*parts)]
+    assert [-1 if m is None else m for m in whole.masks] == both
+    assert [narrowest(m) for m in whole.masks] == ["double", "string", "string", "string"]
+
+
+def test_typing_reads_summaries_only(spark, tmp_path):
+    rows = stage_sheets(as_frame(spark, encode_workbook({"s": [["a", "b"], *[[i, f"t{i}"] for i in range(3000)]]})), ["s"], str(tmp_path / "staged"))
+    for part in (tmp_path / "staged").glob("sheet=s/part=cells/*.parquet"):
+        part.write_bytes(b"gone")
+    frame = sheet_frame(rows, "s")
+    assert frame.dtypes == [("a", "bigint"), ("b", "string")]
+
+
+def test_shared_strings_are_parsed_once_for_all_sheets(monkeypatch):
+    parsed = []
+    real = Workbook._read_shared_texts
+    monkeypatch.setattr(Workbook, "_read_shared_texts", lambda self: parsed.append(1) or real(self))
+    content = encode_workbook({"a": [["x"], ["one"]], "b": [["y"], ["two"]], "c": [["z"], ["one"]]})
+    batches = list(sheets._parse_workbook("p", content, ["a", "b", "c"], "UTC"))
+    assert sum(b.num_rows for b in batches) == 6 and len(parsed) == 1
