@@ -6,13 +6,15 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablekit.functions.columns import fold_case, quote, quoted
 from tablekit.session import path_exists, qualified, sized_shuffles
+from tablekit.sinks import publication as publishing
+from tablekit.sinks.files import FileStore
+from tablekit.sinks.publication import ADD, PARTITIONS, REPLACE, TABLE_NOTE, Publication, Step
 
 MODES = ("append", "overwrite", "overwrite_partitions")
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 # What each numeric type holds to the last digit, besides its own values.
 _EXACTLY_HELD = {
@@ -22,10 +24,14 @@ _EXACTLY_HELD = {
     T.FloatType(): {T.ByteType(), T.ShortType()},
     T.DoubleType(): {T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType()},
 }
+# Types a column may grow to, from narrow to wide.
+_WIDER = (T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampNTZType(), T.TimestampType())
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
 class SchemaConflict(ValueError):
-    """The stored column cannot hold the new column's values as they are."""
+    """The stored column can neither hold the new column's values as they are nor grow to
+    a type that holds both."""
 
 
 @dataclass(frozen=True)
@@ -36,8 +42,11 @@ class TableSink:
     database: str
     base_path: str
 
+    def root(self) -> str:
+        return qualified(self.spark, self.base_path)
+
     def path(self, table: str) -> str:
-        return f"{qualified(self.spark, self.base_path)}/{table}"
+        return f"{self.root()}/{table}"
 
     def name(self, table: str) -> str:
         return f"{quote(self.database)}.{quote(table)}"
@@ -50,7 +59,81 @@ class TableSink:
         mode: str = "append",
         rebalance: bool | None = None,
     ) -> int:
-        """Write ``df``, adding columns the stored table lacks; returns the rows written.
+        """Write ``df`` to one table, as ``TableRun.write`` does, and publish it."""
+        with self.run([table]) as run:
+            return run.write(df, table, partition_by, mode, rebalance)
+
+    def clear(self, table: str) -> None:
+        """Empty a stored table, if there is one; its columns stay."""
+        with self.run([table]) as run:
+            run.clear(table)
+
+    @contextmanager
+    def run(self, tables: Sequence[str], name: str | None = None) -> Iterator[TableRun]:
+        """Write to several tables and publish all of it at the end, or nothing of it if
+        the context is left by an exception or the run is killed.
+
+        A run with a name is done once: ``done`` tells what it noted.
+        """
+        self._ensure_database()
+        with publishing.publication(self, tables, name) as publication:
+            yield TableRun(self, publication)
+
+    def done(self, name: str) -> dict | None:
+        """The notes of a named run, None if there was none or it was killed before all
+        its data was there."""
+        self._ensure_database()
+        return publishing.notes_of(self, name)
+
+    def remove_unpublished(self) -> None:
+        """Remove what killed runs left; only while no run is under way."""
+        publishing.remove_unpublished(self)
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(table)) or self._adopt(table)
+
+    def partitions_of(self, table: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
+
+    def _ensure_database(self) -> None:
+        location = self.root().replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.database)} LOCATION '{location}'")
+
+    def _adopt(self, table: str) -> bool:
+        """Register files an earlier session left at the table's path, if any."""
+        if not path_exists(self.spark, self.path(table)):
+            return False
+        if note := FileStore(self.spark).read_json(f"{self.path(table)}/{TABLE_NOTE}"):
+            publishing.create(self, table, **note)
+            return True
+        catalog = self.spark.catalog
+        catalog.createTable(self.name(table), path=self.path(table), source="parquet", mergeSchema="true")
+        if self.partitions_of(table):
+            catalog.recoverPartitions(self.name(table))
+        return True
+
+
+class TableRun:
+    """Writes of one run, none of them to be seen before all are."""
+
+    def __init__(self, sink: TableSink, publication: Publication):
+        self._sink, self._publication = sink, publication
+
+    @property
+    def notes(self) -> dict:
+        """What a named run leaves to be read with ``TableSink.done``."""
+        return self._publication.notes
+
+    def write(
+        self,
+        df: DataFrame,
+        table: str,
+        partition_by: Sequence[str] = (),
+        mode: str = "append",
+        rebalance: bool | None = None,
+    ) -> int:
+        """Write ``df``, adding columns the stored table lacks and widening those that
+        have to hold more; returns the rows written.
 
         ``append`` adds files, also on a re-run. ``overwrite`` replaces the table;
         ``overwrite_partitions`` replaces only the partitions ``df`` has rows for.
@@ -58,15 +141,23 @@ class TableSink:
         table has any. It is the default for those; turn it off for input laid out
         that way already, turn it on where each task has few rows to write.
         """
+        sink = self._sink
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
         if not df.columns:
             raise ValueError(f"no columns to write to {table}")
-        self._ensure_database()
-        stored = mode != "overwrite" and self._exists(table)
-        if stored:
-            self._check_partitions(table, partition_by, mode)
-            df = self._align(df, table)
+        by, before, action = list(partition_by), 0, REPLACE
+        if mode != "overwrite" and sink.exists(table):
+            by = self._stored_partitions(table, partition_by, mode)
+            stored = sink.spark.table(sink.name(table))
+            action = PARTITIONS if mode == "overwrite_partitions" else ADD
+            wanted = [_target(sink.spark, df, f, f.name in by) for f in stored.schema.fields] + _new_fields(df, stored)
+            df = df.select(*[_fit(df, f).alias(f.name) for f in wanted])
+            if any(_needs_rewrite(old.dataType, new.dataType) for old, new in zip(stored.schema.fields, wanted)):
+                if mode == "overwrite_partitions":
+                    raise SchemaConflict(f"{table} must be rewritten to hold the new types; use append or overwrite")
+                before, action = stored.count(), REPLACE
+                df = df.unionByName(stored.select(*[_fit(stored, f).alias(f.name) for f in wanted]))
         if bool(partition_by) if rebalance is None else rebalance:
             df = _rebalanced(df, partition_by)
         # Counted last, in the tasks that write: a stage run again after a lost
@@ -74,79 +165,25 @@ class TableSink:
         written = Observation()
         writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
         with sized_shuffles(df):
-            if not stored:
-                self._create(writer, table, partition_by, mode)
-            elif mode == "overwrite_partitions":
-                with _dynamic_overwrite(self.spark):
-                    writer.insertInto(self.name(table), overwrite=True)
-            else:
-                writer.insertInto(self.name(table))
-        return written.get["rows"]
+            writer.partitionBy(*by).parquet(self._publication.new(table))
+        self._publication.steps.append(Step(table, action, _ddl(df, by), by))
+        return written.get["rows"] - before
 
     def clear(self, table: str) -> None:
         """Empty a stored table, if there is one; its columns stay."""
-        if self._exists(table):
-            schema = self.spark.table(self.name(table)).schema
-            self.spark.createDataFrame([], schema).write.insertInto(self.name(table), overwrite=True)
+        if self._sink.exists(table):
+            schema = self._sink.spark.table(self._sink.name(table)).schema
+            empty = self._sink.spark.createDataFrame([], schema)
+            self.write(empty, table, self._sink.partitions_of(table), "overwrite", rebalance=False)
 
-    def _check_partitions(self, table: str, partition_by: Sequence[str], mode: str) -> None:
-        columns = self.spark.catalog.listColumns(self.name(table))
-        stored = [c.name for c in columns if c.isPartition]
+    def _stored_partitions(self, table: str, partition_by: Sequence[str], mode: str) -> list[str]:
+        stored = self._sink.partitions_of(table)
         if mode == "overwrite_partitions" and not stored:
             raise ValueError(f"{table} has no partitions to overwrite; use overwrite or append")
-        fold = lambda names: [fold_case(self.spark, n) for n in names]
+        fold = lambda names: [fold_case(self._sink.spark, n) for n in names]
         if partition_by and fold(partition_by) != fold(stored):
             raise ValueError(f"{table} is stored by {stored}, not by {list(partition_by)}")
-
-    def _ensure_database(self) -> None:
-        location = qualified(self.spark, self.base_path).replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(self.database)} LOCATION '{location}'")
-
-    def _exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table)) or self._adopt(table)
-
-    def _adopt(self, table: str) -> bool:
-        """Register files an earlier session left at the table's path, if any."""
-        if not path_exists(self.spark, self.path(table)):
-            return False
-        catalog = self.spark.catalog
-        catalog.createTable(self.name(table), path=self.path(table), source="parquet", mergeSchema="true")
-        if any(column.isPartition for column in catalog.listColumns(self.name(table))):
-            catalog.recoverPartitions(self.name(table))
-        return True
-
-    def _create(self, writer: DataFrameWriter, table: str, partition_by: Sequence[str], mode: str) -> None:
-        writer = writer.format("parquet").option("path", self.path(table))
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.mode("overwrite" if mode == "overwrite" else "append").saveAsTable(self.name(table))
-
-    def _align(self, df: DataFrame, table: str) -> DataFrame:
-        """``df`` in the stored column order and types, the table widened first."""
-        self._add_columns(df, table)
-        arriving = {fold_case(self.spark, f.name): f for f in df.schema.fields}
-        stored = self.spark.table(self.name(table)).schema.fields
-        return df.select(
-            *[_fit(arriving.get(fold_case(self.spark, f.name)), f).alias(f.name) for f in stored]
-        )
-
-    def _add_columns(self, df: DataFrame, table: str) -> None:
-        known = {fold_case(self.spark, c) for c in self.spark.table(self.name(table)).columns}
-        new = [f for f in df.schema.fields if fold_case(self.spark, f.name) not in known]
-        if new:
-            columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
-
-
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """``insertInto`` takes this mode from the session, not from the writer's options."""
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        return stored
 
 
 def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -159,15 +196,51 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[quoted(c) for c in partition_by])
 
 
-def _fit(arriving: T.StructField | None, stored: T.StructField) -> Column:
-    if arriving is None:
-        return F.lit(None).cast(stored.dataType)
-    if not _holds(stored.dataType, arriving.dataType):
-        raise SchemaConflict(
-            f"column {stored.name}: the table stores {stored.dataType.simpleString()}, "
-            f"the frame has {arriving.dataType.simpleString()}"
-        )
-    return quoted(arriving.name).cast(stored.dataType)
+def _ddl(df: DataFrame, partition_by: Sequence[str]) -> str:
+    """The columns as a table with these partitions has them: partitions last."""
+    fold = lambda name: fold_case(df.sparkSession, name)
+    last = {fold(c): i for i, c in enumerate(partition_by)}
+    missing = set(last) - {fold(c) for c in df.columns}
+    if missing:
+        raise ValueError(f"no column to partition by: {sorted(missing)}")
+    ordered = sorted(df.columns, key=lambda c: last.get(fold(c), -1))
+    return df.select(*map(quoted, ordered))._jdf.schema().asNullable().toDDL()
+
+
+def _arriving(df: DataFrame, name: str) -> T.StructField | None:
+    return next((f for f in df.schema.fields if fold_case(df.sparkSession, f.name) == fold_case(df.sparkSession, name)), None)
+
+
+def _new_fields(df: DataFrame, stored: DataFrame) -> list[T.StructField]:
+    return [f for f in df.schema.fields if _arriving(stored, f.name) is None]
+
+
+def _target(spark: SparkSession, df: DataFrame, stored: T.StructField, partition: bool) -> T.StructField:
+    """The stored column, with the first type that holds its values and the new ones."""
+    found = _arriving(df, stored.name)
+    if found is None or _holds(stored.dataType, found.dataType):
+        return stored
+    # a partition's folder is named by its value: 1 must not become 1.0 there
+    allowed = _WHOLE if partition else _WIDER
+    for wider in _WIDER:
+        if wider in allowed and _holds(wider, stored.dataType) and _holds(wider, found.dataType):
+            return T.StructField(stored.name, wider)
+    raise SchemaConflict(
+        f"column {stored.name}: the table stores {stored.dataType.simpleString()}, "
+        f"the frame has {found.dataType.simpleString()}"
+    )
+
+
+def _needs_rewrite(stored: T.DataType, wanted: T.DataType) -> bool:
+    """Whether files of the stored type cannot be read under the wanted one. Parquet
+    readers turn smaller whole numbers and floats into larger ones, but no dates into
+    points in time, which depend on the session's zone."""
+    return stored != wanted and isinstance(wanted, T.TimestampType)
+
+
+def _fit(df: DataFrame, wanted: T.StructField) -> Column:
+    found = _arriving(df, wanted.name)
+    return (F.lit(None) if found is None else quoted(found.name)).cast(wanted.dataType)
 
 
 def _holds(stored: T.DataType, arriving: T.DataType) -> bool:

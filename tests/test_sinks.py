@@ -43,6 +43,24 @@ def test_overwrite_replaces_schema_and_partitioning(spark, sink):
     assert rows(stored(sink)) == [(2.5, "k")]
 
 
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_overwrite_and_clear_leave_nothing_whatever_the_session_says(spark, sink, conf, session_mode):
+    conf("spark.sql.sources.partitionOverwriteMode", session_mode)
+    sink.save(spark.createDataFrame([(1, "x"), (2, "y")], "n int, k string"), "t", ["k"])
+    sink.save(spark.createDataFrame([(3, "x")], "n int, k string"), "t", ["k"], mode="overwrite")
+    assert rows(stored(sink)) == [(3, "x")]
+    sink.save(spark.createDataFrame([(4, "y")], "n int, k string"), "t", ["k"], mode="overwrite_partitions")
+    assert rows(stored(sink)) == [(3, "x"), (4, "y")]
+    sink.clear("t")
+    assert stored(sink).count() == 0 and stored(sink).columns == ["n", "k"]
+
+
+def test_a_table_can_be_overwritten_from_itself(spark, sink):
+    sink.save(spark.range(5), "t")
+    sink.save(stored(sink).where("id > 2"), "t", mode="overwrite")
+    assert rows(stored(sink)) == [(3,), (4,)]
+
+
 def test_overwrite_partitions_touches_only_those_written(spark, sink, conf):
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
@@ -69,30 +87,71 @@ def test_new_columns_of_a_partitioned_table(spark, sink):
 
 
 @pytest.mark.parametrize(
-    "old, new, fits",
+    "old, new, becomes",
     [
-        ("bigint", "int", True),
-        ("double", "int", True),
-        ("double", "bigint", False),
-        ("float", "int", False),
-        ("string", "double", True),
-        ("timestamp", "date", True),
-        ("bigint", "double", False),
-        ("int", "string", False),
-        ("date", "timestamp", False),
-        ("string", "array<int>", False),
+        ("bigint", "int", "bigint"),
+        ("double", "int", "double"),
+        ("string", "double", "string"),
+        ("timestamp", "date", "timestamp"),
+        ("smallint", "int", "int"),
+        ("tinyint", "smallint", "smallint"),
+        ("int", "bigint", "bigint"),
+        ("float", "double", "double"),
+        ("float", "int", "double"),
+        ("int", "double", "double"),
+        ("smallint", "float", "double"),
+        ("date", "timestamp", "timestamp"),
+        ("date", "timestamp_ntz", "timestamp_ntz"),
+        ("double", "bigint", None),
+        ("bigint", "double", None),
+        ("int", "string", None),
+        ("string", "array<int>", None),
     ],
 )
-def test_types_may_widen_but_never_lose(spark, sink, old, new, fits):
-    sink.save(spark.sql(f"SELECT CAST(NULL AS {old}) AS c, 1 AS n"), "t")
-    arriving = spark.sql(f"SELECT CAST(NULL AS {new}) AS c, 2 AS n")
-    if fits:
-        sink.save(arriving, "t")
-        assert stored(sink).count() == 2 and stored(sink).dtypes[0] == ("c", old)
-    else:
+@pytest.mark.parametrize("vectorized", ["true", "false"])
+def test_types_may_widen_but_never_lose(spark, sink, conf, old, new, becomes, vectorized):
+    conf("spark.sql.parquet.enableVectorizedReader", vectorized)
+    samples = {"date": "DATE'2020-02-03'", "timestamp": "TIMESTAMP'2021-02-03 04:05:06'", "timestamp_ntz": "TIMESTAMP_NTZ'2021-02-03 04:05:06'", "bigint": "9007199254740993"}
+    value = lambda kind: f"CAST({samples.get(kind, '127')} AS {kind})"
+    if new == "array<int>":
+        samples["array<int>"] = "array(1)"
+    first, second = (spark.sql(f"SELECT {value(kind)} AS c, {n} AS n") for n, kind in ((1, old), (2, new)))
+    sink.save(first, "t")
+    if becomes is None:
         with pytest.raises(SchemaConflict, match="column c"):
-            sink.save(arriving, "t")
-        assert stored(sink).count() == 1
+            sink.save(second, "t")
+        assert rows(stored(sink)) == rows(first)
+        return
+    assert sink.save(second, "t") == 1
+    assert stored(sink).dtypes == [("c", becomes), ("n", "int")]
+    both = [f.select(F.col("c").cast(becomes), "n") for f in (first, second)]
+    assert rows(stored(sink)) == rows(both[0].unionAll(both[1]))
+    for one in both:
+        (row,) = one.collect()
+        assert row["n"] in [r["n"] for r in stored(sink).where(F.col("c") == F.lit(row["c"]).cast(becomes)).collect()]
+
+
+def test_widened_columns_of_a_partitioned_table(spark, sink):
+    sink.save(spark.createDataFrame([(1, 1.5, 7)], "n int, x float, k int"), "t", ["k"])
+    sink.save(spark.createDataFrame([(2**40, 2.25, 2**33), (5, 1e300, 7)], "n bigint, x double, k bigint"), "t", ["k"], mode="append")
+    assert stored(sink).dtypes == [("n", "bigint"), ("x", "double"), ("k", "bigint")]
+    assert rows(stored(sink)) == rows(spark.createDataFrame([(1, 1.5, 7), (2**40, 2.25, 2**33), (5, 1e300, 7)], "n bigint, x double, k bigint"))
+    assert rows(stored(sink).where("n > 4 and k = 7")) == [(5, 1e300, 7)]
+    with pytest.raises(SchemaConflict, match="column k"):
+        sink.save(spark.createDataFrame([(1, 1.5, 0.5)], "n int, x float, k double"), "t", ["k"])
+    sink.save(spark.createDataFrame([(8, 0.5, 7)], "n smallint, x float, k int"), "t", ["k"], mode="overwrite_partitions")
+    assert rows(stored(sink).where("k = 7")) == [(8, 0.5, 7)] and stored(sink).count() == 2
+
+
+def test_a_widened_table_is_taken_in_by_a_later_session(spark, sink):
+    sink.save(spark.createDataFrame([(1, "a")], "n int, k string"), "t", ["k"])
+    sink.save(spark.createDataFrame([(2**40, "b")], "n bigint, k string"), "t", ["k"])
+    sink.save(spark.createDataFrame([], "n int, k string"), "empty", ["k"])
+    again = TableSink(spark, f"{sink.database}_again", sink.base_path)
+    again.save(spark.createDataFrame([(3, "a")], "n int, k string"), "t")
+    again.save(spark.createDataFrame([(3, "a")], "n int, k string"), "empty")
+    assert rows(stored(again)) == [(1, "a"), (1 << 40, "b"), (3, "a")]
+    assert rows(stored(again, "empty")) == [(3, "a")]
 
 
 @pytest.mark.parametrize("old, new, value", [("double", "int", 2**31 - 1), ("float", "smallint", 2**15 - 1), ("bigint", "int", -(2**31))])
