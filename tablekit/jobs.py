@@ -19,12 +19,22 @@ from tablekit.sources.sheets import sheet_sources
 
 
 def load(
-    spark: SparkSession, workbooks: str, database: str, base_path: str, mode: str = "append"
+    spark: SparkSession,
+    workbooks: str,
+    database: str,
+    base_path: str,
+    mode: str = "append",
+    name: str | None = None,
+    only_new: bool = False,
 ) -> RunReport:
-    """Sheets of the workbooks to checked tables and their error tables."""
+    """Sheets of the workbooks to checked tables and their error tables.
+
+    A ``name`` makes the load one that can be started again after a failure; with
+    ``only_new`` workbooks that were loaded before are left out.
+    """
     sink = TableSink(spark, database, base_path)
-    with sheet_sources(spark, workbooks, list(RENTAL_STORE_SPECS)) as sources:
-        return run_pipeline(RENTAL_STORE_SPECS.values(), sources, sink, mode)
+    with sheet_sources(spark, workbooks, list(RENTAL_STORE_SPECS), sink if only_new else None) as sources:
+        return run_pipeline(RENTAL_STORE_SPECS.values(), sources, sink, mode, name)
 
 
 def main() -> None:
@@ -34,13 +44,15 @@ def main() -> None:
     parser.add_argument("--database", required=True)
     parser.add_argument("--base-path", required=True)
     parser.add_argument("--mode", choices=MODES, default="append")
+    parser.add_argument("--name", help="name of the load: started again, it leaves out what it had done")
+    parser.add_argument("--only-new", action="store_true", help="leave out workbooks loaded before")
     args = parser.parse_args()
     if args.job == "load" and not args.workbooks:
         parser.error("load needs --workbooks")
 
     spark = SparkSession.builder.appName(f"tablekit {args.job}").getOrCreate()
     if args.job == "load":
-        report = load(spark, args.workbooks, args.database, args.base_path, args.mode)
+        report = load(spark, args.workbooks, args.database, args.base_path, args.mode, args.name, args.only_new)
         report.frame(spark).show(truncate=False)
     else:
         build_models(spark, args.database, args.base_path, args.mode)

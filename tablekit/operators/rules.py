@@ -14,6 +14,7 @@ from tablekit.functions.casts import cast_is_defined, tolerant_cast
 from tablekit.functions.columns import quoted
 
 ERROR_COLUMN = "data_quality_error"
+REJECTED = "__rejected"
 _RULE = "__failed_rule"
 _TYPED = "__typed_{}"
 
@@ -63,6 +64,26 @@ def apply_rules(
     )
 
 
+def judge_rows(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame | None, tuple[str, ...]]:
+    """Both sides of ``df`` in one frame, for writers that take them apart, and the
+    columns whose rule was skipped; no frame if nothing is checked.
+
+    A row that passed has its typed columns, a rejected one only ``REJECTED``: a struct
+    with the columns of the error table, null on the other side.
+    """
+    active = [rule for rule in rules if rule.column in df.columns]
+    skipped = tuple(rule.column for rule in rules if rule.column not in df.columns)
+    if not active:
+        return None, skipped
+    if REJECTED in df.columns:
+        raise ValueError(f"reserved column names in the input: {[REJECTED]}")
+    judged = _judge(df, active)
+    passed = F.col(_RULE).isNull()
+    valid = [F.when(passed, c).alias(name) for name, c in _valid_columns(df.columns, active)]
+    rejected = F.when(~passed, F.struct(*_rejected_columns(judged, df.columns, active))).alias(REJECTED)
+    return judged.select(*valid, rejected), skipped
+
+
 def _unwatched() -> Observation:
     return Observation(f"rules-{uuid4().hex}")
 
@@ -98,13 +119,19 @@ def _first_true(conditions: list[Column]) -> Column:
 
 
 def _valid_side(judged: DataFrame, columns: list[str], rules: list[Rule]) -> DataFrame:
+    return judged.where(F.col(_RULE).isNull()).select(*[c.alias(name) for name, c in _valid_columns(columns, rules)])
+
+
+def _valid_columns(columns: list[str], rules: list[Rule]) -> list[tuple[str, Column]]:
     typed = {rule.column: F.col(_TYPED.format(i)) for i, rule in enumerate(rules)}
-    return judged.where(F.col(_RULE).isNull()).select(
-        *[typed.get(c, quoted(c)).alias(c) for c in columns]
-    )
+    return [(c, typed.get(c, quoted(c))) for c in columns]
 
 
 def _rejected_side(judged: DataFrame, columns: list[str], rules: list[Rule]) -> DataFrame:
+    return judged.where(F.col(_RULE).isNotNull()).select(*_rejected_columns(judged, columns, rules))
+
+
+def _rejected_columns(judged: DataFrame, columns: list[str], rules: list[Rule]) -> list[Column]:
     """Rule columns become text: the cast value once its rule passed, else the raw one."""
     as_text = {
         rule.column: F.when(F.col(_RULE) > i, F.col(_TYPED.format(i)).cast("string"))
@@ -116,10 +143,8 @@ def _rejected_side(judged: DataFrame, columns: list[str], rules: list[Rule]) ->
         list(enumerate(rules))[1:],
         F.when(F.col(_RULE) == 0, F.lit(rules[0].message)),
     )
-    return judged.where(F.col(_RULE).isNotNull()).select(
-        *[as_text.get(c, quoted(c)).alias(c) for c in columns if c != ERROR_COLUMN],
-        message.alias(ERROR_COLUMN),
-    )
+    kept = [as_text.get(c, quoted(c)).alias(c) for c in columns if c != ERROR_COLUMN]
+    return [*kept, message.alias(ERROR_COLUMN)]
 
 
 def _raw_text(df: DataFrame, name: str) -> Column:

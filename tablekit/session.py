@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
 from math import ceil
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,14 +92,38 @@ def sized_shuffles(df: DataFrame) -> Iterator[None]:
     """Give the shuffles of ``df`` as many partitions as its input asks for, if the
     session has set fewer. AQE merges those that turn out small, but it cannot split
     partitions that are all too large."""
-    conf = df.sparkSession.conf
-    before = conf.get(_SHUFFLE_PARTITIONS)
-    wanted = shuffle_partitions_for(input_bytes(df))
-    if wanted <= int(before):
+    with at_least(df.sparkSession, _SHUFFLE_PARTITIONS, shuffle_partitions_for(input_bytes(df))):
         yield
-        return
-    conf.set(_SHUFFLE_PARTITIONS, str(wanted))
+
+
+# Settings raised for a while: what they were before, and what each user asks for.
+_raised: dict[tuple[int, str], tuple[str | None, list[int]]] = {}
+_raising = Lock()
+
+
+@contextmanager
+def at_least(spark: SparkSession, key: str, value: int) -> Iterator[None]:
+    """A numeric setting of the session is no smaller than ``value`` for a while.
+
+    Several threads may ask at once: the largest wish holds, and the setting is back at
+    what it was when the last of them is done.
+    """
+    place = (id(spark._jsparkSession), key)
+
+    def settle() -> None:
+        before, wishes = _raised[place]
+        if wishes:
+            spark.conf.set(key, str(max([int(before or 0), *wishes])))
+            return
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        del _raised[place]
+
+    with _raising:
+        _raised.setdefault(place, (spark.conf.get(key, None), []))[1].append(value)
+        settle()
     try:
         yield
     finally:
-        conf.set(_SHUFFLE_PARTITIONS, before)
+        with _raising:
+            _raised[place][1].remove(value)
+            settle()

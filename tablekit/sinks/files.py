@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 MOVERS = 16  # renames under way at a time
@@ -49,7 +50,12 @@ class FileStore:
         files, location = self._at(path)
         if not files.exists(location):
             return None
-        stream = files.open(location)
+        try:
+            stream = files.open(location)
+        except Py4JJavaError:
+            if files.exists(location):
+                raise
+            return None  # its run has just ended
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:

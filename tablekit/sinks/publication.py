@@ -7,6 +7,7 @@ table. Each step can be repeated, so it does not matter where a run was killed.
 
     <base>/_runs/<run>/manifest.json     the steps, once all data is there
     <base>/_runs/<run>/new/<table>       data on its way in
+    <base>/_runs/<run>/both/<table>      both sides of a write, before they are parted
     <base>/_runs/<run>/old/<table>       data on its way out
     <base>/_runs/<run>/done.json         what a named run did; kept, so it is done once
     <base>/<table>/_table.json           columns and partitions as the catalog has them
@@ -120,8 +121,9 @@ def _complete(sink: TableSink, folder: str, again: bool) -> None:
         files.remove(folder)
         return
     files.write_json(f"{folder}/{DONE}", manifest["notes"])
-    for left in (MANIFEST, "new", "old"):
-        files.remove(f"{folder}/{left}")
+    for left, _ in files.names(folder):
+        if left != DONE:
+            files.remove(f"{folder}/{left}")
 
 
 def _carry_out(sink: TableSink, files: FileStore, folder: str, step: Step, again: bool) -> None:

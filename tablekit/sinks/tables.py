@@ -9,11 +9,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablekit.functions.columns import fold_case, quote, quoted
-from tablekit.session import path_exists, qualified, sized_shuffles
+from tablekit.session import at_least, path_exists, qualified, sized_shuffles
 from tablekit.sinks import publication as publishing
 from tablekit.sinks.files import FileStore
 from tablekit.sinks.publication import ADD, PARTITIONS, REPLACE, TABLE_NOTE, Publication, Step
 
+_SIDE = "__side"
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+# Below this share of the other side the rows put aside are shuffled together before
+# they are stored: every task of the scan would leave a tiny file otherwise.
+FEW_ASIDE = 0.1
+
 MODES = ("append", "overwrite", "overwrite_partitions")
 
 # What each numeric type holds to the last digit, besides its own values.
@@ -113,6 +120,16 @@ class TableSink:
         return True
 
 
+@dataclass(frozen=True)
+class _Plan:
+    """``before`` counts stored rows that are written again."""
+
+    df: DataFrame
+    by: list[str]
+    action: str
+    before: int = 0
+
+
 class TableRun:
     """Writes of one run, none of them to be seen before all are."""
 
@@ -141,33 +158,93 @@ class TableRun:
         table has any. It is the default for those; turn it off for input laid out
         that way already, turn it on where each task has few rows to write.
         """
-        sink = self._sink
-        if mode not in MODES:
-            raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-        if not df.columns:
-            raise ValueError(f"no columns to write to {table}")
-        by, before, action = list(partition_by), 0, REPLACE
-        if mode != "overwrite" and sink.exists(table):
-            by = self._stored_partitions(table, partition_by, mode)
-            stored = sink.spark.table(sink.name(table))
-            action = PARTITIONS if mode == "overwrite_partitions" else ADD
-            wanted = [_target(sink.spark, df, f, f.name in by) for f in stored.schema.fields] + _new_fields(df, stored)
-            df = df.select(*[_fit(df, f).alias(f.name) for f in wanted])
-            if any(_needs_rewrite(old.dataType, new.dataType) for old, new in zip(stored.schema.fields, wanted)):
-                if mode == "overwrite_partitions":
-                    raise SchemaConflict(f"{table} must be rewritten to hold the new types; use append or overwrite")
-                before, action = stored.count(), REPLACE
-                df = df.unionByName(stored.select(*[_fit(stored, f).alias(f.name) for f in wanted]))
+        plan = self._planned(df, table, partition_by, mode)
+        rows = self._stage(plan.df, self._publication.new(table), plan.by, partition_by, rebalance, {"rows": F.lit(True)})["rows"]
+        self._publication.steps.append(Step(table, plan.action, _ddl(plan.df, plan.by), plan.by))
+        return rows - plan.before
+
+    def write_sides(
+        self,
+        judged: DataFrame,
+        aside: str,
+        table: str,
+        aside_table: str,
+        partition_by: Sequence[str] = (),
+        mode: str = "append",
+        rebalance: bool | None = None,
+    ) -> tuple[int, int]:
+        """Write two tables in one pass over their source: rows whose struct ``aside`` is
+        null go to ``table`` without it, the fields of the others to ``aside_table``.
+
+        The pass writes both sides to folders of their own; the second is read back from
+        there to be stored, so it should be the smaller one. Returns the rows of each.
+        """
+        plan = self._planned(judged, table, partition_by, mode, carried=aside)
+        both, goes_aside = f"{self._publication.folder}/both/{table}", F.col(aside).isNotNull()
+        side = F.when(goes_aside, "aside").otherwise("table").alias(_SIDE)
+        sides = plan.df.select("*", side)
+        # with few folders to write to, a task keeps a file open in each and need not sort
+        writers = at_least(self._sink.spark, _OPEN_FILES, 0 if plan.by else 2)
+        with writers:
+            counts = self._stage(sides, both, [_SIDE, *plan.by], partition_by, rebalance, {"rows": ~goes_aside, "aside": goes_aside})
+        files, new = FileStore(self._sink.spark), self._publication.new(table)
+        kept = plan.df.drop(aside)
+        if files.exists(f"{both}/{_SIDE}=table"):
+            files.move(f"{both}/{_SIDE}=table", new)
+        else:
+            self._empty(kept).write.partitionBy(*plan.by).parquet(new)
+        self._publication.steps.append(Step(table, plan.action, _ddl(kept, plan.by), plan.by))
+        others = judged.select(f"{aside}.*")
+        if counts["aside"]:
+            # the one column that this side has values in
+            found = self._sink.spark.read.schema(judged.select(aside).schema).parquet(f"{both}/{_SIDE}=aside")
+            others = found.select(f"{aside}.*")
+        else:
+            others = self._empty(others)
+        # errors have no partitions: those of partitions that are not written stay
+        keep = "append" if mode == "overwrite_partitions" else mode
+        self.write(others, aside_table, mode=keep, rebalance=counts["aside"] < FEW_ASIDE * counts["rows"])
+        return counts["rows"] - plan.before, counts["aside"]
+
+    def _empty(self, like: DataFrame) -> DataFrame:
+        return self._sink.spark.createDataFrame([], like.schema)
+
+    def _stage(
+        self, df: DataFrame, path: str, folders: Sequence[str], partition_by: Sequence[str], rebalance: bool | None, counted: dict[str, Column]
+    ) -> dict[str, int]:
+        """Write to a folder of the run and count rows on the way."""
         if bool(partition_by) if rebalance is None else rebalance:
             df = _rebalanced(df, partition_by)
         # Counted last, in the tasks that write: a stage run again after a lost
         # executor would count its rows twice.
         written = Observation()
-        writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
+        writer = df.observe(written, *[F.count_if(c).alias(name) for name, c in counted.items()]).write
         with sized_shuffles(df):
-            writer.partitionBy(*by).parquet(self._publication.new(table))
-        self._publication.steps.append(Step(table, action, _ddl(df, by), by))
-        return written.get["rows"] - before
+            writer.partitionBy(*folders).parquet(path)
+        return written.get
+
+    def _planned(self, df: DataFrame, table: str, partition_by: Sequence[str], mode: str, carried: str | None = None) -> _Plan:
+        """What to write, by which columns, and what is to happen with it. ``carried`` is a
+        column that only passes through."""
+        sink = self._sink
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+        if not df.columns:
+            raise ValueError(f"no columns to write to {table}")
+        if mode == "overwrite" or not sink.exists(table):
+            return _Plan(df, list(partition_by), REPLACE)
+        by = self._stored_partitions(table, partition_by, mode)
+        stored, own, passing = sink.spark.table(sink.name(table)), df, []
+        if carried:
+            own, passing = df.drop(carried), [F.col(carried)]
+        wanted = [_target(sink.spark, own, f, f.name in by) for f in stored.schema.fields] + _new_fields(own, stored)
+        fitted = df.select(*[_fit(own, f).alias(f.name) for f in wanted], *passing)
+        if not any(_needs_rewrite(old.dataType, new.dataType) for old, new in zip(stored.schema.fields, wanted)):
+            return _Plan(fitted, by, PARTITIONS if mode == "overwrite_partitions" else ADD)
+        if mode == "overwrite_partitions":
+            raise SchemaConflict(f"{table} must be rewritten to hold the new types; use append or overwrite")
+        rewritten = stored.select(*[_fit(stored, f).alias(f.name) for f in wanted])
+        return _Plan(fitted.unionByName(rewritten, allowMissingColumns=True), by, REPLACE, stored.count())
 
     def clear(self, table: str) -> None:
         """Empty a stored table, if there is one; its columns stay."""

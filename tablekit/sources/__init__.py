@@ -2,6 +2,7 @@
 
 from tablekit.sources.catalog import load_table, run_query
 from tablekit.sources.inference import apply_types, infer_types
+from tablekit.sources.ledger import NothingNew
 from tablekit.sources.sheets import (
     open_workbooks,
     read_sheet,
@@ -12,6 +13,7 @@ from tablekit.sources.sheets import (
 )
 
 __all__ = [
+    "NothingNew",
     "apply_types",
     "infer_types",
     "load_table",

@@ -13,15 +13,21 @@ from contextlib import contextmanager
 from functools import partial
 from hashlib import blake2b, sha256
 from itertools import islice
+from threading import Lock
+from typing import TYPE_CHECKING
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablekit.session import fresh_path, remove_path, stage
 from tablekit.sources.inference import apply_types, narrowest
+from tablekit.sources.ledger import LEDGER_COLUMNS, LOADS_SUFFIX, NothingNew, as_pattern, new_files
 from tablekit.sources.masks import ColumnMasks
 from tablekit.sources.xlsx import Workbook, header_names
 
+if TYPE_CHECKING:
+    from tablekit.sinks.tables import TableSink
+
 # A row of cells, or the summary of one sheet of one workbook.
 CELLS, SUMMARY = "cells", "summary"
 ROWS_SCHEMA = (
@@ -184,27 +190,78 @@ def read_sheet(spark: SparkSession, path: str | list[str], sheet: str) -> Iterat
 
 @contextmanager
 def sheet_sources(
-    spark: SparkSession, path: str | list[str], sheets: Sequence[str]
+    spark: SparkSession, path: str | list[str], sheets: Sequence[str], sink: TableSink | None = None
 ) -> Iterator[dict[str, Callable[[], DataFrame]]]:
     """A loader per sheet, for as long as the context lasts.
 
     The first loader called parses the workbooks for all, and the outcome, good or bad,
-    is that of the others too; the staged rows are removed at the end.
+    is that of the others too; the staged rows are removed at the end. With a ``sink``
+    workbooks in the ledger of the sheet's table are left out, and a table run adds those
+    it loads; a sheet without a new workbook raises ``NothingNew``.
     """
-    staged_path = fresh_path(spark, "sheets")
-    outcome: list[DataFrame | Exception] = []
-
-    def load(sheet: str) -> DataFrame:
-        if not outcome:
-            try:
-                outcome.append(stage_sheets(open_workbooks(spark, path), sheets, staged_path))
-            except Exception as cause:
-                outcome.append(cause)
-        if isinstance(outcome[0], Exception):
-            raise outcome[0]
-        return sheet_frame(outcome[0], sheet)
-
+    parse = _Parse(spark, path, sheets, sink)
     try:
-        yield {sheet: partial(load, sheet) for sheet in sheets}
+        yield {sheet: SheetSource(parse, sheet) for sheet in sheets}
     finally:
-        remove_path(spark, staged_path)
+        remove_path(spark, parse.staged_path)
+
+
+class SheetSource:
+    """Loads one sheet."""
+
+    def __init__(self, parse: _Parse, sheet: str):
+        self._parse, self._sheet = parse, sheet
+
+    def __call__(self) -> DataFrame:
+        return sheet_frame(self._rows(), self._sheet)
+
+    def files(self) -> DataFrame | None:
+        """Path, length and digest of the workbooks the rows come from, for the ledger."""
+        if self._parse.sink is None:
+            return None
+        return sheet_summaries(self._rows(), self._sheet).select(*LEDGER_COLUMNS)
+
+    def _rows(self) -> DataFrame:
+        return self._parse.rows_of(self._sheet)
+
+
+class _Parse:
+    """The one parse that the loaders of all sheets share, on whichever thread is first."""
+
+    def __init__(self, spark: SparkSession, path: str | list[str], sheets: Sequence[str], sink: TableSink | None):
+        self._spark, self._path, self._sheets, self.sink = spark, path, list(sheets), sink
+        self.staged_path = fresh_path(spark, "sheets")
+        self._outcome: DataFrame | Exception | None = None
+        self._new: dict[str, list[str]] = {}
+        self._lock = Lock()
+
+    def rows_of(self, sheet: str) -> DataFrame:
+        with self._lock:
+            if self._outcome is None:
+                try:
+                    self._outcome = stage_sheets(self._workbooks(), self._sheets, self.staged_path)
+                except Exception as cause:
+                    self._outcome = cause
+        if isinstance(self._outcome, Exception):
+            raise self._outcome
+        if self.sink is None:
+            return self._outcome
+        if not self._new[sheet]:
+            raise NothingNew(sheet)
+        if all(paths == self._new[sheet] for paths in self._new.values()):
+            return self._outcome
+        own = self._spark.createDataFrame([(path,) for path in self._new[sheet]], "path string")
+        return self._outcome.join(own, "path", "left_semi")
+
+    def _workbooks(self) -> DataFrame:
+        if self.sink is None:
+            return open_workbooks(self._spark, self._path)
+        tables = {sheet: f"{sheet}{LOADS_SUFFIX}" for sheet in self._sheets}
+        known = {s: self._spark.table(self.sink.name(t)) if self.sink.exists(t) else None for s, t in tables.items()}
+        # file names, which the driver lists in any case
+        found = new_files(self._spark, self._path, known).collect()
+        self._new = {sheet: sorted(r["path"] for r in found if r["sheet"] == sheet) for sheet in self._sheets}
+        paths = sorted({r["path"] for r in found})
+        if not paths:
+            raise NothingNew(", ".join(self._sheets))
+        return open_workbooks(self._spark, [as_pattern(p) for p in paths])

@@ -27,3 +27,44 @@ def test_workbooks_to_models(spark, tmp_path):
     counts = {r.table_name: r.n_valid for r in report.results}
     assert models["inventory_model"].count() == counts["inventory"]
     assert models["rental_model"].count() >= counts["rental"] > 0
+
+
+def test_only_new_workbooks_are_loaded(spark, tmp_path):
+    def book(name, *ids):
+        films = [["film_id", "title", "last_update"], *[[i, f"film {i}", "2006-02-15 04:34:33"] for i in ids]]
+        stores = [["store_id", "last_update"], *[[i, "2006-02-15 04:34:33"] for i in ids]]
+        (tmp_path / name).write_bytes(encode_workbook({"film": films, "store": stores}))
+
+    def load_new():
+        report = load(spark, str(tmp_path / "*.xlsx"), "ledger_test", str(tmp_path / "tables"), only_new=True)
+        status = {r.table_name: (r.status, r.n_valid) for r in report.results}
+        return status["film"], status["store"]
+
+    stored = lambda table, key: sorted(r[key] for r in spark.table(f"ledger_test.{table}").collect())
+    book("a.xlsx", 1, 2)
+    book("b [x].xlsx", 3)
+    assert load_new() == (("ok", 3), ("ok", 3))
+    assert load_new() == (("current", None), ("current", None))
+    assert stored("film", "film_id") == [1, 2, 3]
+    book("c.xlsx", 4)
+    book("b [x].xlsx", 5)  # changed
+    assert load_new() == (("ok", 2), ("ok", 2))
+    assert load_new() == (("current", None), ("current", None))
+    assert stored("film", "film_id") == stored("store", "store_id") == [1, 2, 3, 4, 5]
+    ledger = spark.table("ledger_test.film_loads")
+    assert sorted(r["path"].rpartition("/")[2] for r in ledger.collect()) == ["a.xlsx", "b [x].xlsx", "b [x].xlsx", "c.xlsx"]
+    # a table that starts later loads what the others have had
+    spark.sql("DROP TABLE ledger_test.store_loads")
+    for name in ("store_loads",):
+        import shutil
+
+        shutil.rmtree(tmp_path / "tables" / name)
+    assert load_new() == (("current", None), ("ok", 4))
+
+
+def test_append_stays_the_default(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(encode_workbook({"store": [["store_id", "last_update"], [1, "2006-02-15 04:34:33"]]}))
+    for _ in range(2):
+        load(spark, str(tmp_path / "*.xlsx"), "append_test", str(tmp_path / "tables"))
+    assert spark.table("append_test.store").count() == 2
+    assert not spark.catalog.tableExists("append_test.store_loads")

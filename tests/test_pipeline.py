@@ -44,6 +44,127 @@ def test_a_clean_source_is_not_read_again_for_errors(spark, sink, tmp_path):
     assert reads.value <= 200
 
 
+def counting_reads(spark, tmp_path, values):
+    """A source and the number of rows that were read from it."""
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(v,) for v in values], "n string").repartition(4).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(path)
+    return source.mapInArrow(counted, source.schema), reads
+
+
+def test_both_sides_come_out_of_one_pass_over_the_source(spark, sink, tmp_path):
+    df, reads = counting_reads(spark, tmp_path, [str(i) if i % 3 else f"x{i}" for i in range(90)])
+    result = run(sink, df)
+    assert (result.n_valid, result.n_rejected) == (60, 30)
+    assert reads.value <= 180  # the probe for empty columns, and one pass
+    assert sorted(r["n"] for r in spark.table(sink.name("t")).collect()) == [i for i in range(90) if i % 3]
+    assert spark.table(sink.name("t")).columns == ["n"]
+    assert {r["n"] for r in spark.table(sink.name("t_errors")).collect()} == {f"x{3 * i}" for i in range(30)}
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+@pytest.mark.parametrize("at", ["between writes", "before the manifest", "while publishing", "before the catalog"])
+def test_a_killed_run_started_again_is_neither_half_nor_doubled(spark, sink, monkeypatch, mode, at):
+    from tablekit.sinks import publication
+    from tablekit.sinks.files import FileStore
+    from tablekit.sinks.tables import TableRun
+
+    spec = TableSpec("t", SPEC.rules, partition_by=("k",))
+    load = lambda values: spark.createDataFrame([(v, v[-1]) for v in values], "n string, k string")
+    assert run(sink, load(["1", "x"]), spec).status == "ok"
+
+    class Killed(BaseException):
+        pass
+
+    def kill(*_, **__):
+        raise Killed
+
+    with monkeypatch.context() as patched:
+        patched.setattr(FileStore, "remove", lambda self, path: None)  # a killed process tidies nothing
+        if at == "between writes":
+            real = TableRun.write
+            patched.setattr(TableRun, "write", lambda self, df, table, *a, **k: kill() if table == "t_errors" else real(self, df, table, *a, **k))
+        elif at == "before the manifest":
+            patched.setattr(FileStore, "write_json", kill)
+        elif at == "while publishing":
+            real_step = publication._carry_out
+            patched.setattr(publication, "_carry_out", lambda sink, files, folder, step, again: kill() if step.table == "t_errors" else real_step(sink, files, folder, step, again))
+        else:
+            patched.setattr(publication, "_register", kill)
+        with pytest.raises(Killed):
+            run(sink, load(["2", "y", "3"]), spec, mode=mode, name="monday")
+    if at in ("between writes", "before the manifest"):
+        assert [tuple(r) for r in spark.table(sink.name("t")).select("n", "k").collect()] == [(1, "1")]
+
+    again = run(sink, load(["2", "y", "3"]), spec, mode=mode, name="monday")
+    assert (again.status, again.n_valid, again.n_rejected) == ("ok", 2, 1)
+    before = [(1, "1")] if mode == "append" else []
+    spark.catalog.refreshTable(sink.name("t"))
+    assert sorted(tuple(r) for r in spark.table(sink.name("t")).select("n", "k").collect()) == [*before, (2, "2"), (3, "3")]
+    errors = sorted(r["n"] for r in spark.table(sink.name("t_errors")).collect())
+    assert errors == (["x", "y"] if mode == "append" else ["y"])
+
+    assert run(sink, load(["2", "y", "3"]), spec, mode=mode, name="monday") == again
+    assert spark.table(sink.name("t")).count() == len(before) + 2
+    assert run(sink, load(["4"]), spec, mode=mode, name="tuesday").n_valid == 1
+    sink.remove_unpublished()
+    left = [n for n, _ in FileStore(spark).names(f"{sink.root()}/_runs")]
+    assert left == ["monday.t", "tuesday.t"]
+    assert all(n == "done.json" for run_name in left for n, _ in FileStore(spark).names(f"{sink.root()}/_runs/{run_name}"))
+
+
+def test_an_unfinished_run_is_completed_by_the_next_writer_of_its_tables(spark, sink, monkeypatch):
+    from tablekit.sinks import publication
+
+    sink.save(spark.range(2), "t")
+    with monkeypatch.context() as patched:
+        patched.setattr(publication, "_complete", lambda *a, **k: None)
+        sink.save(spark.range(10, 12), "t")
+    assert spark.table(sink.name("t")).count() == 2
+    sink.save(spark.range(3), "other")
+    assert spark.table(sink.name("t")).count() == 2
+    sink.save(spark.range(20, 21), "t")
+    assert sorted(r["id"] for r in spark.table(sink.name("t")).collect()) == [0, 1, 10, 11, 20]
+
+
+def test_a_failed_write_leaves_both_tables_as_they_were(spark, sink):
+    assert run(sink, spark.createDataFrame([("1",), ("x",)], "n string")).status == "ok"
+    bad = spark.createDataFrame([("2",), ("y",)], "n string").withColumn("t", F.when(F.col("n") == "y", F.raise_error(F.lit("boom"))).otherwise("a"))
+    result = run(sink, bad)
+    assert (result.status, result.n_valid) == ("failed", None)
+    assert (spark.table(sink.name("t")).count(), spark.table(sink.name("t_errors")).count()) == (1, 1)
+
+
+def test_tables_run_side_by_side_and_report_in_order(spark, sink, conf):
+    import threading
+    from concurrent.futures import ThreadPoolExecutor  # noqa: F401
+
+    together, before = threading.Barrier(4, timeout=60), spark.conf.get("spark.sql.shuffle.partitions")
+
+    def source(k):
+        def load():
+            together.wait()  # passes only if four tables load at the same time
+            if k == 2:
+                raise OSError("gone")
+            return spark.createDataFrame([(str(i),) for i in range(k)] + [("x",)], "n string")
+
+        return load
+
+    specs = [TableSpec(f"t{k}", SPEC.rules) for k in range(4)]
+    report = run_pipeline(specs, {f"t{k}": source(k) for k in range(4)}, sink)
+    assert [(r.table_name, r.status, r.n_valid, r.n_rejected) for r in report.results] == [
+        ("t0", "ok", 0, 1), ("t1", "ok", 1, 1), ("t2", "failed", None, None), ("t3", "ok", 3, 1),
+    ]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_overwrite_leaves_nothing_of_earlier_runs(spark, sink):
     def rows(*values):
         return spark.createDataFrame([(v, 1) for v in values], "n string, k int")

@@ -215,6 +215,12 @@ def test_partitioned_table_prunes_on_the_date(spark, sink):
     ]
 
 
+def test_a_partition_name_that_is_taken_is_refused(spark):
+    df = spark.createDataFrame([(datetime(2020, 1, 1), "mine")], "at timestamp, AT_partition string")
+    with pytest.raises(ValueError, match="at_partition"):
+        date_partition(df, ["at"])
+
+
 def test_null_dates_keep_their_rows(spark, sink):
     df = spark.createDataFrame([(1, datetime(2020, 1, 1)), (2, None)], "n int, at timestamp")
     dated, keys = date_partition(df, ["at"])
