@@ -1,7 +1,7 @@
 """Workbooks to models, through both jobs."""
 
 from conftest import SF_DIR
-from tablekit.fixtures import RAW_SQL, encode_workbook, raw_table
+from verification.fixtures import RAW_SQL, encode_workbook, raw_table
 from tablekit.jobs import load
 from tablekit.plans import RENTAL_STORE_SPECS, build_models, clean
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from conftest import SF_DIR
 from plans import estimated_bytes, final_plan
-from tablekit.fixtures import raw_table
+from verification.fixtures import raw_table
 from tablekit.operators import is_broadcastable, left_join
 from tablekit.plans import RENTAL_STORE_SPECS, clean, inventory_model, rental_model
 from tablekit.plans.models import INVENTORY_MODEL_COLUMNS, RENTAL_MODEL_COLUMNS

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from conftest import SF_DIR
-from tablekit.fixtures import RAW_SQL, raw_table
+from verification.fixtures import RAW_SQL, raw_table
 from tablekit.operators import Rule, Split
 from tablekit.plans import RENTAL_STORE_SPECS, TableSpec, build_models, run_pipeline
 

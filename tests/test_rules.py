@@ -6,7 +6,7 @@ from pyspark.sql import Observation, functions as F, types as T
 
 from conftest import SF_DIR
 from plans import plan_of
-from tablekit.fixtures import raw_table
+from verification.fixtures import raw_table
 from tablekit.operators import Rule, apply_rules, combine_frames, date_partition, normalize
 from tablekit.plans import RENTAL_STORE_SPECS, clean
 from tablekit.plans.specs import typed_rule

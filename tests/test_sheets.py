@@ -8,7 +8,7 @@ from zipfile import ZipFile
 import pytest
 from pyspark.sql import functions as F
 
-from tablekit.fixtures import encode_workbook, zip_parts
+from verification.fixtures import encode_workbook, zip_parts
 from tablekit.session import path_exists
 
 from tablekit.sources import inference, sheets

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablekit.fixtures import RAW_SQL
+from verification.fixtures import RAW_SQL
 
 # What each dirty table looks like once clean: its columns (text ones marked) and
 # its rules in order, as (column, type, error text).
@@ -123,7 +123,8 @@ def with_valid(*names: str) -> str:
 
 
 def errors(name: str, key: str) -> str:
-    return f"SELECT '{name}' AS table_name, {key} AS row_key, data_quality_error FROM ({rejected(name)}) AS r"
+    fields = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '~')" for c in sorted([*COLUMNS[name], "data_quality_error"]))
+    return f"SELECT '{name}' AS table_name, {key} AS row_key, CONCAT_WS('|', {fields}) AS fields FROM ({rejected(name)}) AS r"
 
 
 def report_row(name: str) -> str:
@@ -145,12 +146,15 @@ FROM ({normalized('rental')}) AS n
 WHERE TRY_CAST(last_update AS TIMESTAMP) IS NOT NULL AND TRY_CAST(rental_date AS TIMESTAMP) IS NOT NULL
   AND (return_date IS NULL OR TRY_CAST(return_date AS TIMESTAMP) IS NOT NULL)"""
 
+ORDER_TYPES = """
+SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
+  ('o_totalprice', 'double'), ('o_orderdate', 'timestamp'), ('o_orderpriority', 'string'))
+  AS t(column_name, column_type)"""
+
 ORACLES: dict[str, str] = {
     "sheet_scan": "SELECT * FROM orders",
-    "infer_types": """
-        SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
-          ('o_totalprice', 'double'), ('o_orderdate', 'timestamp'), ('o_orderpriority', 'string'))
-          AS t(column_name, column_type)""",
+    "infer_types": ORDER_TYPES,
+    "sheet_types": ORDER_TYPES,
     "infer_text_ids": """
         SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS padded,
                '1234567890123456' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS long,
@@ -175,15 +179,29 @@ ORACLES: dict[str, str] = {
     "sink_widen": """
         SELECT o_orderkey + 9007199254740992 AS key, CAST(o_custkey AS INTEGER) AS small, TRUE AS refused FROM orders
         UNION ALL SELECT o_custkey, CAST(o_custkey AS INTEGER), TRUE FROM orders""",
+    "sink_widen_types": """
+        SELECT l_orderkey AS key, l_linenumber AS line, l_quantity AS quantity, date_trunc('day', l_shipdate)::TIMESTAMP AS shipped FROM lineitem
+        UNION ALL SELECT l_orderkey + 1099511627776, l_linenumber, l_quantity + 0.1, l_shipdate FROM lineitem""",
+    "sink_overwrite": "SELECT * FROM customer WHERE c_nationkey < 5",
+    "overwrite_by_nothing": f"""
+        SELECT 'replaced' AS table_name, 'empty' AS status, 0::BIGINT AS n_valid, 0::BIGINT AS n_rejected
+        UNION ALL SELECT 'kept', 'empty', (SELECT COUNT(*) FROM ({valid('film')}) AS v), (SELECT COUNT(*) FROM ({rejected('film')}) AS r)""",
+    "run_started_again": f"""
+        SELECT film_id, title, CAST(release_year AS VARCHAR) AS release_year, '' AS data_quality_error FROM ({valid('film')}) AS v
+        UNION ALL SELECT film_id, title, release_year, data_quality_error FROM ({rejected('film')}) AS r""",
+    "sheet_ledger": "SELECT * FROM customer",
     "reject_sink": rejected("film"),
     "reject_overwrite": f"SELECT * FROM ({rejected('film')}) AS r WHERE film_id % 2 <> 0",
     "reject_overwrite_partitions": rejected("film"),
     "stored_models": f"""{with_valid('inventory', 'store', 'rental', 'customer', 'film')}
-        SELECT 'rental' AS model, r.rental_id, r.inventory_id, i.store_id, i.film_id, {FILM_MODEL_SQL}
+        SELECT 'rental' AS model, r.rental_id, r.inventory_id, r.customer_id, r.staff_id, i.store_id, i.film_id,
+               r.rental_date, r.return_date, c.first_name || ' ' || c.last_name AS full_name,
+               c.email, c.active, c.create_date, {FILM_MODEL_SQL}
         FROM rental_ok r LEFT JOIN customer_ok c ON c.customer_id = r.customer_id
         LEFT JOIN inventory_ok i ON i.inventory_id = r.inventory_id LEFT JOIN film_ok f ON f.film_id = i.film_id
         UNION ALL
-        SELECT 'inventory', NULL, i.inventory_id, i.store_id, i.film_id, {FILM_MODEL_SQL}
+        SELECT 'inventory', NULL, i.inventory_id, NULL, NULL, i.store_id, i.film_id,
+               NULL, NULL, NULL, NULL, NULL, NULL, {FILM_MODEL_SQL}
         FROM inventory_ok i LEFT JOIN store_ok s ON i.store_id = s.store_id LEFT JOIN film_ok f ON i.film_id = f.film_id""",
     "strip_headers": "SELECT * FROM lineitem",
     "trim_strings": f"""

@@ -5,12 +5,12 @@ Timestamps leave as TIMESTAMP_NTZ, the type the other engine's TIMESTAMP has.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tablekit.fixtures import RAW_SQL, as_workbooks, encode_workbook, given_table, raw_table, write_workbooks
 from tablekit.functions.columns import quoted
 from tablekit.operators import (
     Rule,
@@ -39,7 +39,8 @@ from tablekit.plans.specs import DOUBLE, INTEGER, STORE, TIMESTAMP, typed_rule
 from tablekit.session import fresh_path
 from tablekit.sinks import TableSink
 from tablekit.sinks.tables import SchemaConflict
-from tablekit.sources import infer_types, load_table, open_workbooks, run_query, sheet_frame, stage_sheets
+from tablekit.sources import infer_types, load_table, open_workbooks, run_query, sheet_frame, sheet_sources, stage_sheets
+from verification.fixtures import RAW_SQL, as_workbooks, encode_workbook, given_table, raw_table, write_workbooks
 from verification.oracles import REPORT_QUERY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,6 +194,84 @@ def sink_overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates_as_text(stored, "rental_date_partition")
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """A session that overwrites partitions one by one unless told otherwise."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers by nation, then only those of some nations: the others are gone,
+    also in a session set to dynamic overwrite."""
+    sink = new_sink(spark)
+    customers = given_table(spark, sf_dir, "customer")
+    with dynamic_overwrite(spark):
+        sink.save(customers, "customer", ["c_nationkey"])
+        sink.save(customers.where("c_nationkey < 5"), "customer", ["c_nationkey"], mode="overwrite")
+    return spark.table(sink.name("customer"))
+
+
+def overwrite_by_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without any value under ``overwrite``: rows left of the one before it, and
+    of another that was only added to."""
+    sink, raw = new_sink(spark), raw_table(spark, sf_dir, "film")
+    specs = [TableSpec(n, rules=RENTAL_STORE_SPECS["film"].rules, partition_by=("rating",)) for n in ("replaced", "kept")]
+    nothing = raw.select(*[F.lit(None).cast(t).alias(c) for c, t in raw.dtypes])
+    with dynamic_overwrite(spark):
+        run_pipeline(specs, {s.name: lambda: raw for s in specs}, sink)
+        reports = [run_pipeline([s], {s.name: lambda: nothing}, sink, mode).results[0] for s, mode in zip(specs, ("overwrite", "append"))]
+    rows = [(r.table_name, r.status, spark.table(sink.name(r.table_name)).count(), spark.table(sink.name(f"{r.table_name}_errors")).count()) for r in reports]
+    return spark.createDataFrame(rows, "table_name string, status string, n_valid bigint, n_rejected bigint")
+
+
+def sink_widen_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that grow under their stored rows: whole numbers, floats, dates."""
+    sink, lines = new_sink(spark), given_table(spark, sf_dir, "lineitem")
+    small = lines.select(F.col("l_orderkey").cast("int").alias("key"), F.col("l_linenumber").cast("smallint").alias("line"), F.col("l_quantity").cast("float").alias("quantity"), F.col("l_shipdate").cast("date").alias("shipped"))
+    large = lines.select((F.col("l_orderkey") + 2**40).alias("key"), F.col("l_linenumber").alias("line"), (F.col("l_quantity") + 0.1).alias("quantity"), F.col("l_shipdate").alias("shipped"))
+    sink.save(small, "lines")
+    sink.save(large, "lines")
+    return spark.table(sink.name("lines"))
+
+
+def run_started_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named run started twice, with a run that fails between its two writes before:
+    valid rows and errors are there once each."""
+    sink, spec, raw = new_sink(spark), RENTAL_STORE_SPECS["film"], raw_table(spark, sf_dir, "film")
+    broken = TableSpec("film", transform=lambda df: Split(*clean(df, spec)[:1], df.select(F.raise_error(F.lit("no")).alias("x"))))
+    for one in (broken, spec, spec):
+        run_pipeline([one], {"film": lambda: raw}, sink, name="monday")
+    stored = without_zone(spark.table(sink.name("film"))).withColumn("data_quality_error", F.lit(""))
+    errors = spark.table(sink.name("film_errors"))
+    texts = lambda df: df.select("film_id", "title", "release_year", "data_quality_error")
+    return texts(stored.withColumn("release_year", F.col("release_year").cast("string"))).unionByName(texts(errors))
+
+
+def sheet_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the workbooks, then all of them twice, each loaded once."""
+    sink, folder = new_sink(spark), fresh_path(spark, "workbooks")
+    customers = given_table(spark, sf_dir, "customer")
+    half = F.col("c_custkey") % 2 == 0
+    for part in (customers.where(half), customers.where(~half), None):
+        if part is not None:
+            write_workbooks(as_workbooks(part, "customer"), folder)
+        with sheet_sources(spark, f"{folder}/*.xlsx", ["customer"], sink) as sources:
+            run_pipeline([TableSpec("customer")], sources, sink)
+    return spark.table(sink.name("customer")).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+
+
+def sheet_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found while parsing, from the summaries of the workbooks."""
+    frame = sheet_frame(stage_sheets(as_workbooks(given_table(spark, sf_dir, "orders"), "orders"), ["orders"]), "orders")
+    return spark.createDataFrame(frame.dtypes, "column_name string, column_type string")
+
+
 def reject_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = new_sink(spark)
     sink.save(cleaned(spark, sf_dir, "film").rejected, "film_errors")
@@ -242,9 +321,8 @@ def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink.save(valid(spark, sf_dir, name), name)
     build_models(spark, sink.database, sink.base_path, partition_by={"rental_model": ["store_id"]})
     rentals, items = (load_table(spark, sink.database, f"{n}_model", f"{n}_{uuid4().hex}") for n in ("rental", "inventory"))
-    shared = [c for c in rentals.columns if c in items.columns]
-    both = rentals.select(F.lit("rental").alias("model"), "rental_id", *shared)
-    return both.unionByName(items.select(F.lit("inventory").alias("model"), F.lit(None).cast("bigint").alias("rental_id"), *shared))
+    both = rentals.withColumn("model", F.lit("rental")).unionByName(items.withColumn("model", F.lit("inventory")), allowMissingColumns=True)
+    return without_zone(both)
 
 
 # Normalisation
@@ -326,9 +404,8 @@ def union_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def errors(name: str, key: str) -> DataFrame:
         rejected = cleaned(spark, sf_dir, name).rejected
-        return rejected.select(
-            F.lit(name).alias("table_name"), F.col(key).alias("row_key"), "data_quality_error"
-        )
+        fields = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(rejected.columns)]
+        return rejected.select(F.lit(name).alias("table_name"), F.col(key).alias("row_key"), F.concat_ws("|", *fields).alias("fields"))
 
     passed_through = clean(given_table(spark, sf_dir, "region"), TableSpec("region")).rejected
     keys = {
@@ -440,6 +517,8 @@ QUERIES: dict[str, Query] = {
     "sheet_ragged": sheet_ragged,
     "sheet_isolation": sheet_isolation,
     "sheet_files": sheet_files,
+    "sheet_ledger": sheet_ledger,
+    "sheet_types": sheet_types,
     "catalog_scan": catalog_scan,
     "sink_roundtrip": sink_roundtrip,
     "sink_partitioned": sink_partitioned,
@@ -447,6 +526,10 @@ QUERIES: dict[str, Query] = {
     "sink_evolve": sink_evolve,
     "sink_overwrite_partitions": sink_overwrite_partitions,
     "sink_widen": sink_widen,
+    "sink_widen_types": sink_widen_types,
+    "sink_overwrite": sink_overwrite,
+    "overwrite_by_nothing": overwrite_by_nothing,
+    "run_started_again": run_started_again,
     "reject_sink": reject_sink,
     "reject_overwrite": reject_overwrite,
     "reject_overwrite_partitions": reject_overwrite_partitions,
