@@ -16,6 +16,10 @@ DATE_TEXT = r"^\d{4}-\d\d-\d\d \d\d:"
 PLAIN_TEXT = r"^-?(0|[1-9]\d*)\.(0|\d*[1-9])$"
 WHOLE_TEXT = r"^-?\d+$"
 
+# Most numbers: so short that both types, or a double in both spellings, print the same.
+SHORT_WHOLE = r"^(0|-?[1-9]\d{0,14})\z"
+SHORT_DECIMAL = r"^-?[1-9]\d{0,6}\.(0|\d{0,7}[1-9])\z"
+
 # From narrow to wide; the first type that every value accepts wins. Bit i of a mask
 # stands for the i-th type. Doubles have two ways to be spelt, Spark's own (1.0E7) and
 # without an exponent; a column of text has to keep to one.
@@ -55,9 +59,11 @@ def text_mask(c: Column) -> Column:
     number = F.when(whole.cast("string") == c, F.when(exact, BIGINT | DOUBLE).otherwise(BIGINT))
     decimal = F.when(real.cast("string") == c, SPARK_DOUBLE).otherwise(0)
     number = number.otherwise(decimal.bitwiseOR(F.when(plain, PLAIN_DOUBLE).otherwise(0)))
-    shown = [F.date_format(moment, form) == c for form in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS")]
-    date = c.rlike(DATE_TEXT) & F.coalesce(shown[0] | shown[1], F.lit(False))
-    mask = F.when(c.rlike(NUMBER_TEXT), number).when(date, TIMESTAMP).when(c.isin("true", "false"), BOOLEAN).otherwise(0)
+    to_second = F.length(c) == len("yyyy-MM-dd HH:mm:ss")
+    shown = F.when(to_second, F.date_format(moment, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS"))
+    date = c.rlike(DATE_TEXT) & F.coalesce(shown == c, F.lit(False))
+    short = F.when(c.rlike(SHORT_WHOLE), BIGINT | DOUBLE).when(c.rlike(SHORT_DECIMAL), DOUBLE)
+    mask = short.when(c.rlike(NUMBER_TEXT), number).when(date, TIMESTAMP).when(c.isin("true", "false"), BOOLEAN).otherwise(0)
     return F.when(c.isNotNull(), mask)
 
 

@@ -139,12 +139,12 @@ def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
     read in some workbook raises ``ValueError`` with the causes.
     """
     summaries = sheet_summaries(rows, sheet)
-    causes = summaries.where(F.col("error").isNotNull()).select("path", "error")
-    if named := causes.orderBy("path").take(_NAMED_CAUSES):
-        more = causes.count() - len(named)
-        told = "; ".join(f"{row['path']}: {row['error']}" for row in named)
-        raise ValueError(f"cannot read sheet {sheet!r} of {told}" + (f"; and {more} more" if more else ""))
-    columns = _columns(summaries)
+    columns, broken = _columns(summaries)
+    if broken:
+        causes = summaries.where(F.col("error").isNotNull()).select("path", "error")
+        told = "; ".join(f"{row['path']}: {row['error']}" for row in causes.orderBy("path").take(_NAMED_CAUSES))
+        more = f"; and {broken - _NAMED_CAUSES} more" if broken > _NAMED_CAUSES else ""
+        raise ValueError(f"cannot read sheet {sheet!r} of {told}{more}")
     if not columns:
         raise ValueError(f"no workbook has a sheet {sheet!r} with a header row")
     text = _cells_by_name(_of_sheet(rows, sheet, CELLS), summaries, [*columns])
@@ -160,13 +160,14 @@ def _of_sheet(rows: DataFrame, sheet: str, part: str) -> DataFrame:
     return rows.where((F.col("sheet") == sheet) & (F.col("part") == part))
 
 
-def _columns(summaries: DataFrame) -> dict[str, int | None]:
+def _columns(summaries: DataFrame) -> tuple[dict[str, int | None], int]:
     """Every header name once, by leftmost position, with the types that hold its values
-    in all workbooks; as many rows as columns."""
-    named = summaries.select(F.posexplode(F.arrays_zip(F.col("header").alias("name"), F.col("masks").alias("mask"))))
+    in all workbooks: as many rows as columns. And the number of errors."""
+    named = summaries.select("error", F.posexplode_outer(F.arrays_zip(F.col("header").alias("name"), F.col("masks").alias("mask"))))
     leftmost = F.min(F.struct("pos", "col.name")).alias("first")
-    found = named.groupBy(F.lower("col.name").alias("folded")).agg(leftmost, F.bit_and("col.mask").alias("mask"))
-    return {row["name"]: row["mask"] for row in found.select("first.*", "mask").orderBy("pos", "name").collect()}
+    found = named.groupBy(F.lower("col.name").alias("folded")).agg(leftmost, F.bit_and("col.mask").alias("mask"), F.count("error").alias("errors"))
+    rows = found.select("first.*", "mask", "errors").orderBy("pos", "name").collect()
+    return {row["name"]: row["mask"] for row in rows if row["name"] is not None}, sum(row["errors"] for row in rows)
 
 
 def _cells_by_name(body: DataFrame, summaries: DataFrame, names: list[str]) -> DataFrame:
