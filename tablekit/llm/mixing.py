@@ -62,7 +62,8 @@ def mixing_plan(rows: DataFrame, entropy: float, most_repeats: float, budget: in
     Weights are p^a, normalised, p being a source's share of the tokens. The exponent a
     is the largest in [0, 1] whose entropy is at least ``entropy`` times that of equal
     weights; it is raised, if need be, until no source is taken more than
-    ``most_repeats`` times. The budget (default: all tokens there are) times the weight
+    ``most_repeats`` times on average over its tokens. A budget beyond that many times
+    all tokens cannot be met and raises ``ValueError``. The budget (default: all tokens there are) times the weight
     is what a source gives: whole passes, and of one more pass the blocks that fit, in
     permuted order, and the rows of the next block that fit.
     """
@@ -70,6 +71,8 @@ def mixing_plan(rows: DataFrame, entropy: float, most_repeats: float, budget: in
     found = totals.agg(F.sum("tokens").alias("t"), F.count_if(F.col("tokens") > 0).alias("k"), F.min(F.expr("if(tokens > 0, tokens, null)")).alias("least")).first()
     total, sources = found["t"] or 0, found["k"]
     budget = total if budget is None else budget
+    if total and budget > most_repeats * total:
+        raise ValueError(f"a budget of {budget} takes {total} tokens more than {most_repeats} times")
     exponent, norm = 1.0, 1.0
     if total:
         goal, rarest = entropy * math.log(sources), found["least"] / total
