@@ -93,7 +93,8 @@ def nearest(df: DataFrame, every: int, k: int, id: str = "vec_id", vector: str =
 
     Null vectors, those that are zero, empty or hold null or non-finite components, and
     rows without an id take no part. Only vectors of equal length are compared. Rows that
-    repeat a query's id are the query itself and are not found by it; a row that repeats
+    repeat a query's id are the query itself and are not found by it; the one with the
+    smallest vector (compared number by number) asks for all of them. A row that repeats
     another id may be found as often as it is there.
 
     Pivots come from a sample of 4096 rows, whatever the size of the table; every row is
@@ -109,12 +110,13 @@ def nearest(df: DataFrame, every: int, k: int, id: str = "vec_id", vector: str =
     pivots = {size: choose_pivots(np.array(some)) for size, some in by_size.items()}
     index = staged(_with_permutations(rows, pivots), "permutations")
     query = F.pmod("id", F.lit(every)) == 0
-    counts = index.agg(F.count("*").alias("n"), F.count_if(query).alias("q")).first()
+    counts = index.agg(F.count("*").alias("n"), F.count_if(query).alias("q")).first()  # a repeated id only makes blocks smaller
     shards, blocks = max(1, ceil(counts["n"] / SHARD_ROWS)), max(1, ceil(counts["q"] / QUERY_BLOCK))
     dealt = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     every_one = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     base = index.select("*", F.lit(False).alias("is_query"), dealt(shards, 1).alias("shard"), every_one(blocks).alias("block"))
-    asked = index.where(query).select("*", F.lit(True).alias("is_query"), every_one(shards).alias("shard"), dealt(blocks, 2).alias("block"))
+    asking = index.where(query).groupBy("id").agg(F.min(F.struct("vector", "near")).alias("row")).select("id", "row.*")
+    asked = asking.select("*", F.lit(True).alias("is_query"), every_one(shards).alias("shard"), dealt(blocks, 2).alias("block"))
     tasks = base.unionByName(asked).groupBy("shard", "block", F.size("vector").alias("size"))
     found = tasks.applyInArrow(lambda t: _searched(t, k), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
