@@ -173,13 +173,15 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     source = df.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     signed = staged(_sketched(source, words_each), "sketches")
     usable = signed.where("id is not null and n > 0")
-    same = usable.groupBy("same").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch"))
+    # What is joined back to the rows it was counted from is written first: AQE can split
+    # the hot keys of such a join only if neither side is an aggregate.
+    same = staged(usable.groupBy("same").agg(F.min("id").alias("rep"), F.first("sketch").alias("sketch")), "same")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("sketch", i * ROWS + 1, ROWS)))
     posted = staged(same.select("rep", F.explode(bands).alias("key")), "bands")
-    buckets = posted.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
-    shared = staged(posted.join(buckets, "key"), "buckets")
+    sizes = staged(posted.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "bucket_sizes")
+    shared = staged(posted.join(sizes, "key"), "buckets")
     weight = shared.groupBy("rep").agg(F.sum("met").alias("weight"))
-    hubs = shared.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub"))
+    hubs = staged(shared.join(weight, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub")), "hubs")
     cluster = staged(shared.join(hubs, "key").select("hub", "rep").distinct(), "clusters")
     wanted = cluster.select(F.col("rep").alias("id")).distinct()
     # by sort-merge at every size: the list of candidates grows with the input
@@ -195,7 +197,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     known = known.select("hub", "rep", F.coalesce("part", "rep").alias("part"), F.coalesce("hub_part", "hub").alias("hub_part"))
     known = staged(known.withColumn("stray", (F.col("part") != F.col("hub_part")).cast("int")), "clusters")
     counts = known.where("rep <> hub").groupBy("hub").agg(F.count("*").alias("members"), F.sum("stray").alias("strays"))
-    counts = counts.where("strays > 0 and members > 1")
+    counts = staged(counts.where("strays > 0 and members > 1"), "cluster_sizes")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     todo = known.where("rep <> hub").join(counts, "hub").select("hub", "rep", "part", "stray", blocks("members").alias("m"), blocks("strays").alias("s"))
     mine = lambda n, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(n)).cast("int")
@@ -215,5 +217,5 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     id_as, n_as, part_as, kept_as = id, free_name([id], "n_shingles"), free_name([id], "component_id"), free_name([id], "kept")
     out = signed.select("id", "n").join(joined, "id", "left")
     part = F.coalesce("component", "id")
-    discard(posted, shared, sets)
+    discard(posted, sizes, shared, hubs, cluster, counts, known, sets, links, more)
     return out.select(F.col("id").alias(id_as), F.col("n").alias(n_as), part.alias(part_as), F.coalesce(part == F.col("id"), F.lit(True)).alias(kept_as))
