@@ -165,7 +165,7 @@ def _classes(members: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     first = members.groupBy("gram", "digest").agg(F.min(F.struct("id", "tag", "at", *more)).alias("first"))
     first = staged(first.select("gram", "digest", "first.*"), "classes")
     kinds = first.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    return first, kinds
+    return first, staged(kinds, "kinds")
 
 
 def _copies(members: DataFrame, first: DataFrame) -> DataFrame:
@@ -186,8 +186,9 @@ def repeated_spans(df: DataFrame) -> DataFrame:
        4000 is split by where in a string it lies and by the bytes around it, again
        and again, so no gram is too large for a shard.
 
-    Each step is written to the shared folder. Grams and digests are shuffled, never all
-    members of one gram to one task; joins leave large grams to be split by AQE.
+    Each step is written to the shared folder, counts before they are joined back: so AQE
+    can split the joins on a large gram. Grams and digests are shuffled, never all members
+    of one gram to one task.
     """
     text = df.where("id is not null and text is not null")
     counts = text.select("text").mapInArrow(_counted, "gram bigint, n bigint")
@@ -203,7 +204,7 @@ def repeated_spans(df: DataFrame) -> DataFrame:
     cut = text.join(lists, ["id", "tag"]).select("id", "tag", "text", "grams")
     regions = cut.mapInArrow(_cut_out, "gram bigint, kinds bigint, id bigint, tag int, at int, left int, region binary")
     regions = staged(regions.withColumns({"lo": F.lit(0), "hi": F.lit(SPAN - 1)}), "regions")
-    discard(repeated, first)
+    discard(repeated, first, kinds)
     while True:
         large = F.col("kinds") > 2 * SHARD_REGIONS
         here, larger = regions.agg(F.count_if(~large).alias("a"), F.count_if(large).alias("b")).first()
@@ -219,7 +220,7 @@ def repeated_spans(df: DataFrame) -> DataFrame:
         begin = F.col("at") - F.col("left")
         spans.append(staged(_copies(halves, first).select("id", "tag", begin.alias("begin"), (begin + F.octet_length("region")).alias("end")), "spans"))
         regions = staged(first.join(kinds, "gram"), "regions")
-        discard(halves, first)
+        discard(halves, first, kinds)
     out = spans[0]
     for more in spans[1:]:
         out = out.union(more)
