@@ -222,6 +222,7 @@ def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", l
     posts = staged(posts.groupBy("node", "key").agg(F.min("spot").alias("spot")), "posts")
     at_home = F.count_if(F.pmod("spot", F.lit(1 + PROBES)) == 0)
     buckets = posts.groupBy("key").agg(F.count("*").alias("met"), at_home.alias("home")).where("met > 1 and home > 0").select("key", "met")
+    buckets = staged(buckets, "bucket_sizes")  # no aggregate on either side: AQE can split a hot bucket
     shared = staged(posts.join(buckets, "key"), "shared")
     tasks = max(1, ceil(shared.count() / TASK_POSTS))
     blocks = F.ceil(F.col("met") / BLOCK).cast("int")
@@ -237,7 +238,7 @@ def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", l
     full = other.join(payload, "node").join(vectors, "node").withColumnRenamed("node", "id")
     found = full.groupBy("task").applyInArrow(lambda t: _linked(t, least), "a bigint, b bigint, n bigint")
     found = staged(found, "links")
-    discard(posts, shared)
+    discard(posts, buckets, shared)
     parts = connected_components(found.select("a", "b")).select(F.col("id").alias("node"), "component")
     parts = staged(parts.join(merged.select("node", "rep"), "node"), "parts")
     lowest = parts.groupBy("component").agg(F.min("rep").alias("lowest"))
