@@ -5,22 +5,28 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablekit.llm.common import free_name, mix64, odd_powers
+from tablekit.llm.common import discard, free_name, mix64, odd_powers, staged
 
 MOST_TRAINING_ROWS = 4_000  # per language
 GRAM = 4
-SLOTS, HASHES = 1 << 21, 3
-LEAST_COUNT, LEAST_SHARE = 3, 0.3
-FEW_ROWS = 30  # with fewer, a language's n-grams need not come again
+HASHES, FALSE_RATE = 3, 0.005  # of a language's filter, for the one with the most n-grams
+LEAST_SHARE = 0.3
+SMOOTHING = 10_000  # n-grams that every language counts as having besides, none of them known
 UNKNOWN = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+# Words are letters with the marks that belong to them. In texts of Latin letters up to
+# U+024F, which have no marks of their own, a plain class finds the same.
+_LATIN = re.compile("[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u024f]+")
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _BLOCK_CHARS = 1 << 18
 
 
@@ -36,8 +42,10 @@ class Filters:
 
 
 def _letters(text: str | None) -> str:
-    """Lower case, with one space instead of anything that is no letter, and around it all."""
-    return f" {_NO_LETTERS.sub(' ', (text or '').lower()).strip()} "
+    """The words in lower case, with one space between them and around it all."""
+    lower = (text or "").lower()
+    words = (_WORDS if _BEYOND_LATIN.search(lower) else _LATIN).findall(lower)
+    return f" {' '.join(words)} "
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,18 +64,20 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix64(total[whole]), owner[:count][whole]
 
 
-def _places(hashes: np.ndarray) -> list[np.ndarray]:
+def _places(hashes: np.ndarray, slots: int) -> list[np.ndarray]:
     step = (hashes >> np.uint64(32)) | np.uint64(1)
-    return [((hashes + np.uint64(i) * step) % np.uint64(SLOTS)).astype(np.int64) for i in range(HASHES)]
+    return [((hashes + np.uint64(i) * step) % np.uint64(slots)).astype(np.int64) for i in range(HASHES)]
 
 
-def build(languages: list[str], hashes: np.ndarray, has: np.ndarray) -> Filters:
-    """Filters of n-grams; ``has`` says for each n-gram and language if it goes in."""
-    slices = np.zeros(((len(languages) + 7) // 8, SLOTS), np.uint8)
-    for k in range(len(languages)):
-        for place in _places(hashes[has[:, k]]):
+def build(languages: list[str], grams_of: list[np.ndarray]) -> Filters:
+    """Filters of each language's n-grams, as large as the largest needs for FALSE_RATE."""
+    most = max(map(len, grams_of), default=0)
+    slots = max(64, ceil(most * HASHES / -log(1 - FALSE_RATE ** (1 / HASHES))))
+    slices = np.zeros(((len(languages) + 7) // 8, slots), np.uint8)
+    for k, hashes in enumerate(grams_of):
+        for place in _places(hashes, slots):
             slices[k // 8, place] |= np.uint8(1 << k % 8)
-    full = np.array([np.count_nonzero(slices[k // 8] & np.uint8(1 << k % 8)) / SLOTS for k in range(len(languages))])
+    full = np.array([np.count_nonzero(slices[k // 8] & np.uint8(1 << k % 8)) / slots for k in range(len(languages))])
     return Filters(languages, slices, full**HASHES)
 
 
@@ -75,18 +85,20 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """Filters from rows with a language that is not null, whole texts.
 
     Of each language about ``most`` rows with the smallest hash of ``key`` are taken
-    (all, if there are fewer): a bound that does not depend on the size of the corpus,
-    and so one on the n-grams that reach the driver. An n-gram goes into a language's
-    filter if it was met three times there and its rate there is at least 0.3 of the sum
-    of its rates in all languages; so rows with a wrong language do no harm. Languages
-    with fewer than 30 rows take every n-gram of that rate, met once or more.
+    (all, if there are fewer): a bound that does not depend on the size of the corpus. An
+    n-gram goes into a language's filter if its rate there is at least 0.3 of the sum of
+    its rates in all languages, so rows with a wrong language do no harm. A rate is a
+    count over the language's n-grams and 10,000 more, so that one n-gram in the few rows
+    of a language does not outweigh thousands elsewhere; the same rule holds whatever the
+    number of rows. An n-gram enters three filters at most; counts stay in Spark, and only
+    what enters a filter reaches the driver, 12 bytes for each.
     """
     spark = df.sparkSession
     known = df.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text"), F.xxhash64(F.col(f"`{key}`")).alias("key"))
     there = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(there)
     if not languages:
-        return build([], np.empty(0, np.uint64), np.empty((0, 0), bool))
+        return build([], [])
     shares = spark.createDataFrame([(k, int(min(1, most / n) * 2**31)) for k, n in there.items()], "lang string, share bigint")
     number = {k: i for i, k in enumerate(languages)}
     rows = known.join(F.broadcast(shares), "lang").where(F.pmod("key", F.lit(2**31)) < F.col("share")).select("text", "lang")
@@ -102,17 +114,17 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
             counts = np.diff(np.append(heads, len(g)))
             yield pa.RecordBatch.from_arrays([pa.array(g[heads].view(np.int64)), pa.array(k[heads].astype(np.int32)), pa.array(counts)], names=["gram", "k", "n"])
 
-    counts = rows.mapInArrow(run, "gram bigint, k int, n bigint").groupBy("gram", "k").agg(F.sum("n").alias("n"))
-    table = counts.toArrow()
-    gram, k, n = (np.asarray(table.column(c)) for c in ("gram", "k", "n"))
-    hashes, at = np.unique(gram.view(np.uint64), return_inverse=True)
-    matrix = np.zeros((len(hashes), len(languages)))
-    matrix[at, k] = n
-    rates = matrix / np.maximum(matrix.sum(axis=0), 1)
-    least = np.array([LEAST_COUNT if there[k] >= FEW_ROWS else 1 for k in languages])
-    has = (matrix >= least) & (rates >= LEAST_SHARE * rates.sum(axis=1, keepdims=True))
+    counts = staged(rows.mapInArrow(run, "gram bigint, k int, n bigint").groupBy("gram", "k").agg(F.sum("n").alias("n")), "grams")
+    sizes = {r["k"]: r["n"] for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    size = F.element_at(F.array(*[F.lit(float(sizes.get(k, 0) + SMOOTHING)) for k in range(len(languages))]), F.col("k") + 1)
+    rates = counts.select("gram", "k", (F.col("n") / size).alias("rate"))
+    among = rates.groupBy("gram").agg(F.sum("rate").alias("total"), F.collect_list(F.struct("k", "rate")).alias("of"))
+    entering = among.select("gram", "total", F.explode("of").alias("one")).where(F.col("one.rate") >= LEAST_SHARE * F.col("total"))
+    table = entering.select("gram", "one.k").toArrow()
+    discard(counts)
+    gram, k = np.asarray(table.column("gram")).view(np.uint64), np.asarray(table.column("k"))
     with np.errstate(over="ignore"):
-        return build(languages, hashes, has)
+        return build(languages, [gram[k == i] for i in range(len(languages))])
 
 
 def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -131,7 +143,7 @@ def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], list[f
             end += 1
         with np.errstate(over="ignore"):
             found, owner = grams(clean[begin:end])
-            places = _places(found)
+            places = _places(found, filters.slices.shape[1])
         totals[begin:end] = np.bincount(owner, minlength=end - begin)
         for s in range(len(filters.slices)):
             mask = filters.slices[s, places[0]]
@@ -155,8 +167,8 @@ def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], list[f
 
 def predict(df: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     """All columns of ``df`` with lang_pred and score (0 to 1) of each whole text. Null
-    texts and texts without a letter are ``und`` with score 0, as are all if no language
-    was learnt; a text without any known n-gram gets the first language, score 0. Names
+    texts and texts without a letter (numbers of any kind and lone marks are none) are
+    ``und`` with score 0, as are all if no language was learnt; a text without any known n-gram gets the first language, score 0. Names
     already taken get underscores after them."""
     names = [free_name(df.columns, "lang_pred"), free_name(df.columns, "score")]
     place = df.columns.index(text)
