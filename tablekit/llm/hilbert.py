@@ -13,14 +13,29 @@ BITS = 5  # of each dimension: with three of them at most 32,768 cells
 GROUP_ROWS, MOST_GROUPS = 256, 8192
 
 
-def categorical(column: str) -> Column:
-    """A category as one of 32 numbers, by hash; null is one more category."""
-    return F.pmod(F.xxhash64(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("\0null"))), F.lit(1 << BITS)).cast("int")
+def quantised(df: DataFrame, value: Column, levels: int = 1 << BITS) -> Column:
+    """A text or number as one of ``levels`` numbers in the order of its values, so that
+    a range of values is a range of numbers and minima and maxima prune files.
+
+    Up to ``levels`` distinct values each have a number of their own, spread over all.
+    More of them are cut at quantiles over all rows: numbers as they are, texts by their
+    first seven bytes. Null comes first.
+    """
+    found = df.select(value.alias("v")).distinct().limit(levels + 1).collect()
+    values = sorted(r["v"] for r in found if r["v"] is not None)
+    if len(found) <= levels:
+        below = F.size(F.filter(F.array(*map(F.lit, values)), lambda cut: cut <= value)) if values else F.lit(0)
+        return F.floor(F.coalesce(below - int(len(values) == len(found)), F.lit(0)) * levels / max(1, len(found))).cast("int")
+    number = value if not isinstance(values[0], str) else _leading_bytes(value)
+    shares = [i / levels for i in range(1, levels)]
+    cuts = df.agg(F.percentile_approx(number, shares, 10_000).alias("cuts")).first()["cuts"]
+    below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= number))
+    return F.coalesce(F.when(value.isNotNull(), below), F.lit(0)).cast("int")
 
 
-def logarithmic(size: Column) -> Column:
-    """A size from 1 on as one of 32 numbers: two per doubling, the last for all beyond."""
-    return F.least(F.lit((1 << BITS) - 1), F.floor(2 * F.log2(size.cast("double")))).cast("int")
+def _leading_bytes(text: Column) -> Column:
+    """The first seven bytes of a text as a number of the same order."""
+    return F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), F.lit(1), F.lit(7))), 14, "0"), 16, 10).cast("bigint")
 
 
 def hilbert_index(dimensions: Sequence[Column], bits: int = BITS) -> Column:
@@ -69,7 +84,8 @@ def _left(x: Column, by: Column) -> Column:
 def hilbert_shards(df: DataFrame, dimensions: Sequence[Column], order: Sequence[Column], shards: int) -> DataFrame:
     """All columns of ``df`` with shard and slot: ``df`` in the order of its cells on the
     curve, cut into ``shards`` runs whose row counts differ by one at most; slot counts
-    from 0 within a shard. ``dimensions`` are numbers of 0 to 31; rows of one cell are
+    from 0 within a shard. ``dimensions`` are numbers of 0 to 31, as ``quantised`` gives
+    them; rows of one cell are
     in the order of a hash of ``order``, then of ``order`` itself, and rows equal in all
     of it are interchangeable. Names already taken get underscores after them.
 

@@ -14,7 +14,7 @@ from tablekit.llm.common import crc32_text, table
 from tablekit.llm.content_sort import exact_duplicates
 from tablekit.llm.embedding_dedup import near_vectors
 from tablekit.llm.hard_negatives import hard_negatives
-from tablekit.llm.hilbert import categorical, hilbert_shards, logarithmic
+from tablekit.llm.hilbert import hilbert_shards, quantised
 from tablekit.llm.minhash import near_duplicates
 from tablekit.llm.mixing import mix
 from tablekit.llm.oracles import ORACLES as ORACLES
@@ -63,7 +63,7 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     size = (F.octet_length(data) + 8).cast("bigint")
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", size.alias("size"), F.crc32(data).alias("text_crc32"))
-    dimensions = [categorical("source"), categorical("lang"), logarithmic(F.col("size"))]
+    dimensions = [quantised(documents, F.col(c)) for c in ("source", "lang", "size")]
     order = [F.col("doc_id"), F.col("text_crc32")]
     return hilbert_shards(documents, dimensions, order, SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")

@@ -43,6 +43,36 @@ def test_a_large_group_of_near_copies_in_small_blocks(spark, monkeypatch):
     assert got == expected
 
 
+@pytest.fixture
+def small_skew_thresholds(spark):
+    wanted = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_a_text_copied_very_often_is_split_over_tasks(spark, small_skew_thresholds):
+    rows = [(i, "one text that half of all rows hold and more words" if i % 2 else f"{i} is a text of its own number {i * 7} and {i * 3}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    out = minhash.near_duplicates(df, words_each=4)
+    assert "skew=true" in final_plan(out)
+    got = {r["doc_id"]: r["component_id"] for r in out.collect()}
+    assert all(got[i] == (1 if i % 2 else i) for i in range(20_000))
+
+
 def test_minhash_odd_rows(odd, empty):
     out = minhash.near_duplicates(odd, words_each=4)
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablekit.llm import language_id, permutation_index, quality_gam
-from tablekit.llm.hilbert import categorical, hilbert_index, hilbert_shards, logarithmic
+from tablekit.llm.hilbert import hilbert_index, hilbert_shards, quantised
 from tablekit.llm.mixing import mix, mixing_plan
 from tablekit.llm.queries import ORACLES, op4_permutation_index, op6_language_filters, op7_hilbert_shards, op9_quality_gam, op10_temperature_mixing
 from verification.compare import differences, given_tables
@@ -44,6 +44,13 @@ def test_nearest_odd_rows(spark):
     assert permutation_index.nearest(df.limit(0), 50, 5).count() == 0
 
 
+def test_nearest_of_a_query_id_met_several_times(spark):
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [0.0, 1.0]), *[(i, [1.0, 0.2 * i]) for i in range(1, 6)], (2, [1.0, 0.4])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r["rank"], r["vec_id"]) for r in permutation_index.nearest(df, 50, 5).orderBy("rank").collect()]
+    assert got == [(1, 5), (2, 4), (3, 3), (4, 2), (5, 2)]  # asked with [0, 1], the smallest
+
+
 def test_language_held_out_accuracy(spark):
     langs = dict(spark.read.parquet(f"{SF_LARGER}/documents.parquet").select("doc_id", "lang").collect())
     rows = op6_language_filters(spark, SF_LARGER).collect()
@@ -65,6 +72,50 @@ def test_language_odd_rows(odd, empty, spark):
     assert language_id.predict(empty, filters).count() == 0
 
 
+def test_language_texts_without_letters_and_with_marks(spark):
+    hindi, tamil = "यह घर बड़ा है और कुत्ता सोता है ", "இது ஒரு பெரிய வீடு நாய் தூங்குகிறது "
+    learn = spark.createDataFrame([(i, hindi * 3, "hi") for i in range(3)] + [(9 + i, tamil * 3, "ta") for i in range(3)], "doc_id bigint, text string, lang string")
+    filters = language_id.train(learn)
+    texts = ["²", "½ ½", "Ⅷ", "①", "\u0301", "12,5 €", "कुत्ता", "வீடு", "²a"]
+    assert language_id.decide(filters, texts)[0][:8] == ["und"] * 6 + ["hi", "ta"]
+    assert language_id._letters("Ein  GRÜNES Haus, 3½ l'été") == " ein grünes haus l été "
+    assert language_id._letters("कुत्ता-है") == " कुत्ता है "
+    for text in ("ªº µ ß ÿ × ÷ Ǆ ƻ ɏ x1y", "naïve Łódź ½"):
+        assert language_id._LATIN.findall(text.lower()) == language_id._WORDS.findall(text.lower())
+
+
+def test_language_against_plain_sets(spark):
+    documents = spark.read.parquet(f"{SF_LARGER}/documents.parquet").select("doc_id", "text", "lang")
+    rows = documents.collect()
+    counts, sizes = {}, Counter()
+    for r in rows:
+        text = language_id._letters(r["text"])
+        if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            for i in range(len(text) - 3):
+                counts.setdefault(text[i : i + 4], Counter())[r["lang"]] += 1
+                sizes[r["lang"]] += 1
+    rate = lambda g, k: counts[g][k] / (sizes[k] + language_id.SMOOTHING)
+    of = {g: {k for k in c if rate(g, k) >= language_id.LEAST_SHARE * sum(rate(g, j) for j in c)} for g, c in counts.items()}
+    differing = 0
+    for r in op6_language_filters(spark, SF_LARGER).collect():
+        text = language_id._letters(next(d["text"] for d in rows if d["doc_id"] == r["doc_id"]))
+        grams = [text[i : i + 4] for i in range(len(text) - 3)]
+        hits = Counter(k for g in grams for k in of.get(g, ()))
+        best = min(sizes, key=lambda k: (-hits[k], k)) if text.strip() else "und"
+        differing += best != r["lang_pred"]
+    assert differing <= 3  # false hits of the filters, in texts without a clear language
+
+
+def test_a_hundred_languages_each_with_few_rows(spark):
+    rng = np.random.default_rng(0)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(60)] for _ in range(100)]
+    text = lambda k: " ".join(rng.choice(words[k], 40))
+    learn = spark.createDataFrame([(4 * k + i, text(k), f"l{k:03d}") for k in range(100) for i in range(4)], "doc_id bigint, text string, lang string")
+    filters = language_id.train(learn)
+    assert filters.slices.shape[0] == 13 and filters.false.max() <= 2 * language_id.FALSE_RATE
+    assert language_id.decide(filters, [text(k) for k in range(100)])[0] == [f"l{k:03d}" for k in range(100)]
+
+
 @pytest.mark.parametrize(("n", "bits"), [(1, 3), (2, 4), (3, 3), (4, 2)])
 def test_hilbert_neighbours_touch(spark, n, bits):
     cells = spark.range(1 << (n * bits)).select(*(F.expr(f"CAST(shiftright(id, {bits * i}) & {(1 << bits) - 1} AS INT)").alias(f"x{i}") for i in range(n)))
@@ -86,17 +137,45 @@ def test_hilbert_query(spark):
 
 def test_hilbert_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id bigint, source string")
-    out = hilbert_shards(df, [categorical("source")], [F.col("doc_id")], 2)
+    out = hilbert_shards(df, [quantised(df, F.col("source"))], [F.col("doc_id")], 2)
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_hilbert_odd_rows(odd, empty):
     size = F.octet_length(F.coalesce("text", F.lit(""))) + 8
-    out = hilbert_shards(odd.withColumnRenamed("SCORE", "Shard"), [categorical("source"), logarithmic(size)], [F.col("doc_id")], 3)
+    out = hilbert_shards(odd.withColumnRenamed("SCORE", "Shard"), [quantised(odd, F.col("source")), quantised(odd, size)], [F.col("doc_id")], 3)
     assert out.columns[-2:] == ["shard_", "slot"]
     assert sorted(Counter(r["shard_"] for r in out.collect()).values()) == [6, 6, 7]
-    assert hilbert_shards(empty, [categorical("source")], [F.col("doc_id")], 3).count() == 0
+    assert hilbert_shards(empty, [quantised(empty, F.col("source"))], [F.col("doc_id")], 3).count() == 0
+
+
+def test_quantised_values_keep_their_order(spark):
+    few = spark.createDataFrame([(v,) for v in ["b", "a", None, "zz", "a", "é"]], "v string")
+    got = {r["v"]: r["q"] for r in few.select("v", quantised(few, F.col("v")).alias("q")).collect()}
+    assert got == {None: 0, "a": 6, "b": 12, "zz": 19, "é": 25}
+    none = few.where("v is null")
+    assert none.select(quantised(none, F.col("v"))).first()[0] == 0
+    rng = np.random.default_rng(4)
+    sizes = [int(x) for x in np.exp(rng.normal(11, 3, 4000))]
+    for value, kind in (([*sizes, None], "bigint"), ([f"key {x:09d}" for x in range(4000)], "string"), ([f"{x:09d}" for x in range(4000)], "string")):
+        many = spark.createDataFrame([(v,) for v in value], f"v {kind}")
+        rows = many.select("v", quantised(many, F.col("v")).alias("q")).where("v is not null").orderBy("v").collect()
+        codes = [r["q"] for r in rows]
+        assert codes == sorted(codes) and 0 <= codes[0] and codes[-1] <= 31
+        if kind == "bigint":  # also those beyond 46 KB are told apart
+            assert max(Counter(codes).values()) <= 2.2 * len(codes) / 32
+
+
+def test_a_value_opens_few_shards_that_lack_it(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "source", "lang", F.length("text").alias("size"))
+    out = hilbert_shards(documents, [quantised(documents, F.col(c)) for c in ("source", "lang", "size")], [F.col("doc_id")], 24)
+    for column in ("source", "lang"):
+        shards = out.groupBy("shard").agg(F.min(column).alias("a"), F.max(column).alias("b"), F.collect_set(column).alias("in")).collect()
+        values = {v for s in shards for v in s["in"]}
+        holding = sum(v in s["in"] for v in values for s in shards)
+        opened = sum(s["a"] <= v <= s["b"] for v in values for s in shards)
+        assert opened <= 1.5 * holding
 
 
 def test_quality_held_out(spark):
@@ -158,6 +237,8 @@ def test_mixing_odd_rows(odd, empty):
     out = mix(odd.withColumnRenamed("SCORE", "Weight"), 0.99, 2.0)
     assert out.columns[-3:] == ["n_tokens", "weight_", "copies"] and out.count() == odd.count()
     assert mix(empty, 0.99, 2.0).count() == 0
+    with pytest.raises(ValueError, match="2.0 times"):
+        mix(odd, 0.99, 2.0, budget=10**9)
 
 
 def test_pipeline_stage_by_stage(spark):
