@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,9 +34,39 @@ def staged(df: DataFrame, label: str) -> DataFrame:
         conf.set(_CLEAN_SHUFFLES, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    if _scopes:
+        _scopes[-1].append(path)
     return out
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What operators stage inside is removed at the end, but for the staged frames given
+    to the function it yields; those belong to the scope around this one, if any.
+
+    A result that has not been read by then must be staged, as it may read what goes.
+    """
+    paths: list[str] = []
+    kept: list[str] = []
+    _scopes.append(paths)
+
+    def keep(frame: DataFrame) -> DataFrame:
+        kept.append(frame._staged_path)
+        return frame
+
+    try:
+        yield keep
+    finally:
+        _scopes.remove(paths)
+        if _scopes:
+            _scopes[-1].extend(kept)
+        for path in set(paths) - set(kept):
+            remove_path(spark, path)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove staged frames that nothing reads any more."""
     for frame in frames:

@@ -53,6 +53,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that repeat an id are learnt from, and predicted, each for itself."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(crc32_text("doc_id"), F.lit(3)) == 1
     filters = language_id.train(documents.where(~held_out))
@@ -76,6 +77,8 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that repeat an id, and several labels of one id, are each a row to learn from;
+    every row is scored once, whatever its labels."""
     documents, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     fold = F.pmod(crc32_text("doc_id"), F.lit(4)) == 2
     learned = documents.where(~fold).join(labels.select("doc_id", "quality"), "doc_id")

@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter
+from itertools import count
 
 import numpy as np
 import pytest
@@ -7,7 +8,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablekit.llm import language_id, permutation_index, quality_gam
+from tablekit.llm import common, language_id, permutation_index, quality_gam
 from tablekit.llm.hilbert import hilbert_index, hilbert_shards, quantised
 from tablekit.llm.mixing import mix, mixing_plan
 from tablekit.llm.queries import ORACLES, op4_permutation_index, op6_language_filters, op7_hilbert_shards, op9_quality_gam, op10_temperature_mixing
@@ -295,3 +296,49 @@ def test_a_language_of_two_short_rows_is_learnt(spark):
     filters = language_id.train(df)
     langs, scores = language_id.decide(filters, ["kurze wörter", "the people", "grüne"])
     assert langs == ["bb", "aa", "bb"] and min(scores) > 0
+
+
+@pytest.fixture
+def odd_documents(odd):
+    """With the columns of documents, another one, and a repeated row."""
+    rows = odd.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.length("text").cast("bigint").alias("n_chars"), F.lit("x").alias("sha"))
+    return rows.unionAll(rows.where("doc_id = 9"))
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd_documents, number):
+    _, stage = corpus_pipeline.STAGES[number]
+    nothing = stage(spark, odd_documents.limit(0), SF_DIR)
+    assert nothing.count() == 0
+    out = stage(spark, odd_documents, SF_DIR)
+    rows = out.collect()
+    assert nothing.columns == out.columns
+    if number < 4:
+        assert out.columns == odd_documents.columns
+    given = [r["doc_id"] for r in odd_documents.collect()]
+    got = Counter(r["doc_id"] for r in rows)
+    if number == 1:  # 6 and 9 are there twice; 7 has the words of 6
+        assert got == Counter(i for i in set(given) if i != 7)
+    if number == 2:
+        assert got == Counter(given)
+        assert {r["doc_id"]: r["text"] for r in rows}[0] is None
+    if number == 4:
+        assert got == Counter(given)
+        assert all((r["n_tokens"] == 0) == (r["doc_id"] in (0, 1)) for r in rows)
+
+
+def test_rows_of_one_id_with_different_texts_stay_together(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, "a"), (1, words, "b"), (1, "something else entirely in other words", "c"), (2, words, "d"), (2, "and one more text that stands alone", "e"), (3, "alone", "f")]
+    docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = sorted((r["doc_id"], r["source"]) for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect())
+    assert got == [(1, "a"), (1, "c"), (3, "f")]
+
+
+def test_nothing_is_left_of_a_pipeline_run(spark, tmp_path, monkeypatch):
+    places = count()
+    monkeypatch.setattr(common, "fresh_path", lambda _, label: f"{tmp_path}/{label}-{next(places)}")
+    with corpus_pipeline.result(spark, SF_DIR) as out:
+        assert out.count() > 100
+        assert [p.name.rpartition("-")[0] for p in tmp_path.iterdir()] == ["source_mixture"]
+    assert next(places) > 20 and not list(tmp_path.iterdir())
