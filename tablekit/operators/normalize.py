@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, functions as F
 
 from tablekit.functions.columns import fold_case, quoted, string_columns
+from tablekit.operators.footers import footer_counts
 
 NULL_TOKEN = "NULL"
 PROBE_ROWS = 1000
@@ -41,20 +42,28 @@ def null_tokens(df: DataFrame) -> DataFrame:
     )
 
 
-def drop_null_columns(df: DataFrame) -> DataFrame:
+def drop_null_columns(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Drop every column that holds no value in any row.
 
-    One value proves that a column stays, so a short probe settles most columns
-    without a scan: ``take`` stops reading at the first files. What the probe
-    leaves open is counted exactly, over all rows but only those columns.
+    Where ``df`` is a scan of whole Parquet files, their footers settle it without
+    reading any data. ``source`` is such a scan that ``df`` was made of, column by column
+    and row by row: its footers settle columns without text, which stay as they are, and
+    those without any value.
+
+    For the others one value proves that a column stays, so a short probe settles most
+    without a scan: ``take`` stops reading at the first files. What the probe leaves open
+    is counted exactly, over all rows but only those columns.
     """
-    open_columns = _without_value_in_probe(df)
-    if not open_columns:
-        return df
-    counts = df.agg(
-        *[F.count(quoted(c)).alias(str(i)) for i, c in enumerate(open_columns)]
-    ).first()
-    empty = {c for c, n in zip(open_columns, counts) if n == 0}
+    counts = footer_counts(df if source is None else source)
+    names = df.columns if source is None else source.columns
+    text = set() if source is None else string_columns(df)
+    known = {c: counts[name] for c, name in zip(df.columns, names) if name in counts and (c not in text or not counts[name])}
+    empty = {c for c, n in known.items() if not n}
+    unknown = [c for c in df.columns if c not in known]
+    open_columns = _without_value_in_probe(df.select(*map(quoted, unknown))) if unknown else []
+    if open_columns:
+        found = df.agg(*[F.count(quoted(c)).alias(str(i)) for i, c in enumerate(open_columns)]).first()
+        empty |= {c for c, n in zip(open_columns, found) if n == 0}
     return df.select(*[quoted(c) for c in df.columns if c not in empty]) if empty else df
 
 
@@ -68,4 +77,4 @@ def _without_value_in_probe(df: DataFrame) -> list[str]:
 
 def normalize(df: DataFrame) -> DataFrame:
     """All clean-up steps, in the order the rules expect."""
-    return drop_null_columns(null_tokens(trim_strings(strip_headers(df))))
+    return drop_null_columns(null_tokens(trim_strings(strip_headers(df))), source=df)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tablekit.operators.footers import footer_counts
 from tablekit.operators import drop_null_columns, normalize, null_tokens, strip_headers, trim_strings
 from tablekit.operators.normalize import PROBE_ROWS
 
@@ -62,8 +63,68 @@ def test_only_open_columns_are_scanned_in_full(spark, tmp_path):
     )
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("prune-none", "")
-    drop_null_columns(spark.read.parquet(str(tmp_path / "t")).drop("none"))
+    some = lambda: spark.read.parquet(str(tmp_path / "t")).where("id >= 0")  # noqa: E731  footers cannot settle a part
+    drop_null_columns(some().drop("none"))
     spark.sparkContext.setJobGroup("prune-one", "")
-    assert drop_null_columns(spark.read.parquet(str(tmp_path / "t"))).columns == ["id", "full"]
+    assert drop_null_columns(some()).columns == ["id", "full"]
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(tracker.getJobIdsForGroup("prune-none")) < len(tracker.getJobIdsForGroup("prune-one"))
+
+
+@pytest.fixture
+def stored_files(spark, tmp_path):
+    """Three files of numbers and dates with some empty columns, and a way to spoil all
+    bytes before their footers."""
+    path = tmp_path / "files"
+    rows = spark.range(3000, numPartitions=3).select(
+        F.col("id").alias(" n "), F.lit(None).cast("double").alias("none"), F.when(F.col("id") == 2999, F.col("id")).alias("last"),
+        F.col("id").cast("timestamp").alias("at"), F.lit(None).cast("date").alias("never"),
+    )
+    rows.write.parquet(str(path))
+
+    def spoil():
+        for file in path.glob("*.parquet"):
+            data = file.read_bytes()
+            footer = int.from_bytes(data[-8:-4], "little") + 8
+            file.write_bytes(data[:4] + b"\xff" * (len(data) - footer - 4) + data[-footer:])
+        for check in path.glob(".*.crc"):
+            check.unlink()
+
+    return str(path), spoil
+
+
+def test_footers_settle_a_stored_table_without_reading_a_page(spark, stored_files):
+    path, spoil = stored_files
+    whole = spark.read.parquet(path)
+    assert footer_counts(whole) == {" n ": 3000, "none": 0, "last": 1, "at": 3000, "never": 0}
+    spoil()
+    frame = spark.read.parquet(path)
+    with pytest.raises(Exception, match="FAILED_READ_FILE|Could not read|CANNOT_READ"):
+        frame.agg(F.sum("last")).collect()
+    assert drop_null_columns(frame).columns == [" n ", "last", "at"]
+    assert normalize(frame).columns == ["n", "last", "at"]
+
+
+def test_footers_say_nothing_of_frames_that_are_not_whole_files(spark, stored_files):
+    path, _ = stored_files
+    whole = spark.read.parquet(path)
+    for frame in (whole.where("last is null"), whole.limit(5), whole.unionAll(whole), whole.select(F.col("none").alias("x")), spark.range(3)):
+        assert footer_counts(frame) == {}
+    assert drop_null_columns(whole.where("last is null")).columns == [" n ", "at"]
+
+
+def test_text_that_becomes_null_is_not_settled_by_footers(spark, tmp_path):
+    rows = [("NULL", None, "a", 1, [1]), (" NULL ", None, "NULL", None, None)]
+    spark.createDataFrame(rows, "token string, blank string, some string, n int, list array<int>").write.partitionBy("n").parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    assert footer_counts(frame) == {"token": 2, "blank": 0, "some": 2}
+    assert normalize(frame).columns == ["some", "list", "n"]
+    assert drop_null_columns(frame).columns == ["token", "some", "list", "n"]
+
+
+def test_footers_of_a_stored_catalog_table(spark, sink):
+    sink.save(spark.createDataFrame([(1, None, "x")], "n int, gone double, t string"), "t")
+    sink.save(spark.createDataFrame([(2**40, None, "NULL")], "n bigint, gone double, t string"), "t")
+    table = spark.table(sink.name("t"))
+    assert footer_counts(table) == {"n": 2, "gone": 0, "t": 2}
+    assert normalize(table).columns == ["n", "t"]
