@@ -12,11 +12,13 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import partial
 from hashlib import blake2b, sha256
-from itertools import islice
+from io import BytesIO
 from threading import Lock
-from typing import TYPE_CHECKING
+from typing import TYPE_CHECKING, BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablekit.session import fresh_path, remove_path, stage
@@ -49,18 +51,24 @@ _ARROW_SCHEMA = pa.schema(
         ("digest", pa.string()),
     ]
 )
-_BATCH_ROWS = 5000
+_BATCH_ROWS, _BATCH_CHARS = 5000, 8 << 20
+_READ_BYTES = 1 << 20
 
 # Causes named when a sheet cannot be read; the rest are counted.
 _NAMED_CAUSES = 5
 
 
-def open_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(path, content)`` of every workbook under ``path``.
+def open_workbooks(spark: SparkSession, path: str | list[str], ranged: bool = False) -> DataFrame:
+    """``(path, content)`` of every workbook under ``path``; ``ranged`` leaves the content
+    null, and tasks read the parts of a file that they need from where it lies.
 
-    ``spark.sql.files.maxPartitionBytes`` bounds the file bytes in one task.
+    ``spark.sql.files.maxPartitionBytes`` bounds the file bytes in one task. A content
+    takes its size in the JVM and again in Python, 2 GB at most; a file read by ranges
+    has no such limit, but must lie where ``pyarrow.fs`` can open it (``file:``,
+    ``hdfs:``, ``s3:``, ``gs:``).
     """
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    content = F.lit(None).cast("binary").alias("content") if ranged else "content"
+    return spark.read.format("binaryFile").load(path).select("path", content)
 
 
 def scan_sheets(workbooks: DataFrame, sheets: Sequence[str]) -> DataFrame:
@@ -84,11 +92,14 @@ def _parse_batches(batches: Iterator[pa.RecordBatch], sheets: list[str], zone: s
             yield from _parse_workbook(path.as_py(), content.as_py(), sheets, zone)
 
 
-def _parse_workbook(path: str, content: bytes, sheets: list[str], zone: str) -> Iterator[pa.RecordBatch]:
-    file = (len(content), sha256(content).hexdigest())
+def _parse_workbook(path: str, content: bytes | None, sheets: list[str], zone: str) -> Iterator[pa.RecordBatch]:
+    """``content`` is None for a file that is to be read by ranges."""
+    file: tuple[int | None, str | None] = (None, None)
     failed = lambda sheet, cause: _record_batch([(SUMMARY, path, sheet, None, None, None, None, None, f"{type(cause).__name__}: {cause}", *file)])
     try:
-        book = Workbook(content)
+        stream = BytesIO(content) if content is not None else _opened(path)
+        file = _length_and_digest(stream)
+        book = Workbook(stream)
     except Exception as cause:
         yield from [failed(sheet, cause) for sheet in sheets]
         return
@@ -99,13 +110,40 @@ def _parse_workbook(path: str, content: bytes, sheets: list[str], zone: str) ->
             yield failed(sheet, cause)
 
 
+def _opened(path: str) -> BinaryIO:
+    system, place = FileSystem.from_uri(quote(path, safe=":/"))
+    return system.open_input_file(place)
+
+
+def _length_and_digest(stream: BinaryIO) -> tuple[int, str]:
+    digest, length = sha256(), 0
+    while piece := stream.read(_READ_BYTES):
+        digest.update(piece)
+        length += len(piece)
+    stream.seek(0)
+    return length, digest.hexdigest()
+
+
+def _blocks(rows: Iterator) -> Iterator[list]:
+    """Rows in lists that are long enough to be worth a batch and of bounded size."""
+    block, size = [], 0
+    for row in rows:
+        block.append(row)
+        size += sum(map(len, filter(None, row[1])))
+        if len(block) == _BATCH_ROWS or size >= _BATCH_CHARS:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def _to_batches(path: str, sheet: str, rows: Iterator, zone: str, file: tuple[int, str]) -> Iterator[pa.RecordBatch]:
     first_number, first, _ = next(rows, (None, None, None))
     if first is None:
         return
     names, seen = header_names(first), ColumnMasks(zone)
     layout = _digest(names)
-    while block := list(islice(rows, _BATCH_ROWS)):
+    for block in _blocks(rows):
         seen.add([(cells, kinds) for _, cells, kinds in block])
         yield _record_batch([(CELLS, path, sheet, number, layout, None, cells, None, None, None, None) for number, cells, _ in block])
     masks = seen.masks + [None] * (len(names) - len(seen.masks))
@@ -191,16 +229,17 @@ def read_sheet(spark: SparkSession, path: str | list[str], sheet: str) -> Iterat
 
 @contextmanager
 def sheet_sources(
-    spark: SparkSession, path: str | list[str], sheets: Sequence[str], sink: TableSink | None = None
+    spark: SparkSession, path: str | list[str], sheets: Sequence[str], sink: TableSink | None = None, ranged: bool = False
 ) -> Iterator[dict[str, Callable[[], DataFrame]]]:
     """A loader per sheet, for as long as the context lasts.
 
     The first loader called parses the workbooks for all, and the outcome, good or bad,
     is that of the others too; the staged rows are removed at the end. With a ``sink``
     workbooks in the ledger of the sheet's table are left out, and a table run adds those
-    it loads; a sheet without a new workbook raises ``NothingNew``.
+    it loads; a sheet without a new workbook raises ``NothingNew``. ``ranged`` is for
+    large workbooks, as ``open_workbooks`` has it.
     """
-    parse = _Parse(spark, path, sheets, sink)
+    parse = _Parse(spark, path, sheets, sink, ranged)
     try:
         yield {sheet: SheetSource(parse, sheet) for sheet in sheets}
     finally:
@@ -229,8 +268,8 @@ class SheetSource:
 class _Parse:
     """The one parse that the loaders of all sheets share, on whichever thread is first."""
 
-    def __init__(self, spark: SparkSession, path: str | list[str], sheets: Sequence[str], sink: TableSink | None):
-        self._spark, self._path, self._sheets, self.sink = spark, path, list(sheets), sink
+    def __init__(self, spark: SparkSession, path: str | list[str], sheets: Sequence[str], sink: TableSink | None, ranged: bool):
+        self._spark, self._path, self._sheets, self.sink, self._ranged = spark, path, list(sheets), sink, ranged
         self.staged_path = fresh_path(spark, "sheets")
         self._outcome: DataFrame | Exception | None = None
         self._new: dict[str, list[str]] = {}
@@ -256,7 +295,7 @@ class _Parse:
 
     def _workbooks(self) -> DataFrame:
         if self.sink is None:
-            return open_workbooks(self._spark, self._path)
+            return open_workbooks(self._spark, self._path, self._ranged)
         tables = {sheet: f"{sheet}{LOADS_SUFFIX}" for sheet in self._sheets}
         known = {s: self._spark.table(self.sink.name(t)) if self.sink.exists(t) else None for s, t in tables.items()}
         # file names, which the driver lists in any case
@@ -265,4 +304,4 @@ class _Parse:
         paths = sorted({r["path"] for r in found})
         if not paths:
             raise NothingNew(", ".join(self._sheets))
-        return open_workbooks(self._spark, [as_pattern(p) for p in paths])
+        return open_workbooks(self._spark, [as_pattern(p) for p in paths], self._ranged)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from io import BytesIO
 from posixpath import join, normpath
+from typing import BinaryIO
 from xml.etree import ElementTree
 from xml.parsers import expat
 from zipfile import ZipFile
@@ -29,8 +30,11 @@ Cell = tuple[str | None, str]
 
 
 class Workbook:
-    def __init__(self, content: bytes):
-        self._zip = ZipFile(BytesIO(content))
+    """Reads from the workbook's bytes, or from an open file that can seek; then only the
+    parts asked for are read, a piece at a time."""
+
+    def __init__(self, content: bytes | BinaryIO):
+        self._zip = ZipFile(BytesIO(content) if isinstance(content, bytes) else content)
         book = self._xml("xl/workbook.xml")
         targets = {
             r.get("Id"): normpath(join("xl", r.get("Target"))).lstrip("/")

@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 from datetime import date, datetime
 from functools import reduce
 from io import BytesIO
@@ -374,3 +376,46 @@ def test_shared_strings_are_parsed_once_for_all_sheets(monkeypatch):
     content = encode_workbook({"a": [["x"], ["one"]], "b": [["y"], ["two"]], "c": [["z"], ["one"]]})
     batches = list(sheets._parse_workbook("p", content, ["a", "b", "c"], "UTC"))
     assert sum(b.num_rows for b in batches) == 6 and len(parsed) == 1
+
+
+def test_files_read_by_ranges_give_the_same(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"book {i}.xlsx").write_bytes(encode_workbook({"a": [["n", "t"], *[[k, f"text {k % 7}"] for k in range(50 * i)]], "b": [["x"], [i]]}))
+    (tmp_path / "broken.xlsx").write_bytes(b"no zip")
+    results = []
+    for ranged in (False, True):
+        with sheet_sources(spark, f"{tmp_path}/book*.xlsx", ["a", "b"], ranged=ranged) as sources:
+            results.append([sorted(map(tuple, sources[s]().collect())) for s in ("a", "b")])
+        with sheet_sources(spark, f"{tmp_path}/*.xlsx", ["a"], ranged=ranged) as sources, pytest.raises(ValueError, match="broken.xlsx: (BadZipFile|ArrowInvalid)"):
+            sources["a"]()
+    assert results[0] == results[1] and len(results[0][0]) == 150
+
+
+LARGE = """
+import resource, sys
+from tablekit.sources.sheets import _parse_workbook
+rows = 0
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for batch in _parse_workbook("file://" + sys.argv[1], None, ["Data"], "UTC"):
+    rows += batch.num_rows
+print(rows, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def test_a_workbook_of_300_mb_takes_a_fraction_of_its_size(pytestconfig, tmp_path):
+    path = tmp_path / "large.xlsx"
+    small = workbook_xml("<row><c t='inlineStr'><is><t>h</t></is></c></row>")
+    row = f"<row><c t='inlineStr'><is><t>{random.Random(2).randbytes(50_000).hex()}</t></is></c><c><v>1.5</v></c></row>".encode()
+    with ZipFile(BytesIO(small)) as old, ZipFile(path, "w") as new:
+        for name in old.namelist():
+            if "sheet1" not in name:
+                new.writestr(name, old.read(name))
+        with new.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as sheet:
+            sheet.write(f'<worksheet xmlns="{MAIN}"><sheetData><row><c><v>1</v></c></row>'.encode())
+            for _ in range(3000):
+                sheet.write(row)
+            sheet.write(b"</sheetData></worksheet>")
+    assert path.stat().st_size > 300_000_000
+    done = subprocess.run([sys.executable, "-c", LARGE, str(path)], cwd=pytestconfig.rootpath, capture_output=True, text=True, timeout=300)
+    rows, megabytes = map(int, done.stdout.split())
+    assert rows == 3001 and megabytes < 120, megabytes
