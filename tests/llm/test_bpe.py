@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tablekit.llm.bpe import Bpe, encode_decode, read_definition
-from tablekit.llm.queries import op3_bpe
+from tablekit.llm.queries import op3_bpe, op5_token_files
 from tablekit.llm.token_files import Reader, Writer, packed, read_token_files, token_folder, unpacked, write_token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,3 +90,17 @@ def test_token_files_of_odd_rows(odd, empty):
         start += len(ids)
     assert read_token_files(write_token_files(odd, token_folder(odd), PATH)).count() == odd.count()
     assert read_token_files(write_token_files(empty, token_folder(empty), PATH)).count() == 0
+
+
+def test_token_file_query_against_the_library(spark):
+    import zlib
+
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected, start = {}, 0
+    for r in documents:
+        ids = np.array([*theirs.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
+        expected[r["doc_id"]] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in op5_token_files(spark, SF_DIR).collect()}
+    assert got == expected

@@ -5,7 +5,7 @@ from conftest import SF_DIR
 
 from tablekit.llm import embedding_dedup, minhash, suffix_dedup
 from tablekit.llm.components import connected_components
-from tablekit.llm.queries import op1_minhash_dedup, op8_suffix_array_dedup
+from tablekit.llm.queries import op1_minhash_dedup, op2_embedding_dedup, op8_suffix_array_dedup
 from tablekit.llm.suffix_array import common_prefixes, suffix_array
 
 
@@ -227,3 +227,33 @@ def test_an_id_with_several_vectors_links_by_each(spark):
             (1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False),
             (4, 1, 1, False), (5, 1, 5, True), (5, 2, 1, False), (6, 1, 5, False), (7, 0, 7, True),
         ]
+
+
+def test_embedding_query_against_brute_force_on_planted_links(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(300, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [base[i] for i in range(300)]
+    for i in range(240):  # pairs on both sides of the threshold, chains, exact copies
+        other = rng.normal(size=64)
+        other -= (other @ base[i]) * base[i]
+        cosine = rng.choice([0.975, 0.979, 0.9801, 0.981, 0.99, 1.0])
+        near = cosine * base[i] + (1 - cosine**2) ** 0.5 * other / np.linalg.norm(other)
+        rows += [near * rng.choice([0.5, 1, 7])] + ([near + 0.1 * rng.normal(size=64) / 8] if i % 3 == 0 else [])
+    labels = [int(k) for k in rng.integers(0, 2, len(rows))]
+    labels[300:500] = [labels[i] for i in range(200)]
+    table = [(i, x.astype(np.float32).tolist(), k) for i, (x, k) in enumerate(zip(rows, labels))]
+    spark.createDataFrame(table, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    x = np.array([r[1] for r in table], np.float32).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (x @ x.T >= 0.98) & (np.array(labels)[:, None] == np.array(labels)[None, :])
+    np.fill_diagonal(linked, False)
+    assert linked.sum() > 200
+    component = np.arange(len(x))
+    while True:
+        lowest = np.minimum(component, np.where(linked, component[None, :], len(x)).min(axis=1))
+        if (lowest == component).all():
+            break
+        component = lowest
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in op2_embedding_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: (int(linked[i].sum()), int(component[i]), bool(component[i] == i)) for i in range(len(x))}
