@@ -127,6 +127,24 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         return build(languages, [gram[k == i] for i in range(len(languages))])
 
 
+def _blocks(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """The texts in blocks of some 262,144 characters, long ones cut into pieces that
+    overlap by less than an n-gram, so that each n-gram is in one piece. Yields the
+    numbers of the pieces' texts, and the pieces."""
+    owners, pieces, chars = [], [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - GRAM + 1), _BLOCK_CHARS):
+            piece = text[at : at + _BLOCK_CHARS + GRAM - 1]
+            if pieces and chars + len(piece) > _BLOCK_CHARS:
+                yield np.array(owners), pieces
+                owners, pieces, chars = [], [], 0
+            owners.append(i)
+            pieces.append(piece)
+            chars += len(piece)
+    if pieces:
+        yield np.array(owners), pieces
+
+
 def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and score of each text. An n-gram's filters are read once per hash, for
     all languages together; the hits of a language, less those its false rate explains,
@@ -135,23 +153,18 @@ def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], list[f
     clean = [_letters(t) for t in texts]
     n_lang = len(filters.languages)
     hits, totals = np.zeros((len(texts), max(n_lang, 1))), np.zeros(len(texts))
-    begin = 0
-    while begin < len(clean):
-        end, chars = begin, 0
-        while end < len(clean) and (end == begin or chars + len(clean[end]) <= _BLOCK_CHARS):
-            chars += len(clean[end])
-            end += 1
+    for owners, pieces in _blocks(clean):
         with np.errstate(over="ignore"):
-            found, owner = grams(clean[begin:end])
+            found, piece = grams(pieces)
             places = _places(found, filters.slices.shape[1])
-        totals[begin:end] = np.bincount(owner, minlength=end - begin)
+        owner = owners[piece]
+        totals += np.bincount(owner, minlength=len(texts))
         for s in range(len(filters.slices)):
             mask = filters.slices[s, places[0]]
             for place in places[1:]:
                 mask = mask & filters.slices[s, place]
             for k in range(8 * s, min(8 * s + 8, n_lang)):
-                hits[begin:end, k] = np.bincount(owner, (mask >> np.uint8(k % 8)) & np.uint8(1), minlength=end - begin)
-        begin = end
+                hits[:, k] += np.bincount(owner, (mask >> np.uint8(k % 8)) & np.uint8(1), minlength=len(texts))
     langs, scores = [], []
     for i, text in enumerate(clean):
         if not n_lang or not text.strip():

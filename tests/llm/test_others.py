@@ -85,6 +85,17 @@ def test_language_texts_without_letters_and_with_marks(spark):
         assert language_id._LATIN.findall(text.lower()) == language_id._WORDS.findall(text.lower())
 
 
+def test_language_of_long_texts_in_pieces(spark, monkeypatch):
+    learn = spark.createDataFrame([(1, "the cat and the dog and the house", "aa"), (2, "der hund und die katze und das haus", "bb")], "doc_id bigint, text string, lang string")
+    filters = language_id.train(learn)
+    texts = ["the dog " * 500, "der hund und the cat " * 300, "", None, "katze", "a", "das haus und the house " * 40]
+    whole = language_id.decide(filters, texts)
+    for size in (1, 2, 3, 7, 64, 1000):
+        monkeypatch.setattr(language_id, "_BLOCK_CHARS", size)
+        assert language_id.decide(filters, texts) == whole
+    assert whole[0][:6] == ["aa", "bb", "und", "und", "bb", "aa"]
+
+
 def test_language_against_plain_sets(spark):
     documents = spark.read.parquet(f"{SF_LARGER}/documents.parquet").select("doc_id", "text", "lang")
     rows = documents.collect()
