@@ -18,6 +18,7 @@ MOST_PIECES = 8
 SHARD_ENTRIES = 8192
 LONG = 64  # words from this length on are counted together when shards are sized
 _QUERIES = 1024  # words that pass through an index at the same time
+_MOST_HITS = 1 << 23  # and that number times the words of the index, at most
 
 
 def word_counts(df: DataFrame, least_length: int, least_count: int, typo_every: int | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -99,8 +100,9 @@ def near_in_shard(words: list[str], length: int) -> tuple[np.ndarray, np.ndarray
     as_long, one_more = bits((sizes == length)[None, :]), bits((sizes == length + 1)[None, :])
     left, right = [], []
     asking = np.flatnonzero(sizes == length)
-    for begin in range(0, len(asking), _QUERIES):
-        queries = asking[begin : begin + _QUERIES]
+    together = max(1, min(_QUERIES, _MOST_HITS // max(1, n)))
+    for begin in range(0, len(asking), together):
+        queries = asking[begin : begin + together]
         zero = np.repeat(as_long | one_more, len(queries), axis=0)
         replaced, longer = np.zeros_like(zero), np.zeros_like(zero)
         here = sets_at(0)
