@@ -20,6 +20,7 @@ SPAN = WIDTH - GRAM + 1  # places of a gram in a string of WIDTH bytes
 SHARD_REGIONS = 2000
 _BASE, _OTHER_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _BLOCK_BYTES = 1 << 20
+_PIECE_BYTES = 4 << 20  # of a block with a longer text, so many are hashed at a time
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -66,6 +67,33 @@ def region_digests(data: np.ndarray, gram: np.ndarray, begin: np.ndarray, end: n
     return mix64((sums[end] - sums[begin]) * inverse[begin] + ((gram - begin) * 512 + end - begin).astype(np.uint64))
 
 
+def placed_grams(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, digests: bool = True) -> tuple[np.ndarray, ...]:
+    """The chosen grams of a block: place, hash, number of the text, digest of the region
+    (nothing, if ``digests`` are not wanted).
+
+    What a gram and its region are depends on the WIDTH bytes before and after it. So a
+    large block is worked on in pieces with as much around them, in bounded memory.
+    """
+    parts = []
+    full = np.flatnonzero(sizes)  # empty texts begin where the next does
+    stops = begins + sizes
+    for start in range(0, max(1, len(data)), _PIECE_BYTES):
+        low, high = max(0, start - WIDTH), min(len(data), start + _PIECE_BYTES + WIDTH)
+        here = full[(stops[full] > low) & (begins[full] < high)]
+        first, last = np.maximum(begins[here], low), np.minimum(stops[here], high)
+        at, gram = fingerprints(data[low:high], first - low, last - first)
+        at = at + low
+        inside = (at >= start) & (at < start + _PIECE_BYTES)
+        at, gram = at[inside], gram[inside]
+        if len(at):
+            owner = full[np.searchsorted(begins[full], at, "right") - 1]
+            begin, end = np.maximum(begins[owner], at - SPAN + 1), np.minimum(stops[owner], at + WIDTH)
+            parts.append((at, gram, owner, region_digests(data[low:high], at - low, begin - low, end - low) if digests else gram[:0]))
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
 def _blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Some texts at a time: number of the first, bytes end to end, begins, sizes."""
     first, parts, total = 0, [], 0
@@ -82,7 +110,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, data, begins, sizes in _blocks(batch.column(0)):
             with np.errstate(over="ignore"):
-                _, found = fingerprints(data, begins, sizes)
+                found = placed_grams(data, begins, sizes, digests=False)[1]
             grams, n = np.unique(found, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
@@ -95,11 +123,8 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         id, tag = np.asarray(batch.column(1)), np.asarray(batch.column(2))
         for first, data, begins, sizes in _blocks(batch.column(0)):
             with np.errstate(over="ignore"):
-                at, gram = fingerprints(data, begins, sizes)
-                full = np.flatnonzero(sizes)  # empty texts begin where the next does
-                owner = full[np.searchsorted(begins[full], at, "right") - 1] if len(at) else at
+                at, gram, owner, digest = placed_grams(data, begins, sizes)
                 begin, end = np.maximum(begins[owner], at - SPAN + 1), np.minimum(begins[owner] + sizes[owner], at + WIDTH)
-                digest = region_digests(data, at, begin, end) if len(at) else gram
                 same = mix64(mix64(gram + mix64(digest)) + owner.astype(np.uint64))
             _, new = np.unique(same, return_index=True)
             again = np.ones(len(at), bool)

@@ -257,3 +257,18 @@ def test_embedding_query_against_brute_force_on_planted_links(spark, tmp_path):
         component = lowest
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in op2_embedding_dedup(spark, str(tmp_path)).collect()}
     assert got == {i: (int(linked[i].sum()), int(component[i]), bool(component[i] == i)) for i in range(len(x))}
+
+
+def test_grams_of_long_texts_in_pieces(monkeypatch):
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(97, 100, n).astype(np.uint8).tobytes() for n in (0, 5000, 99, 100, 0, 700, 1, 2500)]
+    parts[5] = parts[1][1000:1700]
+    sizes = np.array([len(p) for p in parts])
+    block = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes
+    with np.errstate(over="ignore"):
+        whole = suffix_dedup.placed_grams(*block)
+        at, gram = suffix_dedup.fingerprints(*block)
+        assert (whole[0] == at).all() and (whole[1] == gram).all() and len(at) > 150
+        for size in (1, 37, 100, 250, 4096):
+            monkeypatch.setattr(suffix_dedup, "_PIECE_BYTES", size)
+            assert all((a == b).all() for a, b in zip(suffix_dedup.placed_grams(*block), whole, strict=True))
