@@ -144,7 +144,6 @@ def test_a_failed_write_leaves_both_tables_as_they_were(spark, sink):
 
 def test_tables_run_side_by_side_and_report_in_order(spark, sink, conf):
     import threading
-    from concurrent.futures import ThreadPoolExecutor  # noqa: F401
 
     together, before = threading.Barrier(4, timeout=60), spark.conf.get("spark.sql.shuffle.partitions")
 
