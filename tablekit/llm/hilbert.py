@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import discard, free_name, staged
+from tablekit.llm.common import free_name, staged
 
 BITS = 5  # of each dimension: with three of them at most 32,768 cells
 GROUP_ROWS, MOST_GROUPS = 256, 8192
