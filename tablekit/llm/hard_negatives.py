@@ -16,6 +16,7 @@ from tablekit.llm.vectors import matrix
 
 CLUSTERS, SAMPLE, ROUNDS = 64, 4096, 10
 SHARD_NUMBERS = 1 << 22  # components of the candidates in one task, 34 MB
+LEAST_SHARD_NUMBERS = 1 << 18  # and in small tables, so that all cores have work
 TOGETHER = 256  # anchors of a cluster that walk a list at the same time
 STEP = 512  # candidates of a list that are scored at a time
 _SLACK = 1e-9  # what rounding may take from a bound, as a share of the lengths
@@ -36,7 +37,7 @@ def _directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_centres(sample: np.ndarray, clusters: int = CLUSTERS) -> np.ndarray:
     """Unit centres of clusters by direction (spherical k-means from the farthest points)."""
-    x = np.unique(_directions(sample)[0], axis=0)
+    x = np.unique(_directions(sample)[0], axis=0)  # in an order of its own, whatever that of the rows
     chosen, near = [0], x @ x[0]
     while len(chosen) < min(clusters, len(x)):
         chosen.append(int(np.argmin(near)))
@@ -252,12 +253,13 @@ def hard_negatives(
     the smallest label, then vector. An anchor without positives, and an empty table, give
     no rows. Numbers whose products do not fit a bigint raise an error.
 
-    Candidates are dealt by hash to shards of at most some 4 million components, and every
+    Candidates are dealt by hash to shards of some 4 million components (fewer where that
+    leaves cores without work), and every
     anchor is sent to each shard: with one row in a hundred an anchor, far fewer rows than
     the candidates would be. In a shard the anchors of one cluster share one candidate
     list, sorted once by an angular bound, and walk it until the bound proves that nothing
-    further can count. Centres come from a sample of 4096 anchors, whatever the size; they
-    change the order of the lists, never a result.
+    further can count. Centres come from a sample of some 4096 anchors, whatever the size;
+    they change the order of the lists, never a result.
     """
     v = F.col(f"`{vector}`")
     finite = F.forall(v, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
@@ -265,14 +267,18 @@ def hard_negatives(
     rows = df.where(usable).select(F.col(f"`{id}`").cast("bigint").alias("id"), F.struct(F.col(f"`{label}`").cast("bigint").alias("label"), integer_vectors(vector).alias("vector")).alias("row"))
     base = staged(rows.groupBy("id").agg(F.min("row").alias("row")).select("id", "row.label", "row.vector", F.size("row.vector").alias("size")), "vectors")
     chosen = base.where(F.pmod("id", F.lit(every)) == 0).select("id", "label", "vector")
+    counts = base.agg(F.sum("size").cast("bigint").alias("numbers"), F.count_if(F.pmod("id", F.lit(every)) == 0).alias("anchors")).first()
+    some = F.pmod(F.xxhash64("id"), F.lit(2**31)) < int(min(1, SAMPLE / max(1, counts["anchors"])) * 2**31)
     by_size: dict[int, list] = {}
-    for one in chosen.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow().column(0).to_pylist():
+    for one in chosen.where(some).select("vector").toArrow().column(0).to_pylist():
         by_size.setdefault(len(one), []).append(one)
     centres = {size: fit_centres(np.array(some)) for size, some in by_size.items() if size}
     anchors = staged(_assigned(chosen, centres).withColumn("size", F.size("vector")), "anchors")
     spread = anchors.where(F.col("size").isin([*centres])).groupBy("size", "cluster").agg(F.max("angle").alias("angle"))
     clusters = Clusters(centres, {(r["size"], r["cluster"]): r["angle"] for r in spread.collect()})
-    shards = max(1, ceil((base.agg(F.sum("size").cast("bigint").alias("n")).first()["n"] or 0) / SHARD_NUMBERS))
+    total = counts["numbers"] or 0
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    shards = max(1, ceil(total / SHARD_NUMBERS), min(cores, ceil(total / LEAST_SHARD_NUMBERS)))
     none = F.lit(None).cast("array<bigint>")
     candidates = base.select(
         F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), "size", F.lit(0).alias("is_anchor"), F.lit(0).alias("cluster"),
