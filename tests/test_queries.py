@@ -34,3 +34,11 @@ def test_result_does_not_depend_on_the_session(spark, connection, conf, key, opt
     conf(*option)
     result = contract.queries()[key](spark, SF_DIR)
     assert differences(result, connection.sql(contract.oracle_sql()[key])) == []
+
+
+def test_widening_takes_keys_beyond_a_smallint(spark, tmp_path):
+    keys = [(1, 40_000), (2, 2**31 - 1), (2, 7), (3, None)]
+    spark.createDataFrame(keys, "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    found = contract.queries()["sink_widen"](spark, str(tmp_path)).collect()
+    rows = [(key + 2**53, small, True) for key, small in keys] + [(small, small, True) for _, small in keys]
+    assert sorted(found, key=str) == sorted(rows, key=str)

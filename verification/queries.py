@@ -303,7 +303,7 @@ def sink_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = new_sink(spark)
     keys = given_table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 2**53).alias("key"), F.col("o_custkey").cast("int").alias("small"))
     sink.save(keys.select(F.col("small").cast("double").alias("key"), "small"), "loose")
-    sink.save(keys.select(F.col("small").alias("key"), F.col("small").cast("smallint").cast("int").alias("small")), "loose")
+    sink.save(keys.select(F.col("small").alias("key"), "small"), "loose")
     try:
         sink.save(keys, "loose")
         refused = False
