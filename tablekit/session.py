@@ -96,14 +96,16 @@ def sized_shuffles(df: DataFrame) -> Iterator[None]:
         yield
 
 
-# Settings raised for a while: what they were before, and what each user asks for.
-_raised: dict[tuple[int, str], tuple[str | None, list[int]]] = {}
+# Settings raised for a while: what they were set to before, if they were, the number that
+# holds without any wish, and what each user asks for.
+_raised: dict[tuple[int, str], tuple[str | None, int, list[int]]] = {}
 _raising = Lock()
 
 
 @contextmanager
 def at_least(spark: SparkSession, key: str, value: int) -> Iterator[None]:
-    """A numeric setting of the session is no smaller than ``value`` for a while.
+    """A numeric setting of the session is no smaller than ``value`` for a while, nor than
+    it was, be that by its default.
 
     Several threads may ask at once: the largest wish holds, and the setting is back at
     what it was when the last of them is done.
@@ -111,19 +113,21 @@ def at_least(spark: SparkSession, key: str, value: int) -> Iterator[None]:
     place = (id(spark._jsparkSession), key)
 
     def settle() -> None:
-        before, wishes = _raised[place]
+        before, holds, wishes = _raised[place]
         if wishes:
-            spark.conf.set(key, str(max([int(before or 0), *wishes])))
+            spark.conf.set(key, str(max([holds, *wishes])))
             return
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
         del _raised[place]
 
     with _raising:
-        _raised.setdefault(place, (spark.conf.get(key, None), []))[1].append(value)
+        if place not in _raised:
+            _raised[place] = (spark.conf.get(key, None), int(spark.conf.get(key)), [])
+        _raised[place][-1].append(value)
         settle()
     try:
         yield
     finally:
         with _raising:
-            _raised[place][1].remove(value)
+            _raised[place][-1].remove(value)
             settle()

@@ -41,6 +41,15 @@ def test_shuffles_grow_with_the_input_and_only_for_the_block(spark, monkeypatch,
     assert spark.conf.get(PARTITIONS) == before
 
 
+def test_shuffles_of_a_session_that_set_no_number_keep_the_default(spark, conf):
+    conf(PARTITIONS, "1")
+    spark.conf.unset(PARTITIONS)
+    default = spark.conf.get(PARTITIONS)
+    with sized_shuffles(spark.range(10)), sized_shuffles(spark.range(10)):
+        assert int(spark.conf.get(PARTITIONS)) == int(default) > 1
+    assert spark.conf.get(PARTITIONS, None) is None and spark.conf.get(PARTITIONS) == default
+
+
 def test_sources_of_unknown_size_do_not_grow_shuffles(spark):
     assert input_bytes(spark.createDataFrame([(1,)], "n int")) == 0
     assert input_bytes(spark.range(1000)) == 8000
