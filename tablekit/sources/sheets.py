@@ -57,6 +57,9 @@ _READ_BYTES = 1 << 20
 # Causes named when a sheet cannot be read; the rest are counted.
 _NAMED_CAUSES = 5
 
+# Positions of all headers together up to which every executor gets them, 64 MB.
+_SENT_POSITIONS = 16 << 20
+
 
 def open_workbooks(spark: SparkSession, path: str | list[str], ranged: bool = False) -> DataFrame:
     """``(path, content)`` of every workbook under ``path``; ``ranged`` leaves the content
@@ -177,7 +180,7 @@ def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
     read in some workbook raises ``ValueError`` with the causes.
     """
     summaries = sheet_summaries(rows, sheet)
-    columns, broken = _columns(summaries)
+    columns, layouts, broken = _columns(summaries)
     if broken:
         causes = summaries.where(F.col("error").isNotNull()).select("path", "error")
         told = "; ".join(f"{row['path']}: {row['error']}" for row in causes.orderBy("path").take(_NAMED_CAUSES))
@@ -185,7 +188,10 @@ def sheet_frame(rows: DataFrame, sheet: str, infer: bool = True) -> DataFrame:
         raise ValueError(f"cannot read sheet {sheet!r} of {told}{more}")
     if not columns:
         raise ValueError(f"no workbook has a sheet {sheet!r} with a header row")
-    text = _cells_by_name(_of_sheet(rows, sheet, CELLS), summaries, [*columns])
+    places = _places(summaries, [*columns])
+    # one header heads most rows: a shuffle by it would bring them to one task
+    places = F.broadcast(places) if layouts * len(columns) <= _SENT_POSITIONS else places.hint("rebalance")
+    text = _cells_by_name(_of_sheet(rows, sheet, CELLS), places, [*columns])
     return apply_types(text, {name: narrowest(mask) for name, mask in columns.items()}) if infer else text
 
 
@@ -198,23 +204,32 @@ def _of_sheet(rows: DataFrame, sheet: str, part: str) -> DataFrame:
     return rows.where((F.col("sheet") == sheet) & (F.col("part") == part))
 
 
-def _columns(summaries: DataFrame) -> tuple[dict[str, int | None], int]:
+def _columns(summaries: DataFrame) -> tuple[dict[str, int | None], int, int]:
     """Every header name once, by leftmost position, with the types that hold its values
-    in all workbooks: as many rows as columns. And the number of errors."""
-    named = summaries.select("error", F.posexplode_outer(F.arrays_zip(F.col("header").alias("name"), F.col("masks").alias("mask"))))
+    in all workbooks: as many rows as columns. The most that distinct headers can be, give
+    or take an estimate's error, and the number of errors."""
+    named = summaries.select("error", "layout", F.posexplode_outer(F.arrays_zip(F.col("header").alias("name"), F.col("masks").alias("mask"))))
     leftmost = F.min(F.struct("pos", "col.name")).alias("first")
-    found = named.groupBy(F.lower("col.name").alias("folded")).agg(leftmost, F.bit_and("col.mask").alias("mask"), F.count("error").alias("errors"))
-    rows = found.select("first.*", "mask", "errors").orderBy("pos", "name").collect()
-    return {row["name"]: row["mask"] for row in rows if row["name"] is not None}, sum(row["errors"] for row in rows)
+    layouts = F.approx_count_distinct("layout").alias("layouts")
+    found = named.groupBy(F.lower("col.name").alias("folded")).agg(leftmost, F.bit_and("col.mask").alias("mask"), layouts, F.count("error").alias("errors"))
+    rows = found.select("first.*", "mask", "layouts", "errors").orderBy("pos", "name").collect()
+    columns = {row["name"]: row["mask"] for row in rows if row["name"] is not None}
+    return columns, sum(row["layouts"] for row in rows), sum(row["errors"] for row in rows)
 
 
-def _cells_by_name(body: DataFrame, summaries: DataFrame, names: list[str]) -> DataFrame:
-    """Cells picked by where their row's header has the name; each layout's positions are
-    worked out once, on its widest header, and joined on."""
+def _places(summaries: DataFrame, names: list[str]) -> DataFrame:
+    """Where each layout has the names, worked out once, on its widest header."""
     widest = summaries.groupBy("layout").agg(F.max_by("header", F.size("header")).alias("header"))
     folded = F.transform("header", F.lower)
     at = [F.array_position(folded, F.lit(n.lower())).cast("int") - 1 for n in names]
-    places = widest.select("layout", F.array(*at).alias("places"))
+    return widest.select("layout", F.array(*at).alias("places"))
+
+
+def _cells_by_name(body: DataFrame, places: DataFrame, names: list[str]) -> DataFrame:
+    """Cells picked by where their row's header has the name.
+
+    Places that are not broadcast are rebalanced: AQE splits the rows of a hot header
+    only if the other side of the join is no aggregate on its key."""
     cells = [F.get("cells", F.get("places", F.lit(i))).alias(name) for i, name in enumerate(names)]
     return body.select("layout", "cells").join(places, "layout").select(*cells)
 

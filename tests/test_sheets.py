@@ -10,6 +10,7 @@ from zipfile import ZipFile
 import pytest
 from pyspark.sql import functions as F
 
+from plans import final_plan
 from verification.fixtures import encode_workbook, zip_parts
 from tablekit.session import path_exists
 
@@ -419,3 +420,38 @@ def test_a_workbook_of_300_mb_takes_a_fraction_of_its_size(pytestconfig, tmp_pat
     done = subprocess.run([sys.executable, "-c", LARGE, str(path)], cwd=pytestconfig.rootpath, capture_output=True, text=True, timeout=300)
     rows, megabytes = map(int, done.stdout.split())
     assert rows == 3001 and megabytes < 120, megabytes
+
+
+def split_by_header(spark, n_same, n_other):
+    """Rows of one hot header and of some others, staged."""
+    books = [encode_workbook({"s": [["k", "v"], *[[i, f"{i:04d}" * 50] for i in range(n_same)]]})]
+    books += [encode_workbook({"s": [["v", "k", f"x{i}"], ["other", n_same + i, i]]}) for i in range(n_other)]
+    return stage_sheets(as_frame(spark, *books), ["s"])
+
+
+def pairs_of(frame):
+    return sorted((int(r["k"]), r["v"]) for r in frame.collect())
+
+
+@pytest.mark.parametrize("infer", [True, False])
+def test_rows_of_one_header_are_not_shuffled_to_one_task(spark, conf, infer):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    frame = sheet_frame(split_by_header(spark, 300, 2), "s", infer=infer)
+    plan = final_plan(frame)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert pairs_of(frame) == [(i, f"{i:04d}" * 50) for i in range(300)] + [(300, "other"), (301, "other")]
+
+
+def test_many_headers_are_joined_with_hot_ones_split(spark, conf, monkeypatch):
+    monkeypatch.setattr(sheets, "_SENT_POSITIONS", 0)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.files.maxPartitionBytes", "16k")
+    conf("spark.sql.files.openCostInBytes", "1k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    body = split_by_header(spark, 3000, 30).unionAll(split_by_header(spark, 3000, 0))
+    frame = sheet_frame(body, "s")
+    assert "skew=true" in final_plan(frame)
+    expected = [(i, f"{i:04d}" * 50) for i in range(3000)]
+    assert pairs_of(frame) == sorted(2 * expected + [(3000 + i, "other") for i in range(30)])
