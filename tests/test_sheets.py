@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plans import final_plan
-from verification.fixtures import encode_workbook, zip_parts
+from verification import fixtures
+from verification.fixtures import as_workbooks, encode_workbook, zip_parts
 from tablekit.session import path_exists
 
 from tablekit.sources import inference, sheets
@@ -455,3 +456,14 @@ def test_many_headers_are_joined_with_hot_ones_split(spark, conf, monkeypatch):
     assert "skew=true" in final_plan(frame)
     expected = [(i, f"{i:04d}" * 50) for i in range(3000)]
     assert pairs_of(frame) == sorted(2 * expected + [(3000 + i, "other") for i in range(30)])
+
+
+def test_workbooks_are_made_by_more_tasks_from_more_rows(spark, monkeypatch, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 20_000, 1, cores).write.parquet(str(tmp_path / "t"))
+    ids = spark.read.parquet(str(tmp_path / "t"))
+    assert as_workbooks(ids, "s").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(fixtures, "TASK_BYTES", fixtures.input_bytes(ids) // (3 * cores))
+    books = as_workbooks(ids, "s")
+    assert books.rdd.getNumPartitions() >= 3 * cores
+    assert sorted(r["id"] for r in sheet_frame(stage_sheets(books, ["s"]), "s").collect()) == [*range(20_000)]
