@@ -148,7 +148,7 @@ def _to_batches(path: str, sheet: str, rows: Iterator, zone: str, file: tuple[in
     layout = _digest(names)
     for block in _blocks(rows):
         seen.add([(cells, kinds) for _, cells, kinds in block])
-        yield _record_batch([(CELLS, path, sheet, number, layout, None, cells, None, None, None, None) for number, cells, _ in block])
+        yield _cells_batch(path, sheet, layout, block)
     masks = seen.masks + [None] * (len(names) - len(seen.masks))
     names = names + [f"_c{i}" for i in range(len(names), len(masks))]
     yield _record_batch([(SUMMARY, path, sheet, first_number, layout, names, None, masks, None, *file)])
@@ -158,6 +158,17 @@ def _digest(names: list[str]) -> int:
     return int.from_bytes(blake2b(repr(names).encode(), digest_size=8).digest(), signed=True)
 
 
+def _cells_batch(path: str, sheet: str, layout: int, block: list[tuple]) -> pa.RecordBatch:
+    """The rows of cells of one block; what they share or lack is not spelt out for each."""
+    n, numbers_and_cells = len(block), {"row_no": [b[0] for b in block], "cells": [b[1] for b in block]}
+    shared = {"part": CELLS, "path": path, "sheet": sheet, "layout": layout}
+    columns = [
+        pa.array(numbers_and_cells[f.name], type=f.type) if f.name in numbers_and_cells else pa.repeat(pa.scalar(shared.get(f.name), f.type), n)
+        for f in _ARROW_SCHEMA
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_ARROW_SCHEMA)
+
+
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = [pa.array(values, type=f.type) for values, f in zip(zip(*rows), _ARROW_SCHEMA)]
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW_SCHEMA)

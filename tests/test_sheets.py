@@ -15,7 +15,7 @@ from verification import fixtures
 from verification.fixtures import as_workbooks, encode_workbook, zip_parts
 from tablekit.session import path_exists
 
-from tablekit.sources import inference, sheets
+from tablekit.sources import inference, sheets, xlsx
 from tablekit.sources import (
     apply_types,
     infer_types,
@@ -467,3 +467,19 @@ def test_workbooks_are_made_by_more_tasks_from_more_rows(spark, monkeypatch, tmp
     books = as_workbooks(ids, "s")
     assert books.rdd.getNumPartitions() >= 3 * cores
     assert sorted(r["id"] for r in sheet_frame(stage_sheets(books, ["s"]), "s").collect()) == [*range(20_000)]
+
+
+def test_a_repeated_date_is_worked_out_once_and_few_are_kept(monkeypatch):
+    calls = []
+    monkeypatch.setattr(xlsx, "serial_to_text", lambda serial, from_1904: calls.append(serial) or str(serial))
+    monkeypatch.setattr(xlsx, "_MOST_KEPT", 2)
+    days = [datetime(2024, 1, d) for d in (1, 1, 2, 2, 3, 3, 1)]
+    rows = rows_of(encode_workbook({"Data": [[d] for d in days]}))
+    assert [float(cells[0]) - 45291 for _, cells in rows] == [1, 1, 2, 2, 3, 3, 1]
+    assert calls == [45292, 45293, 45294, 45292]
+
+
+def test_a_batch_of_cells_is_what_its_rows_are():
+    block = [(2, ["a", None], "--"), (3, [], ""), (7, [None, "b", "c"], "---")]
+    by_row = [(sheets.CELLS, "p", "s", number, -5, None, cells, None, None, None, None) for number, cells, _ in block]
+    assert sheets._cells_batch("p", "s", -5, block).equals(sheets._record_batch(by_row))
