@@ -2,19 +2,23 @@
 
 In every stage a null text counts as empty, an empty table gives an empty result, and
 columns that a stage does not name pass through it. Texts are worked on whole.
+
+Each stage bounds the bytes of the batches that go to its Python tasks, in the session and
+for good, as its result is read only later; a bound that the session has set stays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.llm.bpe import count_tokens, encode_decode
-from tablekit.llm.common import discard, free_name, scratch, staged, table
+from tablekit.llm.common import bound_batches, discard, free_name, scratch, staged, table
 from tablekit.llm.minhash import near_duplicates
 from tablekit.llm.mixing import mix
 from tablekit.llm.quality_gam import score, train
@@ -22,6 +26,19 @@ from tablekit.llm.queries import ENTROPY, MOST_REPEATS, QUALITY_THRESHOLD, TOKEN
 from tablekit.llm.suffix_dedup import remove_repeats
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_bounded_batches(stage: Stage) -> Stage:
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+@in_bounded_batches
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least 0.7, learnt from the labels there are.
 
@@ -34,6 +51,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score(docs, model, wanted=score_as).where(F.col(score_as) >= QUALITY_THRESHOLD).drop(score_as)
 
 
+@in_bounded_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose sets of shingles are linked at 0.8: that with the
     smallest id. Shingles have five words, the usual size; only the contract of the
@@ -56,6 +74,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 
+@in_bounded_batches
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that lie in strings of 100 bytes met earlier; n_chars is
     that of what is left. No row goes, also if nothing is left of its text. Rows without
@@ -64,6 +83,7 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+@in_bounded_batches
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of their sources takes them, by the tokens that
     the next stage makes of their texts. A null source is a source of its own; rows of a
@@ -75,13 +95,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select(*docs.columns, once.alias("__copy")).drop("__copy")
 
 
+@in_bounded_batches
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each text, with their digest and that of the text decoded from them. An
     empty text has no ids; rows that repeat an id are encoded each for itself."""
     return encode_decode(docs, public_tokenizers.path(TOKENIZER), keep=["doc_id", "lang", "source"], ids="ids")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", quality),
     ("minhash_near_dedup", near_dedup),
     ("suffix_array_dedup", passage_dedup),

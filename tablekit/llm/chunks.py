@@ -24,6 +24,12 @@ def process_store() -> dict:
     return holder.__dict__.setdefault("kept", {})
 
 
+def empty_store() -> None:
+    """Give back what earlier tasks left in this worker process: up to some 100 MB that
+    tasks of another kind do without. Whoever needs it again builds it again."""
+    process_store().clear()
+
+
 class Remembered(dict):
     """Chunk to packed ids; None for a chunk that must not be cut off.
 

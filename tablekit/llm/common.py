@@ -39,6 +39,34 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> bool:
+    """From now on rows go to Python tasks and back in batches of some 2 MB, and a row
+    that is larger by itself, unless the session has set a bound of its own. Whether that
+    changed anything.
+
+    By Spark's bound of 10,000 rows a batch of texts has tens of MB, and a task holds
+    several copies of it, in the JVM outside of the heap and in its Python worker.
+    """
+    if spark.conf.get(_BATCH_BYTES, None) is not None:
+        return False
+    spark.conf.set(_BATCH_BYTES, "2m")
+    return True
+
+
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """The same for what runs inside; the session is left as it was."""
+    changed = bound_batches(spark)
+    try:
+        yield
+    finally:
+        if changed:
+            spark.conf.unset(_BATCH_BYTES)
+
+
 _scopes: list[list[str]] = []
 
 

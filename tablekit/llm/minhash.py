@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import discard, free_name, mix64, odd_powers, staged
+from tablekit.llm.chunks import empty_store
+from tablekit.llm.common import bounded_batches, discard, free_name, mix64, odd_powers, staged
 from tablekit.llm.components import connected_components
 
 BANDS, ROWS = 24, 4
@@ -77,6 +78,7 @@ def sketches(sets: list[np.ndarray], size: int) -> np.ndarray:
 
 def _sketched(df: DataFrame, words_each: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_store()
         hashes = _WordHashes()
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
@@ -171,7 +173,8 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     """
     spark = df.sparkSession
     source = df.select(F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    signed = staged(_sketched(source, words_each), "sketches")
+    with bounded_batches(spark):
+        signed = staged(_sketched(source, words_each), "sketches")
     usable = signed.where("id is not null and n > 0")
     # What is joined back to the rows it was counted from is written first: AQE can split
     # the hot keys of such a join only if neither side is an aggregate.
@@ -185,7 +188,8 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     cluster = staged(shared.join(hubs, "key").select("hub", "rep").distinct(), "clusters")
     wanted = cluster.select(F.col("rep").alias("id")).distinct()
     # by sort-merge at every size: the list of candidates grows with the input
-    sets = staged(_with_sets(source.join(wanted.hint("merge"), "id", "left_semi"), words_each), "sets")
+    with bounded_batches(spark):
+        sets = staged(_with_sets(source.join(wanted.hint("merge"), "id", "left_semi"), words_each), "sets")
 
     pairs = cluster.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
     links = staged(_linked(pairs, sets, percent).distinct(), "links")

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablekit.llm.common import free_name
+from tablekit.llm.chunks import empty_store
+from tablekit.llm.common import bounded_batches, free_name
 from tablekit.llm.features import NAMES, features
 
 MOST_TRAINING_ROWS = 20_000
@@ -151,7 +152,8 @@ def train(df: DataFrame, label: str, text: str = "text", key: str = "doc_id", mo
             x = [features(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(x, pa.list_(pa.float64()))], names=["k", "y", "x"])
 
-    rows = labelled.mapInArrow(run, "k string, y int, x array<double>").toArrow().to_pydict()
+    with bounded_batches(df.sparkSession):
+        rows = labelled.mapInArrow(run, "k string, y int, x array<double>").toArrow().to_pydict()
     order = sorted(range(len(rows["y"])), key=lambda i: (rows["k"][i] or "", rows["y"][i], rows["x"][i]))
     x = np.array([rows["x"][i] for i in order]).reshape(len(order), len(NAMES))
     return fit(x, np.array([rows["y"][i] for i in order], float))
@@ -167,6 +169,7 @@ def score(df: DataFrame, model: Gam, text: str = "text", wanted: str = "score")
     shared = df.sparkSession.sparkContext.broadcast((model.intercept, model.cuts, model.tables, model.pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_store()
         known = Gam(*shared.value)
         for batch in batches:
             x = np.array([features(t.as_py()) for t in batch.column(place)]).reshape(-1, len(NAMES))

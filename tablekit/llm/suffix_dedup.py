@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablekit.llm.chunks import empty_store
 from tablekit.llm.common import discard, free_name, mix64, odd_powers, staged
 from tablekit.llm.suffix_array import later_windows
 
@@ -107,6 +108,7 @@ def _blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.n
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    empty_store()
     for batch in batches:
         for _, data, begins, sizes in _blocks(batch.column(0)):
             with np.errstate(over="ignore"):
