@@ -79,7 +79,8 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Texts without the bytes that lie in strings of 100 bytes met earlier; n_chars is
     that of what is left. No row goes, also if nothing is left of its text. Rows without
     an id are left as they are; those that repeat an id are told apart by their texts."""
-    left = remove_repeats(docs, kept="__left").withColumn("text", F.col("__left"))
+    others = [c for c in docs.columns if c != "text"]
+    left = remove_repeats(docs, kept="__left", keep=others).withColumn("text", F.col("__left"))
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

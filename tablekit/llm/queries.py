@@ -73,7 +73,7 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(documents).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(documents, keep=["doc_id"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op9_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:

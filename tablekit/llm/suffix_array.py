@@ -26,7 +26,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """
     n = len(symbols)
     key = packed_symbols(symbols)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     group = np.empty(n + 1, np.int64)
     group[n] = -1
     where, length, tied = np.arange(n), _PACKED, key[order]
@@ -40,7 +40,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
             return order
         suffixes = order[where]
         tied = group[suffixes] * (n + 1) + group[np.minimum(suffixes + length, n)] + 1
-        again = np.argsort(tied, kind="stable")
+        again = np.argsort(tied)
         order[where], tied = suffixes[again], tied[again]
         length *= 2
 
@@ -78,17 +78,19 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, most: int) -> np.nda
     return out[order]
 
 
-def later_windows(regions: list[bytes], document: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+def later_windows(regions: np.ndarray, sizes: np.ndarray, document: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
     """(region, first, last) for each run of places in a region at which a string of
     ``width`` bytes starts that also starts earlier, by (document, place), in another
-    region or in the same. ``document`` and ``start`` say where a region comes from."""
-    sizes = np.array([len(r) for r in regions], np.int64)
+    region or in the same. ``regions`` has their bytes end to end; ``document`` and
+    ``start`` say where a region comes from."""
     begins = np.cumsum(sizes + 1) - (sizes + 1)
     symbols = np.zeros(int((sizes + 1).sum()), np.uint16)
-    owner = np.repeat(np.arange(len(regions)), sizes + 1)
+    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
     place = np.arange(len(symbols)) - begins[owner]
     inside = place < sizes[owner]
-    symbols[inside] = np.frombuffer(b"".join(regions), np.uint8).astype(np.uint16) + 1
+    symbols[inside] = regions.astype(np.uint16) + 1
+    if not len(symbols):
+        return np.empty((0, 3), np.int64)
     order = suffix_array(symbols)
     shared = common_prefixes(symbols, order, width)
     run = np.cumsum(shared < width)  # places in the same run start with the same bytes

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablekit.llm.chunks import empty_store
+from tablekit.llm.chunks import empty_store, process_store
 from tablekit.llm.common import discard, free_name, mix64, odd_powers, staged
 from tablekit.llm.suffix_array import later_windows
 
@@ -21,7 +22,9 @@ SPAN = WIDTH - GRAM + 1  # places of a gram in a string of WIDTH bytes
 SHARD_REGIONS = 2000
 _BASE, _OTHER_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _BLOCK_BYTES = 1 << 20
-_PIECE_BYTES = 4 << 20  # of a block with a longer text, so many are hashed at a time
+_PIECE_BYTES = 1 << 14  # of a block, so many are hashed at a time: their hashes stay in the cache
+_PARTS = 4  # of the places of a gram in a string, for what a shard leaves out
+_CUT_REGIONS = 8192  # in a batch
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -34,15 +37,17 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def fingerprints(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and 48-bit hashes of the grams chosen by winnowing from texts laid end to end.
+def _choices(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Grams of 24 bytes chosen by winnowing from texts laid end to end: place, hash, and
+    the starts of the first and last string that choose it.
 
-    Every string of 100 bytes within a text holds a chosen gram of 24 bytes, the one of
-    smallest hash, so equal strings hold an equal one at the same place.
+    Every string of 100 bytes within a text chooses the gram of smallest hash in it, of
+    equal ones the first. So equal strings choose an equal one at the same place, and the
+    strings that choose one gram start one after the other.
     """
     n = len(data)
     if n < WIDTH:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     powers = odd_powers(_BASE, GRAM)
     h = mix64(np.arange(1, 257, dtype=np.uint64) * powers[1])[data]
     by_size = {1: h}
@@ -51,60 +56,106 @@ def fingerprints(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tup
         by_size[2 * size] = h
     count = n - GRAM + 1
     h = mix64(by_size[16][:count] + by_size[8][16 : 16 + count] * powers[16])
-    h = (h >> np.uint64(16)) | np.uint64(1)
-    least = _sliding(h, SPAN, np.minimum)
-    left = np.repeat(begins + sizes, sizes) - np.arange(n)
-    least[left[: len(least)] < WIDTH] = 0
-    none = np.zeros(SPAN - 1, np.uint64)
-    chosen = np.flatnonzero(_sliding(np.concatenate([none, least, none]), SPAN, np.maximum)[:count] == h)
-    return chosen, h[chosen]
+    # 32 bits of the hash, and the place to tell equal ones apart
+    least = _sliding((h & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64), SPAN, np.minimum)
+    choice = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    full = sizes > 0
+    beyond = np.maximum((begins + sizes)[full, None] - np.arange(1, WIDTH), begins[full, None]).ravel()
+    choice[beyond[beyond < len(choice)]] = -1  # strings that would leave their text
+    first = np.flatnonzero(np.append(True, choice[1:] != choice[:-1]))
+    last = np.append(first[1:], len(choice)) - 1
+    inside = choice[first] >= 0
+    first, last = first[inside], last[inside]
+    return choice[first], h[choice[first]], first, last
+
+
+def fingerprints(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the chosen grams alone."""
+    return _choices(data, begins, sizes)[:2]
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """``count`` powers and inverse powers at least, made once in a worker process."""
+    made = process_store().get("powers")
+    if made is None or len(made[0]) < count:
+        made = odd_powers(_OTHER_BASE, count), odd_powers(pow(_OTHER_BASE, -1, 2**64), count)
+        process_store()["powers"] = made
+    return made
+
+
+def substring_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[begin:end]; equal bytes have equal ones, wherever they are."""
+    table = mix64(np.arange(1000, 1256, dtype=np.uint64))[data]
+    powers, inverse = _powers(len(data) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table * powers[: len(data)])])
+    return (sums[end] - sums[begin]) * inverse[begin]
 
 
 def region_digests(data: np.ndarray, gram: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[begin:end], the bytes around each gram, and of its place there."""
-    table = mix64(np.arange(1000, 1256, dtype=np.uint64))[data]
-    powers, inverse = odd_powers(_OTHER_BASE, len(data)), odd_powers(pow(_OTHER_BASE, -1, 2**64), len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table * powers)])
-    return mix64((sums[end] - sums[begin]) * inverse[begin] + ((gram - begin) * 512 + end - begin).astype(np.uint64))
+    return mix64(substring_hashes(data, begin, end) + ((gram - begin) * 512 + end - begin).astype(np.uint64))
 
 
 def placed_grams(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, digests: bool = True) -> tuple[np.ndarray, ...]:
-    """The chosen grams of a block: place, hash, number of the text, digest of the region
-    (nothing, if ``digests`` are not wanted).
+    """The chosen grams of a block: place, hash, number of the text, begin and end of the
+    region, which is the bytes of all strings that choose the gram, and the region's
+    digest (nothing, if ``digests`` are not wanted).
 
     What a gram and its region are depends on the WIDTH bytes before and after it. So a
-    large block is worked on in pieces with as much around them, in bounded memory.
+    block is worked on in pieces with as much around them, in bounded memory.
     """
     parts = []
     full = np.flatnonzero(sizes)  # empty texts begin where the next does
-    stops = begins + sizes
+    starts, stops = begins[full], (begins + sizes)[full]
     for start in range(0, max(1, len(data)), _PIECE_BYTES):
         low, high = max(0, start - WIDTH), min(len(data), start + _PIECE_BYTES + WIDTH)
-        here = full[(stops[full] > low) & (begins[full] < high)]
-        first, last = np.maximum(begins[here], low), np.minimum(stops[here], high)
-        at, gram = fingerprints(data[low:high], first - low, last - first)
-        at = at + low
-        inside = (at >= start) & (at < start + _PIECE_BYTES)
-        at, gram = at[inside], gram[inside]
+        here = slice(np.searchsorted(stops, low, "right"), np.searchsorted(starts, high))
+        first, last = np.maximum(starts[here], low), np.minimum(stops[here], high)
+        at, gram, begin, end = _choices(data[low:high], first - low, last - first)
+        inside = (at + low >= start) & (at + low < start + _PIECE_BYTES)
+        at, gram, begin, end = at[inside], gram[inside], begin[inside], end[inside] + WIDTH
         if len(at):
-            owner = full[np.searchsorted(begins[full], at, "right") - 1]
-            begin, end = np.maximum(begins[owner], at - SPAN + 1), np.minimum(stops[owner], at + WIDTH)
-            parts.append((at, gram, owner, region_digests(data[low:high], at - low, begin - low, end - low) if digests else gram[:0]))
+            owner = full[np.searchsorted(starts, at + low, "right") - 1]
+            parts.append((at + low, gram, owner, begin + low, end + low, region_digests(data[low:high], at, begin, end) if digests else gram[:0]))
     if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        parts = [tuple(np.empty(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64, np.uint64))]
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
+def _laid_out(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts or of byte strings, end to end, and where each begins, and the
+    last ends; nulls count as empty."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    texts = texts.cast(pa.large_binary())
+    texts = texts.fill_null(b"") if texts.null_count else texts
+    if not len(texts):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = texts.buffers()
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+
+
 def _blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Some texts at a time: number of the first, bytes end to end, begins, sizes."""
-    first, parts, total = 0, [], 0
-    for i, text in enumerate(texts):
-        parts.append((text.as_py() or "").encode())
-        total += len(parts[-1])
-        if total >= _BLOCK_BYTES or i == len(texts) - 1:
-            sizes = np.array([len(p) for p in parts], np.int64)
-            yield first, np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes
-            first, parts, total = i + 1, [], 0
+    data, offsets = _laid_out(texts)
+    first = 0
+    while first < len(texts):
+        last = min(len(texts), int(np.searchsorted(offsets, offsets[first] + _BLOCK_BYTES)))
+        last = max(last, first + 1)
+        yield first, data[offsets[first] : offsets[last]], offsets[first:last] - offsets[first], np.diff(offsets[first : last + 1])
+        first = last
+
+
+def _gathered(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """data[begin : begin + size] for each of them, end to end."""
+    return data[np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)]
+
+
+def _flat(lists: pa.Array, names: Sequence[str]) -> tuple[np.ndarray, ...]:
+    """Rows of lists of structs, and the named fields; a null list is empty."""
+    row = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))
+    values = lists.flatten()
+    return row, *(np.asarray(pc.struct_field(values, name)) for name in names)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,15 +169,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's grams with the digest of their region: the bytes of all strings of
-    WIDTH bytes that hold the gram. Of equal regions in one text only the first goes on;
-    the others are removed here and now: rows with an end, neighbours put together."""
+    """Each text's grams with the digest of their region and how far it goes to the left
+    and right. Of equal regions in one text only the first goes on; the others are
+    removed here and now: rows with an end, neighbours put together."""
     for batch in batches:
         id, tag = np.asarray(batch.column(1)), np.asarray(batch.column(2))
         for first, data, begins, sizes in _blocks(batch.column(0)):
             with np.errstate(over="ignore"):
-                at, gram, owner, digest = placed_grams(data, begins, sizes)
-                begin, end = np.maximum(begins[owner], at - SPAN + 1), np.minimum(begins[owner] + sizes[owner], at + WIDTH)
+                at, gram, owner, begin, end, digest = placed_grams(data, begins, sizes)
                 same = mix64(mix64(gram + mix64(digest)) + owner.astype(np.uint64))
             _, new = np.unique(same, return_index=True)
             again = np.ones(len(at), bool)
@@ -138,36 +188,66 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = np.concatenate([new, again[heads]]).astype(np.int64)
             place = np.concatenate([at[new], begin[again[heads]]]) - begins[owner[take]]
             stop = np.concatenate([np.zeros(len(new), np.int64), stops - begins[owner[again[heads]]]])
-            columns = [gram.view(np.int64)[take], digest.view(np.int64)[take], id[first + owner[take]], tag[first + owner[take]], place.astype(np.int32), stop.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "digest", "id", "tag", "at", "end"])
+            left, right = (at - begin)[take].astype(np.int8), (end - at)[take].astype(np.int8)
+            columns = [gram.view(np.int64)[take], digest.view(np.int64)[take], id[first + owner[take]], tag[first + owner[take]], place.astype(np.int32), stop.astype(np.int32), left, right]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "digest", "id", "tag", "at", "end", "left", "right"])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the regions around the listed grams of each text."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(7)]
-        for id, tag, text, grams in zip(*(c.to_pylist() for c in batch.columns)):
-            data = text.encode()
-            for g in grams:
-                begin = max(0, g["at"] - SPAN + 1)
-                for column, value in zip(out, (g["gram"], g["kinds"], id, tag, g["at"], g["at"] - begin, data[begin : g["at"] + WIDTH])):
-                    column.append(value)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["gram", "kinds", "id", "tag", "at", "left", "region"])
+        id, tag = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        data, offsets = _laid_out(batch.column(2))
+        listed = _flat(batch.column(3), ["gram", "kinds", "at", "left", "right"])
+        for some in range(0, len(listed[0]), _CUT_REGIONS):
+            row, gram, kinds, at, left, right = (column[some : some + _CUT_REGIONS] for column in listed)
+            size = left.astype(np.int64) + right
+            stops = np.append(0, np.cumsum(size)).astype(np.int32)
+            region = _gathered(data, offsets[row] + at - left, size)
+            region = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(stops), pa.py_buffer(region)])
+            columns = [gram, kinds, id[row], tag[row], at, left.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), region], names=["gram", "kinds", "id", "tag", "at", "left", "region"])
+
+
+def _alike(data: np.ndarray, gram: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Numbers of the regions that may share a string with another one of the same gram,
+    with the begin and end of what may be shared.
+
+    All strings with the gram at places low to high have the bytes from low before it to
+    WIDTH - high after it in common. Where no other region has the same bytes there, none
+    has the same string.
+    """
+    least, most = np.full(len(at), WIDTH), np.full(len(at), -1)
+    edges = np.linspace(0, SPAN, _PARTS + 1).astype(np.int64)
+    salted = mix64(gram.view(np.uint64))
+    for low, high in zip(edges[:-1], edges[1:] - 1):
+        here = np.flatnonzero((at - begin >= low) & (WIDTH - (end - at) <= high))
+        key = mix64(substring_hashes(data, at[here] - low, at[here] + WIDTH - high) + salted[here])
+        _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+        here = here[n[which] > 1]
+        least[here] = np.minimum(least[here], low)
+        most[here] = high
+    found = np.flatnonzero(most >= 0)
+    at, begin, end = at[found], begin[found], end[found]
+    return found, np.maximum(begin, at - most[found]), np.minimum(end, at + WIDTH - least[found])
 
 
 def _searched(table: pa.Table) -> pa.Table:
     """Spans of one shard: its regions' suffix array, runs of common prefixes of WIDTH
     bytes, and all but the earliest place of each run."""
-    ids, rows = np.asarray(table.column("id")), np.asarray(table.column("tag"))
+    ids, rows, place = (np.asarray(table.column(c)) for c in ("id", "tag", "at"))
     order = np.lexsort((rows, ids))
     new = np.append(True, (np.diff(ids[order]) != 0) | (np.diff(rows[order]) != 0))
     document = np.empty(len(ids), np.int64)
     document[order] = np.cumsum(new)
-    start = np.asarray(table.column("at"), np.int64) - np.asarray(table.column("left"))
-    found = later_windows(table.column("region").to_pylist(), document, start, WIDTH)
+    data, offsets = _laid_out(table.column("region"))
+    at = offsets[:-1] + np.asarray(table.column("left"))
+    with np.errstate(over="ignore"):
+        of, begin, end = _alike(data, np.asarray(table.column("gram")), at, offsets[:-1], offsets[1:])
+    start = place[of].astype(np.int64) - (at[of] - begin)
+    found = later_windows(_gathered(data, begin, end - begin), end - begin, document[of], start, WIDTH)
     region, first, last = found.T
-    return pa.table({"id": ids[region], "tag": rows[region], "begin": (start[region] + first).astype(np.int32), "end": (start[region] + last + WIDTH).astype(np.int32)})
+    return pa.table({"id": ids[of[region]], "tag": rows[of[region]], "begin": (start[region] + first).astype(np.int32), "end": (start[region] + last + WIDTH).astype(np.int32)})
 
 
 def _halves(regions: DataFrame) -> DataFrame:
@@ -203,13 +283,15 @@ def _copies(members: DataFrame, first: DataFrame) -> DataFrame:
 
 def repeated_spans(df: DataFrame) -> DataFrame:
     """From (id, tag, text) the spans (id, tag, begin, end), with overlaps, of bytes that
-    lie in strings of 100 bytes which start earlier too. An end may lie beyond the text's.
+    lie in strings of 100 bytes which start earlier too.
 
     1. Winnowing counts the grams of all texts; those met once cannot be in a repeat.
-    2. The others are compared by the digest of the region around them: equal regions
-       but the earliest are repeats from end to end.
+    2. The others are compared by the digest of the region around them, the bytes of
+       all strings that choose the gram: equal regions but the earliest are repeats from
+       end to end.
     3. Where a gram has different regions, one of each goes to a shard of some 2000,
-       whose suffix array and common prefixes find the repeats. A gram with more than
+       whose suffix array and common prefixes find the repeats, but for parts of
+       regions that by their hash no other region of the gram has. A gram with more than
        4000 is split by where in a string it lies and by the bytes around it, again
        and again, so no gram is too large for a shard.
 
@@ -220,14 +302,14 @@ def repeated_spans(df: DataFrame) -> DataFrame:
     text = df.where("id is not null and text is not null")
     counts = text.select("text").mapInArrow(_counted, "gram bigint, n bigint")
     repeated = staged(counts.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
-    places = text.select("text", "id", "tag").mapInArrow(_placed, "gram bigint, digest bigint, id bigint, tag int, at int, end int")
+    places = text.select("text", "id", "tag").mapInArrow(_placed, "gram bigint, digest bigint, id bigint, tag int, at int, end int, left tinyint, right tinyint")
     members = staged(places.join(repeated, "gram", "left_semi"), "members")
     spans = [members.where("end > 0").select("id", "tag", F.col("at").alias("begin"), "end")]
-    around = (F.greatest(F.lit(0), F.col("at") - SPAN + 1).alias("begin"), (F.col("at") + WIDTH).alias("end"))
+    around = ((F.col("at") - F.col("left")).alias("begin"), (F.col("at") + F.col("right")).alias("end"))
     whole = members.where("end = 0").drop("end")
-    first, kinds = _classes(whole)
+    first, kinds = _classes(whole, "left", "right")
     spans.append(staged(_copies(whole, first).select("id", "tag", *around), "spans"))
-    lists = first.join(kinds, "gram").groupBy("id", "tag").agg(F.collect_list(F.struct("gram", "at", "kinds")).alias("grams"))
+    lists = first.join(kinds, "gram").groupBy("id", "tag").agg(F.collect_list(F.struct("gram", "at", "left", "right", "kinds")).alias("grams"))
     cut = text.join(lists, ["id", "tag"]).select("id", "tag", "text", "grams")
     regions = cut.mapInArrow(_cut_out, "gram bigint, kinds bigint, id bigint, tag int, at int, left int, region binary")
     regions = staged(regions.withColumns({"lo": F.lit(0), "hi": F.lit(SPAN - 1)}), "regions")
@@ -238,7 +320,7 @@ def repeated_spans(df: DataFrame) -> DataFrame:
         packed = F.pmod(F.xxhash64("gram"), F.lit(max(1, ceil(here / SHARD_REGIONS))))
         alone = F.col("kinds") > SHARD_REGIONS // 8  # so that no shard gets several large grams
         shard = F.struct(alone, F.when(alone, F.col("gram")).otherwise(packed)).alias("shard")
-        found = regions.where(~large).select(shard, "id", "tag", "at", "left", "region")
+        found = regions.where(~large).select(shard, "gram", "id", "tag", "at", "left", "region")
         spans.append(staged(found.groupBy("shard").applyInArrow(lambda t: _searched(t), "id bigint, tag int, begin int, end int"), "spans"))
         if not larger:
             break
@@ -254,9 +336,19 @@ def repeated_spans(df: DataFrame) -> DataFrame:
     return out
 
 
-def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", kept: str | None = None) -> DataFrame:
-    """All columns of ``df`` with n_bytes, n_removed, n_spans and kept_sha256 of each
-    whole text as UTF-8, and the text that is left if ``kept`` names a column for it.
+def _runs(data: np.ndarray, offsets: np.ndarray, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, begin and end in ``data`` of the maximal runs that spans within texts cover."""
+    begin, end = offsets[row] + begin, np.minimum(offsets[row] + end, offsets[row + 1])
+    order = np.lexsort((begin, row))
+    row, begin, top = row[order], begin[order], np.maximum.accumulate(end[order])
+    heads = np.flatnonzero(np.append(True, (begin[1:] > top[:-1]) | (row[1:] != row[:-1]))[: len(row)])
+    return row[heads], begin[heads], top[np.append(heads[1:], len(row)) - 1] if len(heads) else heads
+
+
+def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", kept: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``df`` (all, if not given) with n_bytes, n_removed, n_spans
+    and kept_sha256 of each whole text as UTF-8, and the text that is left if ``kept``
+    names a column for it.
 
     A byte goes if a string of 100 bytes covers it that also starts earlier: under a
     smaller id, or in the same text further left. Null texts count as empty and stay
@@ -265,34 +357,38 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", kept:
     results. Where a character is removed in part, what is left of it is dropped from
     the ``kept`` text (not from the digest). Names already taken get underscores.
     """
+    columns = list(df.columns if keep is None else keep)
     names = []
     for wanted in ("n_bytes", "n_removed", "n_spans", "kept_sha256", *([kept] if kept else [])):
-        names.append(free_name([*df.columns, *names], wanted))
+        names.append(free_name([*columns, *names], wanted))
     tag = F.xxhash64(F.col(f"`{text}`").cast("string")).bitwiseAND(F.lit(2**31 - 1)).cast("int")
-    source = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("given"), tag.alias("tag"), F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    source = df.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("given"), tag.alias("tag"), F.col(f"`{id}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     spans = repeated_spans(source.select("id", "tag", "text")).groupBy("id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     both = source.join(spans, ["id", "tag"], "left")
     with_text = bool(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for value, gone, known in zip(batch.column("text"), batch.column("spans"), batch.column("id").is_valid()):
-                whole = value.as_py()
-                data, pieces, at, runs = (whole or "").encode(), [], 0, 0
-                for begin, end in sorted((s["begin"], s["end"]) for s in (gone.as_py() or [])) if known.as_py() else ():
-                    if begin > at or not runs:
-                        pieces.append(data[at:begin])
-                        runs += 1
-                    at = max(at, min(end, len(data)))
-                pieces.append(data[at:])
-                left = b"".join(pieces)
-                row = [len(data), len(data) - len(left), runs, hashlib.sha256(left).hexdigest()]
-                rows.append(row + [None if whole is None else left.decode("utf-8", "ignore")] * with_text)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *([pa.string()] * with_text)]
-            made = [pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * len(names), kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("given"), *made], names=["given", *names])
+            data, offsets = _laid_out(batch.column("text"))
+            row, begin, end = _runs(data, offsets, *_flat(batch.column("spans"), ["begin", "end"]))
+            n_spans = np.bincount(row, minlength=batch.num_rows)
+            after = np.append(0, np.cumsum(n_spans)).tolist()
+            removed = np.append(0, np.cumsum(end - begin))
+            n_removed = np.diff(removed[after])
+            whole, begin, end, bounds = memoryview(data), begin.tolist(), end.tolist(), offsets.tolist()
+            digests, texts = [], []
+            for i, null in enumerate(batch.column("text").is_null().to_pylist()):
+                edges = [bounds[i], bounds[i + 1]]
+                for k in range(after[i], after[i + 1]):
+                    edges[-1:-1] = begin[k], end[k]
+                left = b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                digests.append(hashlib.sha256(left).hexdigest())
+                if with_text:
+                    texts.append(None if null else left.decode("utf-8", "ignore"))
+            made = [np.diff(offsets), n_removed, n_spans.astype(np.int64)]
+            strings = [digests, texts] if with_text else [digests]
+            yield pa.RecordBatch.from_arrays([batch.column("given"), *(pa.array(c) for c in made), *(pa.array(c, pa.string()) for c in strings)], names=["given", *names])
 
     kinds = [T.LongType(), T.LongType(), T.LongType(), T.StringType(), *([T.StringType()] * with_text)]
     schema = T.StructType([source.schema["given"], *(T.StructField(n, k) for n, k in zip(names, kinds))])
-    return both.select("given", "id", "text", "spans").mapInArrow(run, schema).select("given.*", *names)
+    return both.select("given", "text", "spans").mapInArrow(run, schema).select("given.*", *names)

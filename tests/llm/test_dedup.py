@@ -272,3 +272,63 @@ def test_grams_of_long_texts_in_pieces(monkeypatch):
         for size in (1, 37, 100, 250, 4096):
             monkeypatch.setattr(suffix_dedup, "_PIECE_BYTES", size)
             assert all((a == b).all() for a, b in zip(suffix_dedup.placed_grams(*block), whole, strict=True))
+
+
+def _block(rng, letters=3):
+    parts = [rng.integers(97, 97 + letters, n).astype(np.uint8).tobytes() for n in (0, 5000, 99, 100, 0, 700, 1, 2500, 300)]
+    parts[5] = parts[1][1000:1700]
+    parts[8] = b"z" * 300
+    sizes = np.array([len(p) for p in parts])
+    return parts, (np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes)
+
+
+@pytest.mark.parametrize("piece", [37, 1 << 14])
+def test_each_string_lies_in_the_region_of_one_gram(monkeypatch, piece):
+    monkeypatch.setattr(suffix_dedup, "_PIECE_BYTES", piece)
+    parts, block = _block(np.random.default_rng(4))
+    with np.errstate(over="ignore"):
+        at, gram, owner, begin, end, digest = suffix_dedup.placed_grams(*block)
+    strings = [(o, k) for o, a, b in zip(owner, begin - block[1][owner], end - block[1][owner]) for k in range(a, b - 99)]
+    assert sorted(strings) == [(o, k) for o, p in enumerate(parts) for k in range(len(p) - 99)]
+    assert ((at >= end - 100) & (at + 24 <= begin + 100)).all()
+    chosen = {}  # equal strings choose an equal gram at the same place
+    for g, place, a, b in zip(gram, at, begin, end):
+        for k in range(a, b - 99):
+            assert chosen.setdefault(block[0][k : k + 100].tobytes(), (g, place - k)) == (g, place - k)
+    same = {}
+    for d, place, a, b in zip(digest, at, begin, end):
+        assert same.setdefault(d, (place - a, block[0][a:b].tobytes())) == (place - a, block[0][a:b].tobytes())
+
+
+def test_a_shard_searches_only_what_may_be_alike():
+    rng = np.random.default_rng(6)
+    gram = rng.integers(97, 123, 24).astype(np.uint8).tobytes()
+    text = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    before, after = text(76), text(76)
+    cases = [text(76) + gram + text(76) for _ in range(40)]  # only the gram in common
+    shared = [(20, 70), (70, 20), (76, 76), (0, 76), (76, 0), (50, 26)]
+    cases += [text(76 - a) + before[76 - a :] + gram + after[:b] + text(76 - b) for a, b in shared]
+    data = np.frombuffer(b"".join(cases), np.uint8)
+    begin = np.arange(len(cases)) * 176
+    with np.errstate(over="ignore"):
+        found, low, high = suffix_dedup._alike(data, np.full(len(cases), 5), begin + 76, begin, begin + 176)
+        assert not len(suffix_dedup._alike(data, np.arange(len(cases)), begin + 76, begin, begin + 176)[0])
+    assert found.tolist() == list(range(40, 46))
+    strings = lambda i, a, b: {cases[i][k : k + 100] for k in range(a, b - 99)}
+    everywhere = {i: strings(i, 0, 176) for i in range(len(cases))}
+    for i, a, b in zip(found, low - begin[found], high - begin[found]):
+        others = set().union(*(s for j, s in everywhere.items() if j != i))
+        assert everywhere[i] & others <= strings(i, a, b)
+    assert (high - low).sum() < 6 * 176
+
+
+def test_suffix_keeps_the_columns_asked_for(spark):
+    passage = " ".join(f"wörd{i}" for i in range(40))
+    rows = [(1, passage, "a"), (2, None, "b"), (3, "x" + passage + "y", "c"), (4, "", "d"), (None, passage, "e"), (5, passage * 2, "f")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1)
+    out = suffix_dedup.remove_repeats(df, kept="left", keep=["source", "doc_id"])
+    assert out.columns == ["source", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "left"]
+    got = out.collect()
+    expected = without_repeats([r[:2] for r in rows if r[0] is not None])
+    assert {r["doc_id"]: tuple(r)[2:6] for r in got if r["doc_id"]} == expected
+    assert {r["source"]: r["left"] for r in got} == {"a": passage, "b": None, "c": "xy", "d": "", "e": passage, "f": ""}
